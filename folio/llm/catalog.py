@@ -6,19 +6,42 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folio.llm import bpe
+from folio.llm import bpe, langid, quality, warc
 from folio.llm.common import table
 
 
+def _fold(n: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest_query(table(spark, sf_dir, "pages"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    dictionaries = langid.learn(docs.where(_fold(5) != 0).select("doc_id", "text", "lang"))
+    got = langid.predict(docs.select("doc_id", "text"), dictionaries)
+    return got.select("doc_id", (_fold(5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"), digests=True)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(_fold(3) != 1)
+    scored = quality.score(docs, quality.train(docs, labels))
+    return scored.select("doc_id", (_fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_bpe": op9_bpe}
+    return {"op2_warc": op2_warc, "op6_language": op6_language, "op9_bpe": op9_bpe, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_warc": warc.ORACLE}

@@ -70,3 +70,64 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
 
 def empty_text(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
+
+
+_M1, _M2, _BASE = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), 0x9E3779B97F4A7C15
+PIECE = 4 << 20
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit."""
+    x = x ^ (x >> np.uint64(30))
+    x = x * _M1
+    x = x ^ (x >> np.uint64(27))
+    x = x * _M2
+    return x ^ (x >> np.uint64(31))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """BASE**i and BASE**-i modulo 2**64, for i < n."""
+    cache = worker_cache()
+    have = cache.get("powers")
+    if have is None or len(have[0]) < n:
+        size = max(n, 1 << 16)
+        inverse = pow(_BASE, -1, 1 << 64)
+        have = cache["powers"] = tuple(np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)])) for b in (_BASE, inverse))
+    return have
+
+
+def range_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of raw[start:end], which depend on nothing but these bytes. start ascends; ranges are not nested."""
+    out = np.empty(len(start), np.uint64)
+    at = 0
+    while at < len(start):
+        lo = int(start[at])
+        to = max(at + 1, int(np.searchsorted(end, lo + PIECE, "right")))
+        hi = int(end[to - 1])
+        up, down = _powers(hi - lo + 1)
+        sums = np.empty(hi - lo + 1, np.uint64)
+        sums[0] = 0
+        np.cumsum((raw[lo:hi].astype(np.uint64) + np.uint64(1)) * up[: hi - lo], out=sums[1:])
+        s, e = start[at:to] - lo, end[at:to] - lo
+        out[at:to] = mix((sums[e] - sums[s]) * down[s] + mix((e - s).astype(np.uint64)))
+        at = to
+    return out
+
+
+def words_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, document, hash) of the words `[^\\x20\\x09-\\x0D]+` of documents raw[off[i]:off[i+1]]; A-Z count as a-z."""
+    n = len(raw)
+    if not n:
+        none = np.zeros(0, np.int64)
+        return none, none, none, np.zeros(0, np.uint64)
+    inside = np.ones(256, bool)
+    inside[[0x20, *range(0x09, 0x0E)]] = False
+    lower = np.arange(256, dtype=np.uint8)
+    lower[0x41:0x5B] += 0x20
+    is_word = inside[raw]
+    before, after = np.append(False, is_word[:-1]), np.append(is_word[1:], False)
+    edges = off[(off > 0) & (off < n)]
+    before[edges] = False
+    after[edges - 1] = False
+    start, end = np.flatnonzero(is_word & ~before), np.flatnonzero(is_word & ~after) + 1
+    return start, end, np.searchsorted(off, start, "right") - 1, range_hashes(lower[raw], start, end)
