@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import bpe, langid, quality, warc
+from folio.llm import bpe, fingerprint, langid, mixing, pii, quality, topk, warc
 from folio.llm.common import table
 
 
@@ -16,10 +16,19 @@ def _fold(n: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.interleave(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return mixed.select("doc_id", "source", *[F.col(f"__{c}").cast("long").alias(c) for c in ("block", "release", "deadline", "slot", "position")])
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest_query(table(spark, sf_dir, "pages"))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     dictionaries = langid.learn(docs.where(_fold(5) != 0).select("doc_id", "text", "lang"))
@@ -27,6 +36,14 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", (_fold(5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest_query(table(spark, sf_dir, "documents"))
+
+
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.digest_query(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"), digests=True)
@@ -40,8 +57,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_warc": op2_warc, "op6_language": op6_language, "op9_bpe": op9_bpe, "op10_quality": op10_quality}
+    ops = (op1_mixing, op2_warc, op4_topk, op6_language, op7_pii, op8_order_minhash, op9_bpe, op10_quality)
+    return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": warc.ORACLE}
+    return {"op1_mixing": mixing.ORACLE, "op2_warc": warc.ORACLE, "op4_topk": topk.ORACLE, "op7_pii": pii.oracle()}

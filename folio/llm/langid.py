@@ -33,10 +33,16 @@ def learn(labelled: DataFrame, dict_bytes: int = 96 << 10, rows: int = 512) -> d
     """lang -> dictionary from labelled (doc_id, text, lang).
 
     The sample: per language at most `rows` rows of least hash, taken while their bytes stay under dict_bytes.
-    Only identifiers and sizes are ranked; the texts of the chosen are fetched by a join with at most rows * languages ids.
+    A language's row count says below which hash about 4 * rows of its rows lie; only these are ranked, by identifier
+    and size alone. The texts of the chosen are fetched by a join with at most rows * languages ids.
     """
     some = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    narrow = some.select("doc_id", "lang", F.octet_length("text").alias("n"), F.xxhash64("doc_id").alias("h"))
+    counts = labelled.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    if not counts:
+        return {}
+    part = F.create_map(*[x for r in counts for x in (F.lit(r.lang), F.lit(min(1.0, 4 * rows / r.n)))])
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    narrow = some.select("doc_id", "lang", F.octet_length("text").alias("n"), h.alias("h")).where(F.col("h") <= part[F.col("lang")] * float(1 << 30))
     w = Window.partitionBy("lang").orderBy("h", "doc_id", "n")
     few = narrow.withColumn("r", F.row_number().over(w)).where(F.col("r") <= rows)
     few = few.withColumn("before", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1))).where(F.coalesce("before", F.lit(0)) < dict_bytes)
