@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import bpe, fingerprint, langid, mixing, pii, quality, topk, warc
+from folio.llm import bpe, fingerprint, langid, mixing, pii, quality, suffix_dedup, topk, warc
 from folio.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest_query(table(spark, sf_dir, "pages"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed(table(spark, sf_dir, "documents"))
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -57,7 +61,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op1_mixing, op2_warc, op4_topk, op6_language, op7_pii, op8_order_minhash, op9_bpe, op10_quality)
+    ops = (op1_mixing, op2_warc, op3_suffix_dedup, op4_topk, op6_language, op7_pii, op8_order_minhash, op9_bpe, op10_quality)
     return {f.__name__: f for f in ops}
 
 
