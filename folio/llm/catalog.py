@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import bpe, fingerprint, langid, mixing, pii, quality, suffix_dedup, topk, warc
+from folio.llm import bpe, fingerprint, jaccard, langid, mixing, pii, quality, suffix_dedup, topk, warc
 from folio.llm.common import table
 
 
@@ -33,6 +33,11 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = jaccard.classes(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
+    return got.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     dictionaries = langid.learn(docs.where(_fold(5) != 0).select("doc_id", "text", "lang"))
@@ -61,9 +66,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op1_mixing, op2_warc, op3_suffix_dedup, op4_topk, op6_language, op7_pii, op8_order_minhash, op9_bpe, op10_quality)
+    ops = (op1_mixing, op2_warc, op3_suffix_dedup, op4_topk, op5_ngram_jaccard, op6_language, op7_pii, op8_order_minhash, op9_bpe, op10_quality)
     return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing.ORACLE, "op2_warc": warc.ORACLE, "op4_topk": topk.ORACLE, "op7_pii": pii.oracle()}
+    return {"op1_mixing": mixing.ORACLE, "op2_warc": warc.ORACLE, "op4_topk": topk.ORACLE, "op5_ngram_jaccard": jaccard.ORACLE, "op7_pii": pii.oracle()}

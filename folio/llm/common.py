@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,3 +132,23 @@ def words_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     after[edges - 1] = False
     start, end = np.flatnonzero(is_word & ~before), np.flatnonzero(is_word & ~after) + 1
     return start, end, np.searchsorted(off, start, "right") - 1, range_hashes(lower[raw], start, end)
+
+
+def zip_texts(docs: DataFrame, key: str = "th", text: str = "text") -> DataFrame:
+    """(th, z): the distinct texts of each task, compressed; key is a hash of the text. Other tasks may give a text again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for whole in batches:
+            for b in slices(whole, "t"):
+                new = [i for i, x in enumerate(b.column(0).to_pylist()) if x not in seen and not seen.add(x)]
+                b = b.take(pa.array(new, pa.int64()))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([pack(x) for x in b.column(1).to_pylist()], pa.binary())], names=["th", "z"])
+
+    return docs.select(F.col(key).alias("th"), F.col(text).cast("binary").alias("t")).mapInArrow(run, "th long, z binary")
+
+
+def some_of(df: DataFrame, keys: DataFrame, on: str, most: int = 2_000_000) -> DataFrame:
+    """The rows of df whose `on` is in keys (distinct): broadcast up to `most` keys of 8 bytes, joined beyond."""
+    return df.join(F.broadcast(keys) if keys.count() <= most else keys, on, "left_semi")

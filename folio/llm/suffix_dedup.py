@@ -182,9 +182,7 @@ def _judged(runs: DataFrame, keep: str) -> DataFrame:
 def _contexts(texts: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     """rows (anchor, kind, th, ord, place) of texts (th, z) with the bytes of their context."""
     lists = rows.groupBy("th").agg(F.collect_list(F.struct("anchor", "kind", "ord", "place")).alias("rows"))
-    n = lists.count()
-    joined = texts.join(F.broadcast(lists.select("th")) if n <= MOST_BROADCAST_ROWS else lists.select("th"), "th", "left_semi")
-    joined = joined.groupBy("th").agg(F.min("z").alias("z")).join(lists, "th")
+    joined = common.some_of(texts, lists.select("th"), "th", MOST_BROADCAST_ROWS).groupBy("th").agg(F.min("z").alias("z")).join(lists, "th")
     schema = "anchor long, kind int, th long, ord long, place long, bytes binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,16 +270,7 @@ def removed(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, keep: str = "
     long_enough = d.where(F.octet_length("text") >= width)
     judged = common.materialize(_judged(_runs(long_enough, width, gram, keep), keep), "runs")
 
-    def zip_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        pack = zstandard.ZstdCompressor(level=3).compress
-        for whole in batches:
-            for b in common.slices(whole, "t"):
-                new = [i for i, x in enumerate(b.column(0).to_pylist()) if x not in seen and not seen.add(x)]
-                b = b.take(pa.array(new, pa.int64()))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([pack(x) for x in b.column(1).to_pylist()], pa.binary())], names=["th", "z"])
-
-    texts = d.select("th", F.col("text").cast("binary").alias("t")).mapInArrow(zip_texts, "th long, z binary")
+    texts = common.zip_texts(d)
     contexts = common.materialize(_contexts(texts, judged.where(F.col("kind") >= EDGE), width), "contexts")
     edges = common.materialize(_edges(contexts.where(F.col("kind") != HOT), width, keep).unionByName(_hot_windows(contexts.where(F.col("kind") == HOT), width, keep)), "edges")
     gone = judged.where(F.col("kind").isin(COPY, PARTNER)).select("th", "ord", "place").unionByName(edges)
