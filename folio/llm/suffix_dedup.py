@@ -34,11 +34,13 @@ WIDTH, GRAM = 200, 64
 #: An anchor with so many runs in a slice of texts, or in all, is not gathered.
 HOT_HERE, HOT_ALL = 256, 50_000
 SALTS = 64
+#: An anchor with so many unlike contexts to look at is not gathered either: a group's windows must fit a worker.
+HOT_EDGES = 1_500
 #: Suffixes sorted at once.
 BATCH = 30_000
 #: So many text hashes (8 bytes each) are broadcast; more are joined.
 MOST_BROADCAST_ROWS = 2_000_000
-ALONE, COPY, EDGE, PARTNER, HOT = range(5)
+ALONE, COPY, PARTNER, EDGE, HOT, HOT_PARTNER = range(6)
 
 
 # ---- suffix order
@@ -72,10 +74,12 @@ def suffix_order(data: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.n
     """(order of the suffixes of data at starts by their first `width` bytes, lcp of neighbours up to width)."""
     rows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, width)[starts])
     order = np.argsort(rows.view(f"V{width}").ravel(), kind="stable")
-    rows = rows[order]
-    differ = rows[1:] != rows[:-1]
-    lcp = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
-    return order, np.append(0, lcp) if len(starts) else np.zeros(0, np.int64)
+    lcp = np.zeros(len(starts), np.int64)
+    for at in range(1, len(starts), 8192):
+        part = order[at - 1 : at + 8192]
+        differ = rows[part[1:]] != rows[part[:-1]]
+        lcp[at : at + 8192] = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+    return order, lcp
 
 
 def matched(data: np.ndarray, starts: np.ndarray, position: np.ndarray, width: int, keep: str) -> np.ndarray:
@@ -149,6 +153,9 @@ def _judged(runs: DataFrame, keep: str) -> DataFrame:
             copied = copied & ~first
         kind[unlike & ~copied] = EDGE
         marked = rep((np.maximum.reduceat(hot, a0) == 2) | (per_anchor > HOT_ALL))
+        wide = rep(np.add.reduceat(((kind == EDGE) | (kind == PARTNER)).astype(np.int64), a0) > HOT_EDGES)
+        kind[wide & (kind == EDGE)] = HOT
+        kind[wide & (kind == PARTNER)] = HOT_PARTNER
         kind[(hot == 1) | marked] = HOT
         kind[hot == 2] = ALONE
         k = kind != ALONE
@@ -271,9 +278,9 @@ def removed(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, keep: str = "
     judged = common.materialize(_judged(_runs(long_enough, width, gram, keep), keep), "runs")
 
     texts = common.zip_texts(d)
-    contexts = common.materialize(_contexts(texts, judged.where(F.col("kind") >= EDGE), width), "contexts")
-    edges = common.materialize(_edges(contexts.where(F.col("kind") != HOT), width, keep).unionByName(_hot_windows(contexts.where(F.col("kind") == HOT), width, keep)), "edges")
-    gone = judged.where(F.col("kind").isin(COPY, PARTNER)).select("th", "ord", "place").unionByName(edges)
+    contexts = common.materialize(_contexts(texts, judged.where(F.col("kind") >= PARTNER), width), "contexts")
+    edges = common.materialize(_edges(contexts.where(F.col("kind") < HOT), width, keep).unionByName(_hot_windows(contexts.where(F.col("kind") >= HOT), width, keep)), "edges")
+    gone = judged.where(F.col("kind").isin(COPY, PARTNER, HOT_PARTNER)).select("th", "ord", "place").unionByName(edges)
     copies = d.groupBy("th").agg(F.count(F.lit(1)).alias("copies"), F.min("ord").alias("first"))
     if keep == "first":  # what later copies of a whole text lose is not taken from its first
         gone = gone.join(copies.where("copies > 1").select("th", "first"), "th", "left").where("first is null or first = ord").select("th", "place")

@@ -46,12 +46,14 @@ def corpus():
 
 
 @pytest.mark.parametrize("keep", ["none", "first"])
-@pytest.mark.parametrize("hot", [False, True])
+@pytest.mark.parametrize("hot", ["", "anchors", "edges"])
 def test_equals_brute_force(spark, keep, hot, monkeypatch):
     rows = corpus()
     if keep == "first":
         rows = [r for i, r in enumerate(rows) if r[0] is not None and r[0] not in [x[0] for x in rows[:i]]]
-    if hot:  # everything that occurs a few times takes the way of very frequent anchors
+    if hot == "edges":
+        monkeypatch.setattr(suffix_dedup, "HOT_EDGES", 2)
+    if hot == "anchors":  # everything that occurs a few times takes the way of very frequent anchors
         monkeypatch.setattr(suffix_dedup, "HOT_HERE", 3)
         monkeypatch.setattr(suffix_dedup, "HOT_ALL", 4)
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, th string").repartition(3)
