@@ -244,7 +244,7 @@ def _with_texts(docs: DataFrame, sets: DataFrame, members: DataFrame, n: int, te
 
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(a, b, linked) of each of the pairs (a, b): a's text meets that of b, which goes once to each of SALTS parts of b's pairs that has rows."""
-    p = pairs.withColumn("salt", F.pmod(F.hash("a"), F.lit(SALTS)))
+    p = common.materialize(pairs, "pairs").withColumn("salt", F.pmod(F.hash("a"), F.lit(SALTS)))
     z = texts.select("s", "z")
     left = p.join(z.withColumnRenamed("s", "a"), "a").select("b", "salt", "a", "z")
     right = p.select("b", "salt").distinct().join(z.withColumnRenamed("s", "b"), "b").select("b", "salt", F.lit(None).cast("long").alias("a"), "z")
@@ -343,7 +343,7 @@ def _rest_pairs(members: DataFrame, texts: DataFrame, roots: DataFrame, done: Da
         if held:
             yield flush(pa.Table.from_batches(held))
 
-    dealt = m.repartition("g", "x", "y").sortWithinPartitions("g", "x", "y")
+    dealt = m.repartition("g", "x", "y").sortWithinPartitions("g", "x", "y", "s")
     return dealt.mapInArrow(run, "a long, b long").distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
 
 
