@@ -74,7 +74,7 @@ def empty_text(col: str = "text"):
 
 
 _M1, _M2, _BASE = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), 0x9E3779B97F4A7C15
-PIECE = 4 << 20
+PIECE = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -32,7 +32,7 @@ from folio.llm import common, winnow
 
 WIDTH, GRAM = 200, 64
 #: An anchor with so many runs in a slice of texts, or in all, is not gathered.
-HOT_HERE, HOT_ALL = 256, 50_000
+HOT_HERE, HOT_ALL = 128, 50_000
 SALTS = 64
 #: An anchor with so many unlike contexts to look at is not gathered either: a group's windows must fit a worker.
 HOT_EDGES = 1_500
@@ -104,7 +104,7 @@ def _runs(docs: DataFrame, width: int, gram: int, keep: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for whole in batches:
-            for b in common.slices(whole, "t"):
+            for b in common.slices(whole, "t", 1 << 20):
                 th, order = np.array(b.column(0), np.int64), np.array(b.column(1), np.int64)
                 if keep == "none":  # copies of a text here need no rows of their own: their number is counted apart
                     new = [i for i, x in enumerate(th.tolist()) if x not in seen and not seen.add(x)]
