@@ -57,7 +57,7 @@ def flat_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, off - off[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about `most` bytes of the column (one row at least), to bound a worker's memory."""
     if not batch.num_rows:
         return

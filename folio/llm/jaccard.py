@@ -1,12 +1,13 @@
 """N-gram Jaccard join by universe partition and the pigeonhole principle.
 
 A document's set holds the hashes of its distinct word shingles; documents of one set are one node. For sets of a size band, two sets above
-the threshold differ in at most H elements. The universe of hashes is cut into H + 1 segments, so they agree in at least one segment: each
-non-empty segment subset is indexed. Allocation by cost: an empty segment is worthless (very many sets agree in it) and is left out.
-A set that has E empty segments therefore also indexes the one-deletion neighbourhoods of the next T segments after each, with T = E plus
-its segments of one element or none: if two sets agree in empty segments only, at most E - 1 of the other segments can differ in two or more
-elements, and among the T after a common empty one at least E are neither empty in both nor one element against none, hence one of them
-differs by exactly one element and is found through the larger side's deletions. Where segments are too few for that, empty ones are indexed as well.
+the threshold differ in at most H elements. The universe of hashes is cut into H + 1 + S segments, so they agree in at least S + 1: each
+non-empty segment subset is indexed. An empty segment is worthless (very many sets agree in it) and is left out. Two sets with at most S empty
+segments in common still agree in another. A set that has E > S empty segments also indexes the one-deletion neighbourhoods of the next T
+segments after each, with T = E plus its segments of one element or none: if two sets agree in empty segments only, at most E - S - 1 of the
+others can differ in two or more elements, and among the T after a common empty one at least E are neither empty in both nor one element
+against none, hence one of them differs by exactly one element and is found through the larger side's deletions. Where segments are too
+few for that, empty ones are indexed as well. Allocation by cost: S is chosen per band so that the entries expected for a set are fewest.
 
 Candidates of a bucket are verified exactly, on recomputed sets, but only until the bucket is one component: first all members against one of
 them, then what is left between components. A parity bitmap (each element flips one of SKETCH bits, so bitmaps differ in no more bits than
@@ -19,6 +20,7 @@ identifiers are never a component's name unless there is no other; sets and thei
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,6 +40,7 @@ SKETCH = 512
 SALTS = 32
 BLOCK = 4096
 BEST = 4
+PLAIN, SPREAD, MARK, DOC = range(4)
 
 
 # ---- sets
@@ -79,16 +82,29 @@ def most_different(a: int, b: int, num: int, den: int) -> int:
 
 
 @lru_cache(maxsize=8)
-def bands(num: int, den: int, most: int = 1 << 31) -> list[tuple[int, int, int]]:
-    """(least size, largest size, segments) of each band of sizes."""
+def bands(num: int, den: int, most: int = 1 << 31) -> list[tuple[int, int, int, int]]:
+    """(least size, largest size, segments, S) of each band of sizes."""
     out, lo = [], 1
     while lo < most:
         hi = max(lo + 1, int(lo * GROWTH)) - 1
-        out.append((lo, hi, most_different(hi, hi * den // num, num, den) + 1))
+        h, n = most_different(hi, hi * den // num, num, den), math.sqrt(lo * hi)
+        spare = min(range(41), key=lambda s: h + 1 + s + n * _more_than(s, (h + 1 + s) * math.exp(-n / (h + 1 + s)))) if h else 0
+        out.append((lo, hi, h + 1 + spare, spare))
         lo = hi + 1
     return out
 
 
+def _more_than(k: int, mean: float) -> float:
+    """The chance that a Poisson number exceeds k."""
+    if mean > 600:
+        return 1.0
+    term = total = math.exp(-mean)
+    for i in range(1, k + 1):
+        term *= mean / i
+        total += term
+    return max(0.0, 1.0 - total)
+
+
 @lru_cache(maxsize=256)
 def _edges(m: int) -> np.ndarray:
     return np.array([-(-(i << 64) // m) for i in range(1, m)], U)
@@ -100,7 +116,7 @@ def signatures(s: np.ndarray, num: int, den: int) -> Iterator[tuple[np.ndarray,
     weight = common.mix(s + U(0x5851F42D4C957F2D))
     total = np.append(U(0), np.cumsum(weight))
     least = -(-n * num // den)
-    for b, (lo, hi, m) in enumerate(bands(num, den)):
+    for b, (lo, hi, m, spare) in enumerate(bands(num, den)):
         if hi < least:
             continue
         if lo > n:
@@ -110,7 +126,7 @@ def signatures(s: np.ndarray, num: int, den: int) -> Iterator[tuple[np.ndarray,
         tag = common.mix(np.arange(m, dtype=U) + U(b << 32))
         sums = total[cut[1:]] - total[cut[:-1]]
         keys = [common.mix(sums + tag)[size > 0]]
-        if len(empty := np.flatnonzero(size == 0)):
+        if len(empty := np.flatnonzero(size == 0)) > spare:
             reach = len(empty) + int((size <= 1).sum())
             if reach + 1 > m:
                 keys.append(common.mix(tag[empty]))
@@ -132,85 +148,90 @@ def bitmap(s: np.ndarray) -> bytes:
 # ---- the distributed parts
 
 
-def named_sets(docs: DataFrame, n: int, text: str = "text") -> DataFrame:
-    """doc_id, th (hash of the text), n (size of the set), s (its name)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in common.slices(whole, "t"):
-                s, border = shingle_sets(*common.flat_bytes(b.column(2)), n)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.diff(border)), pa.array(set_names(s, border))], names=["doc_id", "th", "n", "s"])
-
-    d = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("th"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
-    return d.mapInArrow(run, "doc_id long, th long, n long, s long")
-
-
 def _buckets(docs: DataFrame, n: int, num: int, den: int, text: str) -> DataFrame:
-    """key, s, size (2 * size + 1 if in the band), hot (1: key spread by s, its true value in `of`; 2: a mark for the others), of."""
-    names = ["key", "s", "size", "hot", "of"]
+    """Bucket entries and document rows of one pass over the texts.
+
+    Entries: key, s (name of the set), size (2 * size + 1 if in the band), kind PLAIN, SPREAD (a frequent key, dealt out by s, its true value in
+    `of`) or MARK (of a frequent key, for the others). Documents: kind DOC, s, size (of the set), of (doc_id, null kept), th (hash of the text)."""
+    names = ["key", "s", "size", "kind", "of", "th"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for whole in batches:
-            for b in common.slices(whole, "t"):
-                sets, border = shingle_sets(*common.flat_bytes(b.column(0)), n)
+            for b in common.slices(whole, "t", 1 << 20):
+                sets, border = shingle_sets(*common.flat_bytes(b.column(2)), n)
+                sizes, own_names = np.diff(border), set_names(sets, border)
+                th = np.array(b.column(1), np.int64)
+                spread = common.mix(th.view(U) ^ np.arange(len(th)).astype(U)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(own_names), pa.array(sizes.astype(np.int32)), pa.array(np.full(len(th), DOC, np.int32)), b.column(0), b.column(1)], names=names)
                 keys, who, size = [], [], []
-                for i, name in enumerate(set_names(sets, border).tolist()):
-                    if border[i] == border[i + 1] or name in seen:
+                for i, name in enumerate(own_names.tolist()):
+                    if not sizes[i] or name in seen:
                         continue
                     seen.add(name)
-                    k = border[i + 1] - border[i]
                     for got, own in signatures(sets[border[i] : border[i + 1]], num, den):
                         keys.append(got)
                         who.append(np.full(len(got), name))
-                        size.append(np.full(len(got), 2 * k + own))
+                        size.append(np.full(len(got), 2 * sizes[i] + own, np.int32))
                 if not keys:
                     continue
                 key, s, z = np.concatenate(keys), np.concatenate(who), np.concatenate(size)
                 uniq, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
                 hot = (count >= HOT_HERE)[inverse]
                 marks = uniq[count >= HOT_HERE]
-                pad = np.zeros(len(marks), np.int64)
+                pad = np.zeros(len(marks), np.int32)
                 spread = np.where(hot, common.mix(key + s.view(U)), key)
-                cols = [np.append(spread, marks).view(np.int64), np.append(s, pad), np.append(z, pad).astype(np.int32), np.append(hot.astype(np.int32), pad.astype(np.int32) + 2), np.append(np.where(hot, key, U(0)), marks).view(np.int64)]
+                cols = [
+                    np.append(spread, marks).view(np.int64), np.append(s, pad), np.append(z, pad), np.append(np.where(hot, SPREAD, PLAIN), pad + MARK).astype(np.int32),
+                    np.append(np.where(hot, key, U(0)), marks).view(np.int64), np.zeros(len(key) + len(marks), np.int64),
+                ]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
 
-    t = docs.select(F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
-    return t.mapInArrow(run, "key long, s long, size int, hot int, of long")
+    t = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("th"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
+    return t.mapInArrow(run, "key long, s long, size int, kind int, of long, th long")
 
 
-def _members(buckets: DataFrame) -> DataFrame:
-    """(g, s, size): the members of each bucket of two sets or more, one in the band at least; equal member lists are one bucket."""
-    names = ["g", "s", "size"]
+def _gathered(buckets: DataFrame) -> DataFrame:
+    """(g, s, size, doc, doc_id, th): the members of each bucket of two sets or more, one in the band at least (equal member lists are one bucket to a
+    task), and the document rows as they came."""
+    names = ["g", "s", "size", "doc", "doc_id", "th"]
 
     def judge(x: list[np.ndarray], known: set[int]) -> pa.RecordBatch | None:
-        key, s, size, hot, of = x
+        key, s, size, kind, of = x
         a0 = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         per = np.diff(np.append(a0, len(key)))
-        marked = np.repeat(np.maximum.reduceat(hot, a0) == 2, per)
-        plain = hot == 0
+        marked = np.repeat(np.maximum.reduceat((kind == MARK).astype(np.int8), a0) > 0, per)
+        plain = kind == PLAIN
         twice = np.append(False, (key[1:] == key[:-1]) & (s[1:] == s[:-1]) & plain[1:] & plain[:-1])
         plain &= ~twice
         fine = (np.add.reduceat(plain.astype(np.int64), a0) > 1) & (np.maximum.reduceat(np.where(plain, size & 1, 0), a0) > 0)
         name = common.mix(np.add.reduceat(np.where(plain, common.mix(s.view(U) * U(2) + (size & 1).astype(U)), U(0)), a0)).view(np.int64)
-        fresh = np.array([bool(f) and (g not in known and not known.add(g)) for f, g in zip(fine, name.tolist())], bool)
+        fresh = fine.copy()
+        at = np.flatnonzero(fine)
+        fresh[at] = [g not in known and not known.add(g) for g in name[at].tolist()]
         if len(known) > 1_000_000:
             known.clear()
-        take = (np.repeat(fresh, per) & plain & ~marked) | (marked & plain) | (hot == 1)
+        take = (np.repeat(fresh, per) & plain & ~marked) | (marked & plain) | (kind == SPREAD)
         if not take.any():
             return None
-        g = np.where(hot == 1, of, np.where(marked, key, np.repeat(name, per)))
-        return pa.RecordBatch.from_arrays([pa.array(g[take]), pa.array(s[take]), pa.array(size[take].astype(np.int32))], names=names)
+        g = np.where(kind == SPREAD, of, np.where(marked, key, np.repeat(name, per)))[take]
+        none = pa.nulls(len(g), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(g), pa.array(s[take]), pa.array(size[take].astype(np.int32)), pa.array(np.zeros(len(g), bool)), none, none], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.zeros(0, np.int64)] * 5
         known: set[int] = set()
         for b in batches:
-            held = [np.append(h, np.array(c, np.int64)) for h, c in zip(held, b.columns)]
+            kind = np.array(b.column(3), np.int64)
+            if (docs := kind == DOC).any():
+                d = b.filter(pa.array(docs))
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(d.num_rows, np.int64)), d.column(1), d.column(2), pa.array(np.ones(d.num_rows, bool)), d.column(4), d.column(5)], names=names)
+                b = b.filter(pa.array(~docs))
+            held = [np.append(h, np.array(c, np.int64)) for h, c in zip(held, b.columns[:5])]
             cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
             if not cut and len(held[0]) > HOT_ALL:  # goes on under its key: a mark stays for the rest
                 key = held[0][-1]
-                mark = [np.array([key]), np.array([0]), np.array([0]), np.array([2]), np.array([key])]
+                mark = [np.array([key]), np.array([0]), np.array([0]), np.array([MARK]), np.array([key])]
                 if (done := judge([np.append(m, h) for m, h in zip(mark, held)], known)) is not None:
                     yield done
                 held = mark
@@ -222,7 +243,7 @@ def _members(buckets: DataFrame) -> DataFrame:
             yield done
 
     dealt = buckets.repartition("key").sortWithinPartitions("key", "s")
-    return dealt.mapInArrow(run, "g long, s long, size int").groupBy("g", "s").agg(F.max("size").alias("size"))
+    return dealt.mapInArrow(run, "g long, s long, size int, doc boolean, doc_id long, th long")
 
 
 def _with_texts(docs: DataFrame, sets: DataFrame, members: DataFrame, n: int, text: str) -> DataFrame:
@@ -351,8 +372,9 @@ def classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, text: st
     """doc_id, th (hash of the text), n_shingles, component_id (the least doc_id that links lead to) of each row of docs (doc_id, text).
 
     Two documents are linked if den * |intersection| >= num * |union| of their sets of n-word shingles."""
-    sets = common.materialize(named_sets(docs, n, text), "sets")
-    members = common.materialize(_members(_buckets(docs, n, num, den, text)), "members")
+    gathered = common.materialize(_gathered(_buckets(docs, n, num, den, text)), "gathered")
+    sets = gathered.where("doc").select("doc_id", "th", F.col("size").cast("long").alias("n"), "s")
+    members = common.materialize(gathered.where("not doc").groupBy("g", "s").agg(F.max("size").alias("size")), "members")
     texts = _with_texts(docs, sets.where("n > 0"), members, n, text)
     done = _verified(_first_pairs(members, num, den), texts, n, num, den)
     roots = components(done.where("linked"))
