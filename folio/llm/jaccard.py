@@ -34,7 +34,7 @@ from folio.llm import common
 from folio.llm.components import components
 
 U = np.uint64
-GROWTH = 1.4
+GROWTH = 1.3
 HOT_HERE, HOT_ALL = 256, 50_000
 SKETCH = 512
 SALTS = 32
