@@ -189,7 +189,7 @@ def truncated(value: Column, most: int = 4096) -> tuple[Column, Column]:
 
 def summary_line(step: Column, status: Column, page: Column, details: Column) -> Column:
     """`step status [p=n] k=v, ...` with the keys of the map in order."""
-    pairs = F.array_join(F.transform(F.array_sort(F.map_entries(details)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ", ")
+    pairs = F.array_join(F.transform(F.sort_array(F.map_entries(details)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ", ")
     return F.concat_ws(" ", step, status, F.when(page.isNotNull(), F.concat(F.lit("[p="), page.cast("string"), F.lit("]"))), F.when(pairs != "", pairs))
 
 

@@ -89,7 +89,7 @@ def peaks(profile: DataFrame, gap: int, key: str = "line") -> DataFrame:
 
 def dedup_lines(positions: Column, tolerance: float = 2) -> Column:
     """Sorted positions without those within the tolerance of the last that is kept."""
-    p = F.array_sort(positions)
+    p = F.sort_array(positions)
     last = lambda a: F.element_at(a, -1)
     return F.aggregate(p, F.slice(p, 1, 1), lambda a, x: F.when(x - last(a) > tolerance, F.concat(a, F.array(x))).otherwise(a))
 

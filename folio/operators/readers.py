@@ -172,7 +172,7 @@ def document_summary(pages: DataFrame, p: Profile = PROD) -> DataFrame:
     out = x.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("page_count"), F.sum("words").alias("words"), F.sum("chars").alias("chars"), safe_average(F.col("conf")).alias("avg_conf"),
         F.coalesce(F.avg(F.when(ocr, F.col("conf"))), F.lit(0.0)).alias("avg_ocr_conf"), F.max(ocr).alias("has_ocr"), T.merged_hint(F.col("hint")).alias("lang_hint"),
-        F.coalesce(first_locale, F.lit("unknown")).alias("locale"), F.array_sort(F.collect_list(F.struct("page", "source"))).alias("decisions"), F.sum(F.col("low").cast("int")).alias("low_pages"),
+        F.coalesce(first_locale, F.lit("unknown")).alias("locale"), F.sort_array(F.collect_list(F.struct("page", "source"))).alias("decisions"), F.sum(F.col("low").cast("int")).alias("low_pages"),
     )
     return out.withColumn("decisions", F.col("decisions.source")).withColumn("needs_review", F.col("low_pages") / F.col("page_count") >= p.review_ratio)
 
@@ -186,8 +186,8 @@ def document_language(pages: DataFrame) -> DataFrame:
 
 def document_meta(pages: DataFrame, blocks: DataFrame) -> DataFrame:
     """One nested row per document: summary, pages in order, and headings in reading order."""
-    heads = blocks.where("is_heading_like").groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("page", "block", "text"))), lambda b: b["text"]).alias("headings"))
-    stats = page_stats(pages).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page", "source", "chars", "lang", "flags"))).alias("pages"))
+    heads = blocks.where("is_heading_like").groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("page", "block", "text"))), lambda b: b["text"]).alias("headings"))
+    stats = page_stats(pages).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page", "source", "chars", "lang", "flags"))).alias("pages"))
     return document_summary(pages).join(stats, "doc_id").join(heads, "doc_id", "left")
 
 

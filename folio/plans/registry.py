@@ -509,7 +509,7 @@ def grid_cells(spark, d):
 
 @query(f"WITH {BOXES} SELECT doc_id, page, least(sum(greatest(bbox[3] - bbox[1], 0) * greatest(bbox[4] - bbox[2], 0)) / (600.0::DOUBLE * 850.0), 1.5) AS coverage, bool_or(height - bbox[2] >= height - height * 0.12 OR height - bbox[4] <= height * 0.12) AS header_footer FROM boxes GROUP BY doc_id, page")
 def page_coverage(spark, d):
-    g = _boxes(spark, d).groupBy("doc_id", "page").agg(F.array_sort(F.collect_list("bbox")).alias("b"), F.max("height").alias("h"))
+    g = _boxes(spark, d).groupBy("doc_id", "page").agg(F.sort_array(F.collect_list("bbox")).alias("b"), F.max("height").alias("h"))
     return g.select("doc_id", "page", geometry.coverage(F.col("b"), F.lit(600.0), F.lit(850.0)).alias("coverage"), layout.has_header_footer(F.transform("b", lambda x: geometry.flip(x, F.col("h"))), F.col("h")).alias("header_footer"))
 
 

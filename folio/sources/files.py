@@ -104,5 +104,5 @@ def json_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def unified_text(pages: DataFrame) -> DataFrame:
     """(doc_id, text): the texts of a document's pages in order, one after the other."""
-    sorted_ = F.array_sort(F.collect_list(F.struct("page", "text")))
+    sorted_ = F.sort_array(F.collect_list(F.struct("page", "text")))
     return pages.groupBy("doc_id").agg(F.array_join(F.transform(sorted_, lambda p: p["text"]), "\n").alias("text"))
