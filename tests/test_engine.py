@@ -28,7 +28,7 @@ def test_hints(spark):
     assert hint("Das Krankenhaus hospital betreut Patienten and patients") == "mixed"
     assert hint("") == "unknown" and hint("xyz") == "unknown" and hint("the and for") == "en" and hint("der die und März maerz") == "de"
     locale = lambda t: one(spark, T.locale_hint(F.col("t")), t=t)
-    assert locale("Rechnung vom 12.03.2024 ueber 1.200,00 EUR") in ("de", "mixed") and locale("am 12.3.24 1.200,00") == "de" and locale("on 3/4/2024 for 1,200.00") == "en" and locale("12.03.2024 or 3/4/2024") == "mixed" and locale("none") == "unknown"
+    assert locale("Rechnung vom 12.03.2024 ueber 1.200,00 EUR") in ("de", "mixed") and locale("nur 1.200,00 EUR") == "de" and locale("on 3/4/2024 for 1,200.00") == "en" and locale("12.03.2024 or 3/4/2024") == "mixed" and locale("none") == "unknown"
 
 
 @settings(max_examples=10, deadline=None)
