@@ -20,28 +20,39 @@ from pyspark.sql import functions as F
 SKETCH, TUPLE, BOTTOM = 32, 2, 64
 #: Bits of a packed long that hold a position.
 PLACE = 28
-#: A text of fewer words, or with longer ones on average, is taken by characters.
-FEW_WORDS, LONG_WORD = 64, 64
+#: A text of fewer words than the first number, or with longer ones on average, is taken by characters; one of more than the second by words;
+#: between them half of the entries come from either, so that an edit across a border leaves half of the entries comparable.
+FEW_WORDS, LONG_WORD = (48, 96), 64
 RANGES = 2048
 
 
 def codes(x: str) -> str:
     """SQL: the SKETCH entries (0 to 65535) of the SQL string x; an empty array for an empty text."""
     let = lambda name, value, body: f"transform(array({value}), {name} -> {body})[0]"
-    mask, top = (1 << PLACE) - 1, -(1 << PLACE)
+    mask, top, low = (1 << PLACE) - 1, -(1 << PLACE), (1 << (63 - PLACE)) - 1
+
+    def kept(units: str) -> str:
+        """The BOTTOM k-mers of least hash in text order: position above, hash below."""
+        packed = f"sort_array(transform(u, (w, i) -> (xxhash64(w, get(u, i + 1)) & {top}L) | i))"
+        # Equal k-mers are neighbours now, in text order; how many of its kind come before one, by halving steps.
+        same = f"(i - o - shiftleft(1, b) >= 0 and shiftright(k[greatest(i - o - shiftleft(1, b), 0)], {PLACE}) = shiftright(p, {PLACE}))"
+        nth = f"if(i > 0 and shiftright(k[greatest(i - 1, 0)], {PLACE}) = shiftright(p, {PLACE}), aggregate(sequence({PLACE - 1}, 0, -1), 0, (o, b) -> if({same}, o + shiftleft(1, b), o)), 0)"
+        numbered = f"slice(sort_array(transform(k, (p, i) -> (xxhash64(shiftright(p, {PLACE}), {nth}) & {top}L) | (p & {mask}L))), 1, {BOTTOM})"
+        placed = f"sort_array(transform(n, q -> shiftleft(q & {mask}L, {63 - PLACE}) | (shiftrightunsigned(q, {PLACE + 1}))))"
+        return let("u", units, let("k", packed, let("n", numbered, placed)))
+
+    def sketch(s: str, first: int, last: int) -> str:
+        chosen = f"sort_array(transform(slice(sort_array(transform({s}, (q, j) -> (xxhash64(q & {low}L, r) & -{BOTTOM * 2}L) | j)), 1, {TUPLE}), c -> c & {BOTTOM * 2 - 1}L))"
+        ids = ", ".join(f"get({s}, cast(get(c, {i}) as int)) & {low}L" for i in range(TUPLE))
+        return f"transform(sequence({first}, {last}), r -> {let('c', chosen, f'cast(xxhash64({ids}, r) & 65535 as int)')})"
+
     words = f"filter(split({x}, ' '), w -> w <> '')"
-    units = let("ws", words, f"if(size(ws) < {FEW_WORDS} or length({x}) > {LONG_WORD} * size(ws), regexp_extract_all({x}, '(?s).', 0), ws)")
-    packed = f"array_sort(transform(u, (w, i) -> (xxhash64(w, get(u, i + 1)) & {top}L) | i))"
-    # Equal k-mers are neighbours now, in text order; how many of its kind come before one, by doubling steps.
-    same = f"(i - o - shiftleft(1, b) >= 0 and shiftright(k[greatest(i - o - shiftleft(1, b), 0)], {PLACE}) = shiftright(p, {PLACE}))"
-    nth = f"if(i > 0 and shiftright(k[greatest(i - 1, 0)], {PLACE}) = shiftright(p, {PLACE}), aggregate(sequence({PLACE - 1}, 0, -1), 0, (o, b) -> if({same}, o + shiftleft(1, b), o)), 0)"
-    numbered = f"slice(array_sort(transform(k, (p, i) -> (xxhash64(shiftright(p, {PLACE}), {nth}) & {top}L) | (p & {mask}L))), 1, {BOTTOM})"
-    # The kept ones in text order: position above, hash below.
-    placed = f"array_sort(transform(n, q -> shiftleft(q & {mask}L, {63 - PLACE}) | (shiftrightunsigned(q, {PLACE + 1}))))"
-    chosen = f"array_sort(transform(slice(array_sort(transform(s, (q, j) -> (xxhash64(q & {(1 << (63 - PLACE)) - 1}L, r) & -{BOTTOM * 2}L) | j)), 1, {TUPLE}), c -> c & {BOTTOM * 2 - 1}L))"
-    ids = ", ".join(f"get(s, cast(get(c, {i}) as int)) & {(1 << (63 - PLACE)) - 1}L" for i in range(TUPLE))
-    entries = f"transform(sequence(0, {SKETCH - 1}), r -> {let('c', chosen, f'cast(xxhash64({ids}, r) & 65535 as int)')})"
-    return f"if({x} = '', cast(array() as array<int>), {let('u', units, let('k', packed, let('n', numbered, let('s', placed, entries))))})"
+    count = f"if(length({x}) > {LONG_WORD} * size(ws), 0, size(ws))"
+    by_words = f"if(nw >= {FEW_WORDS[0]}, {kept('ws')}, cast(null as array<bigint>))"
+    by_chars = f"if(nw <= {FEW_WORDS[1]}, {kept(f"regexp_extract_all({x}, '(?s).', 0)")}, cast(null as array<bigint>))"
+    half = SKETCH // 2
+    entries = let("f", "coalesce(sw, sc)", let("g", "coalesce(sc, sw)", f"concat({sketch('f', 0, half - 1)}, {sketch('g', half, SKETCH - 1)})"))
+    return f"if({x} = '', cast(array() as array<int>), {let('ws', words, let('nw', count, let('sw', by_words, let('sc', by_chars, entries))))})"
 
 
 def as_text(c: str) -> str:

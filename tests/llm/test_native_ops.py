@@ -146,18 +146,24 @@ def codes(t):
     """Order MinHash, written plainly."""
     if t == "":
         return []
+    place, low, m = fingerprint.PLACE, 63 - fingerprint.PLACE, 2 * fingerprint.BOTTOM
+
+    def bottom(units):
+        seen, kept = {}, []
+        for i, u in enumerate(units):
+            h = xx(u, units[i + 1] if i + 1 < len(units) else None) >> place
+            n = seen[h] = seen.get(h, -1) + 1
+            kept.append((xx(h, n.to_bytes(4, "little")) >> place, i))
+        kept = sorted(kept)[: fingerprint.BOTTOM]
+        return [((i << low) | ((h % 2 ** (64 - place)) >> 1)) for h, i in sorted(kept, key=lambda x: x[1])]
+
     ws = [w for w in t.split(" ") if w]
-    units = list(t) if len(ws) < fingerprint.FEW_WORDS or len(t) > fingerprint.LONG_WORD * len(ws) else ws
-    place, low = fingerprint.PLACE, 63 - fingerprint.PLACE
-    seen, kept = {}, []
-    for i, u in enumerate(units):
-        h = xx(u, units[i + 1] if i + 1 < len(units) else None) >> place
-        n = seen[h] = seen.get(h, -1) + 1
-        kept.append((xx(h, n.to_bytes(4, "little")) >> place, i))
-    kept = sorted(kept)[: fingerprint.BOTTOM]
-    s = [((i << low) | ((h % 2 ** (64 - place)) >> 1)) for h, i in sorted(kept, key=lambda x: x[1])]
-    out, m = [], 2 * fingerprint.BOTTOM
+    n = 0 if len(t) > fingerprint.LONG_WORD * len(ws) else len(ws)
+    by_words = bottom(ws) if n >= fingerprint.FEW_WORDS[0] else None
+    by_chars = bottom(list(t)) if n <= fingerprint.FEW_WORDS[1] else None
+    out = []
     for r in range(fingerprint.SKETCH):
+        s = (by_words or by_chars) if r < fingerprint.SKETCH // 2 else (by_chars or by_words)
         seed = r.to_bytes(4, "little")
         best = sorted((xx(q & (2**low - 1), seed) & -m) | j for j, q in enumerate(s))[: fingerprint.TUPLE]
         js = sorted(b & (m - 1) for b in best)
@@ -167,7 +173,7 @@ def codes(t):
 
 def test_fingerprints(spark):
     long = " ".join(f"w{i * i % 97}" for i in range(700))
-    texts = {5: "a", 1: None, 9: "the cat sat on the mat and the cat sat", 2: "", 12: long, 13: long[:2000] + " x " + long[2000:], 14: long, 20: "🙂é" * 40, 30: "abc" * 5000}
+    texts = {5: "a", 1: None, 9: "the cat sat on the mat and the cat sat", 2: "", 12: long, 13: long[:2000] + " x " + long[2000:], 14: long, 20: "🙂é" * 40, 30: "abc" * 5000, 40: " ".join(f"q{i}" for i in range(70))}
     df = spark.createDataFrame([(i, t, "z") for i, t in texts.items()], "doc_id long, text string, n_chars string")
     got = {r.doc_id: r for r in fingerprint.digest_query(df).collect()}
     ids = sorted(texts)
