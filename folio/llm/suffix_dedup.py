@@ -312,7 +312,8 @@ def removed(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, keep: str = "
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *[pa.array(c, t) for c, t in zip(cols, types)]], names=[x.split()[0] for x in fields.split(", ")])
 
     values = ["copies", "first", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
-    result = each.mapInArrow(cut, fields).groupBy("th").agg(*[F.min(c).alias(c) for c in values])
+    # Written, so that the join below deals out both sides and a text with very many copies can be split.
+    result = common.materialize(each.mapInArrow(cut, fields).groupBy("th").agg(*[F.min(c).alias(c) for c in values]), "results")
     out = d.select("doc_id", "ord", "th").join(result, "th")
     if keep == "first":  # of equal texts only those of the least identifier keep anything
         later = (F.col("copies") > 1) & (F.col("ord") > F.col("first")) & (F.col("n_bytes") >= width)
