@@ -294,7 +294,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) ->
 
 def _first_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
     """Every member against the least one of its bucket that lies in the band, if the sizes allow."""
-    lead = members.groupBy("g").agg(F.min(F.when(F.col("size") % 2 == 1, F.struct("s", "size"))).alias("l"))
+    # Written, so that the join deals out both sides and a bucket with very many members can be split.
+    lead = common.materialize(members.groupBy("g").agg(F.min(F.when(F.col("size") % 2 == 1, F.struct("s", "size"))).alias("l")), "leads")
     both = members.join(lead, "g").where("s <> l.s")
     x, y = F.expr("size div 2"), F.expr("l.size div 2")
     fine = both.where(F.least(x, y) * den >= F.greatest(x, y) * num)
@@ -306,7 +307,7 @@ def _rest_pairs(members: DataFrame, texts: DataFrame, roots: DataFrame, done: Da
     m = members.join(roots.withColumnRenamed("node", "s"), "s", "left").select("g", "s", "size", F.coalesce("root", "s").alias("root"))
     m = common.materialize(m, "rooted")
     open_ = m.groupBy("g").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("k")).where("x <> y").select("g", F.ceil(F.col("k") / BLOCK).cast("int").alias("k"))
-    m = m.join(open_, "g").join(texts.select("s", "bits"), "s").withColumn("i", F.expr("cast(pmod(xxhash64(s), k) as int)"))
+    m = m.join(common.materialize(open_, "open"), "g").join(texts.select("s", "bits"), "s").withColumn("i", F.expr("cast(pmod(xxhash64(s), k) as int)"))
     m = m.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("g", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), "s", "size", "root", "i", "bits")
 
     def judge(rows: list[np.ndarray], bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
