@@ -71,4 +71,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing.ORACLE, "op2_warc": warc.ORACLE, "op4_topk": topk.ORACLE, "op5_ngram_jaccard": jaccard.ORACLE, "op7_pii": pii.oracle()}
+    return {"op1_mixing": mixing.ORACLE, "op2_warc": warc.ORACLE, "op3_suffix_dedup": suffix_dedup.ORACLE, "op4_topk": topk.ORACLE, "op5_ngram_jaccard": jaccard.ORACLE, "op7_pii": pii.oracle()}

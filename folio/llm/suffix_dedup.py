@@ -322,3 +322,19 @@ def removed(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, keep: str = "
         if with_text:
             out = out.withColumn("kept", F.when(later, F.lit(b"")).otherwise(F.col("kept")))
     return out.select(F.col("doc_id").alias(key), *values[2:])
+
+
+#: All windows of 200 bytes, counted by MD5; covered stretches by gaps and islands.
+ORACLE = """
+WITH b AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT r, b, unnest(range(octet_length(b) - 199)) AS s FROM b WHERE octet_length(b) >= 200),
+k AS (SELECT r, s, md5(b[s + 1 : s + 200]) AS k FROM w),
+d AS (SELECT k FROM k GROUP BY k HAVING count(*) > 1),
+h AS (SELECT r, s, lag(s) OVER (PARTITION BY r ORDER BY s) AS p FROM k SEMI JOIN d USING (k)),
+i AS (SELECT r, s, sum(CASE WHEN p IS NULL OR s - p > 200 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY s) AS i FROM h),
+g AS (SELECT r, i, min(s) AS a, max(s) + 200 AS z FROM i GROUP BY r, i),
+n AS (SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS before, lead(a) OVER (PARTITION BY r ORDER BY a) IS NULL AS last FROM g),
+c AS (SELECT n.r, sum(z - a)::BIGINT AS gone, count(*) AS spans, string_agg(hex(b[before + 1 : a]) || CASE WHEN last THEN hex(b[z + 1 : octet_length(b)]) ELSE '' END, '' ORDER BY a) AS kept FROM n JOIN b ON b.r = n.r GROUP BY n.r)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(CASE WHEN c.r IS NULL THEN b ELSE unhex(kept) END) AS kept_sha256
+FROM b LEFT JOIN c ON c.r = b.r
+"""
