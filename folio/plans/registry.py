@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio import constants as K
-from folio.functions import detect, encoding, geometry
+from folio.functions import detect, encoding, geometry, values
 from folio.functions import text as T
 from folio.operators import contracts, layout, logs, metrics, readers
 from folio.plans.views import BOXES, LOGS, boxes, log_records, numbers, table
@@ -756,3 +756,85 @@ def version_bump(spark, d):
 @query("SELECT count(*) AS checks, count(*) FILTER (WHERE event_id < 100) AS fails, count(*) FILTER (WHERE event_id < 100) / count(*) <= 0.05 AS passed FROM events")
 def validation_report(spark, d):
     return contracts.report(_events(spark, d).select((F.col("event_id") >= 100).alias("ok")), 0.05)
+
+
+# ---- values, rules and shipping
+
+NUMBERS = "('3'), ('3.7'), ('x'), (''), ('-12'), ('1e3')"
+
+
+@query(f"SELECT v, coalesce(CASE WHEN regexp_full_match(v, '[+-]?[0-9]+') THEN try_cast(v AS INTEGER) END, 0) AS i, coalesce(try_cast(v AS DOUBLE), 0) AS f FROM (VALUES {NUMBERS}) t(v)")
+def number_defaults(spark, d):
+    x = numbers(spark, NUMBERS, "v")
+    return x.select("v", values.as_int(F.col("v")).alias("i"), values.as_float(F.col("v")).alias("f"))
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS iso, strftime(ts, '%a, %d %b %Y %H:%M:%S GMT') AS rfc, strftime(ts, '%Y%m%dT%H%M%S') || '-' || left(md5(event_id::VARCHAR), 8) AS run_id FROM events")
+def date_formats(spark, d):
+    t = F.col("ts")
+    return _events(spark, d).select("event_id", values.iso_utc(t).alias("iso"), values.rfc1123(t).alias("rfc"), values.run_id(t, F.col("event_id")).alias("run_id"))
+
+
+JSONS = """('{"a": 1, "run_id": "x", "at": "2024-01-02T03:04:05Z"}'), ('{"uuid": "u", "b": "2024-01-02T03:04:05.678+01:00"}'), ('{"created_at": 5, "schema_version": "1.0.0"}'), ('{"versioning": {"schema_version": "2"}, "meta": {"version": "3"}}')"""
+
+
+@query("""SELECT * FROM (VALUES ('{"a": 1, "at": "<ts>"}', NULL), ('{"b": "<ts>"}', NULL), ('{"schema_version": "1.0.0"}', '1.0.0'), ('{"versioning": {"schema_version": "2"}, "meta": {"version": "3"}}', '2')) t(masked, version)""")
+def golden_mask(spark, d):
+    x = numbers(spark, JSONS, "j")
+    return x.select(values.without_volatile(F.col("j")).alias("masked"), values.version_marker(F.col("j")).alias("version"))
+
+
+@query("""SELECT event_id % 10 AS k, string_agg(name || '=' || v::VARCHAR, ',' ORDER BY name) AS timings FROM (
+  SELECT event_id, unnest(['ocr_ms', 'table_extract_ms', 'text_extract_ms', 'total_ms', 'write_ms']) AS name, unnest([(event_id % 7)::DOUBLE, 0, 0, CASE WHEN event_id % 2 = 0 THEN 8.5 ELSE 4.25 END, 1.5]) AS v FROM events WHERE event_id < 10) GROUP BY event_id""")
+def timing_merge(spark, d):
+    e = _events(spark, d).where("event_id < 10")
+    own = F.create_map(F.lit("total_ms"), F.lit(4.25), F.lit("write_ms"), F.lit(1.5), F.lit("junk"), F.lit(9.0), F.lit("text_extract_ms"), F.lit(-1.0))
+    over = F.create_map(F.lit("ocr_ms"), (F.col("event_id") % 7).cast("double"), F.lit("total_ms"), F.when(F.col("event_id") % 2 == 0, 8.5).otherwise(-1.0))
+    said = F.transform(F.map_entries(values.merged_timings(own.cast("map<string,double>"), over)), lambda x: F.concat_ws("=", x["key"], x["value"].cast("string")))
+    return e.select((F.col("event_id") % 10).alias("k"), F.array_join(said, ",").alias("timings"))
+
+
+COMMITS = "('feat: a'), ('feat(x)!: b'), ('fix: c'), ('feat(core): d'), ('docs: BREAKING CHANGE e'), ('chore: f')"
+
+
+@query(f"SELECT subject, CASE WHEN contains(lower(subject), 'breaking change') OR regexp_matches(lower(subject), '^[a-z]+(\\([^)]*\\))?!:') THEN 'major' WHEN regexp_matches(lower(subject), '^feat(\\([^)]*\\))?:') THEN 'minor' ELSE 'patch' END AS kind FROM (VALUES {COMMITS}) t(subject)")
+def commit_rules(spark, d):
+    return numbers(spark, COMMITS, "subject").select("subject", values.commit_kind(F.col("subject")).alias("kind"))
+
+
+RULES = "('txt', 'encoding', 'native'), ('docx', 'encoding', 'native'), ('pdf_text', 'readers', 'native'), ('image', 'readers', 'ocr')"
+
+
+@query(f"WITH {TYPED} SELECT k.path, k.file_type, coalesce(r.stage, 'skip') AS stage, r.mode FROM k LEFT JOIN (VALUES {RULES}) r(file_type, stage, mode) ON r.file_type = k.file_type WHERE NOT regexp_matches(k.path, '\\.utf8(\\.|$)')")
+def routing_rules(spark, d):
+    rules = numbers(spark, RULES, "file_type, stage, mode")
+    k = _paths(spark, d).where(~F.col("path").rlike(r"\.utf8(\.|$)")).select("path", detect.file_type(F.col("path"))["file_type"].alias("file_type"))
+    return k.join(rules, "file_type", "left").select("path", "file_type", F.coalesce("stage", F.lit("skip")).alias("stage"), "mode")
+
+
+@query(f"WITH {TYPED} SELECT path FROM k WHERE ext IN ('.txt', '.md', '.pdf')")
+def supported_formats(spark, d):
+    return _paths(spark, d).where(detect.supported(F.col("path"), ["txt", ".md", "PDF"])).select("path")
+
+
+@query("SELECT event_type AS level, count(*) AS lines, sum(json_extract(props, '$.k')::BIGINT)::BIGINT AS k FROM events WHERE event_type IN ('error', 'view') GROUP BY event_type")
+def shipped_lines(spark, d):
+    line = F.to_json(F.struct(F.col("event_type").alias("level"), F.col("props").alias("message"), F.lit(None).cast("string").alias("trace_id")))
+    parsed = _events(spark, d).select(F.from_json(line, "level string, message string, trace_id string").alias("x")).where("x.level in ('error', 'view')")
+    k = F.from_json("x.message", "k long")["k"]
+    return parsed.groupBy(F.col("x.level").alias("level")).agg(F.count(F.lit(1)).alias("lines"), F.sum(k).alias("k"))
+
+
+@query("SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN (length(text) % 900 BETWEEN 1 AND 600 AND (conv_id * 997 % 20000) >= 9000) ELSE length(text) % 40 >= 12 END AS stays FROM conversations")
+def table_filter(spark, d):
+    c = table(spark, d, "conversations").select("conv_id", "turn", F.length("text").alias("n"))
+    detected = layout.admissible("detect", F.col("n") % 900, F.col("conv_id") * 997 % 20000, F.lit(0))
+    read = layout.admissible("extract", F.lit(0), F.lit(0), F.col("n") % 40)
+    return c.select("conv_id", "turn", F.when(F.col("turn") % 2 == 0, detected).otherwise(read).alias("stays"))
+
+
+@query("SELECT user_id, CASE WHEN n > 100 THEN 350 WHEN n < 60 THEN 400 WHEN n < 76 THEN 350 ELSE 300 END AS dpi FROM (SELECT user_id, count(*) AS n FROM events GROUP BY user_id)")
+def ocr_resolution(spark, d):
+    n = _events(spark, d).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    fonts = F.when(F.col("n") > 100, F.array().cast("array<double>")).otherwise(F.array(F.lit(20.0), F.col("n") / 8.0, F.lit(1.0)))
+    return n.select("user_id", detect.ocr_dpi(F.lit("auto"), F.lit(0), fonts).alias("dpi"))

@@ -12,7 +12,7 @@ from folio.constants import PROFILES
 from folio.functions import encoding, geometry
 from folio.functions import text as T
 from folio.operators import contracts, logs, metrics, readers
-from folio.plans import chain
+from folio.plans import chain, config
 from folio.sources import files, sinks
 from folio.streaming import filters
 
@@ -187,3 +187,25 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert len(e.queries()) >= 80 and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_config(spark, monkeypatch):
+    assert config.overlaid({"a": {"b": 1, "c": 2}, "d": 3}, {"a": {"b": 5}, "e": 6}) == {"a": {"b": 5, "c": 2}, "d": 3, "e": 6}
+    assert config.faults({"a": {"b": 7}, "t": True}, ("a.b", "z"), {"a.b": (0, 7)}, {"t": int, "a": str}) == ["z is missing", "a is not str"]
+    monkeypatch.setenv("READERS_PROFILE", "dev")
+    assert config.profile().low_conf == 60.0 and config.profile("prod").low_conf == 70.0
+    flows = config.Flows()
+    flows.register("n", lambda spark, n: spark.range(n))
+    assert flows.has("n") and flows.run("n", spark, 3).count() == 3
+    with pytest.raises(KeyError):
+        flows.run("m", spark)
+
+    @config.checked({"properties": {"id": {"type": "integer", "minimum": 0}}}, {"required": ["x"]})
+    def add(df, by):
+        return df.select((F.col("id") + by).alias("x"))
+
+    assert add(spark.range(3), 1).count() == 3
+    with pytest.raises(config.ContractError, match="VL-E001"):
+        add(spark.range(-1, 2), 1)
+    with pytest.raises(config.ContractError, match="VL-E002"):
+        config.checked(None, {"required": ["y"]})(lambda df: df)(spark.range(1))
