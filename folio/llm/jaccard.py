@@ -37,7 +37,7 @@ U = np.uint64
 GROWTH = 1.3
 HOT_HERE, HOT_ALL = 256, 50_000
 SKETCH = 512
-SALTS = 32
+PART = 64
 BLOCK = 4096
 BEST = 4
 PLAIN, SPREAD, MARK, DOC = range(4)
@@ -140,9 +140,13 @@ def signatures(s: np.ndarray, num: int, den: int) -> Iterator[tuple[np.ndarray,
         yield np.concatenate(keys), lo <= n <= hi
 
 
-def bitmap(s: np.ndarray) -> bytes:
-    bits = np.bincount((s >> U(20)).astype(np.int64) % SKETCH, minlength=SKETCH) & 1
-    return np.packbits(bits.astype(np.uint8)).tobytes()
+def bitmaps(s: np.ndarray, border: np.ndarray) -> pa.Array:
+    """The parity bitmap of each set, as SKETCH / 64 longs."""
+    n = len(border) - 1
+    doc = np.repeat(np.arange(n), np.diff(border))
+    bits = np.bincount(doc * SKETCH + ((s >> U(20)) % U(SKETCH)).astype(np.int64), minlength=n * SKETCH) & 1
+    longs = np.packbits(bits.astype(np.uint8)).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(longs) + 1, SKETCH // 64), pa.int32()), pa.array(longs))
 
 
 # ---- the distributed parts
@@ -152,8 +156,9 @@ def _buckets(docs: DataFrame, n: int, num: int, den: int, text: str) -> DataFram
     """Bucket entries and document rows of one pass over the texts.
 
     Entries: key, s (name of the set), size (2 * size + 1 if in the band), kind PLAIN, SPREAD (a frequent key, dealt out by s, its true value in
-    `of`) or MARK (of a frequent key, for the others). Documents: kind DOC, s, size (of the set), of (doc_id, null kept), th (hash of the text)."""
-    names = ["key", "s", "size", "kind", "of", "th"]
+    `of`) or MARK (of a frequent key, for the others). Documents: kind DOC, s, size (of the set), of (doc_id, null kept), th (hash of the text), bits."""
+    names = ["key", "s", "size", "kind", "of", "th", "bits"]
+    longs = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -163,7 +168,7 @@ def _buckets(docs: DataFrame, n: int, num: int, den: int, text: str) -> DataFram
                 sizes, own_names = np.diff(border), set_names(sets, border)
                 th = np.array(b.column(1), np.int64)
                 spread = common.mix(th.view(U) ^ np.arange(len(th)).astype(U)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(own_names), pa.array(sizes.astype(np.int32)), pa.array(np.full(len(th), DOC, np.int32)), b.column(0), b.column(1)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(own_names), pa.array(sizes.astype(np.int32)), pa.array(np.full(len(th), DOC, np.int32)), b.column(0), b.column(1), bitmaps(sets, border)], names=names)
                 keys, who, size = [], [], []
                 for i, name in enumerate(own_names.tolist()):
                     if not sizes[i] or name in seen:
@@ -185,16 +190,16 @@ def _buckets(docs: DataFrame, n: int, num: int, den: int, text: str) -> DataFram
                     np.append(spread, marks).view(np.int64), np.append(s, pad), np.append(z, pad), np.append(np.where(hot, SPREAD, PLAIN), pad + MARK).astype(np.int32),
                     np.append(np.where(hot, key, U(0)), marks).view(np.int64), np.zeros(len(key) + len(marks), np.int64),
                 ]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
+                yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in cols], pa.nulls(len(cols[0]), longs)], names=names)
 
     t = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("th"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
-    return t.mapInArrow(run, "key long, s long, size int, kind int, of long, th long")
+    return t.mapInArrow(run, "key long, s long, size int, kind int, of long, th long, bits array<long>")
 
 
 def _gathered(buckets: DataFrame) -> DataFrame:
-    """(g, s, size, doc, doc_id, th): the members of each bucket of two sets or more, one in the band at least (equal member lists are one bucket to a
+    """(g, s, size, doc, doc_id, th, bits): the members of each bucket of two sets or more, one in the band at least (equal member lists are one bucket to a
     task), and the document rows as they came."""
-    names = ["g", "s", "size", "doc", "doc_id", "th"]
+    names = ["g", "s", "size", "doc", "doc_id", "th", "bits"]
 
     def judge(x: list[np.ndarray], known: set[int]) -> pa.RecordBatch | None:
         key, s, size, kind, of = x
@@ -216,7 +221,7 @@ def _gathered(buckets: DataFrame) -> DataFrame:
             return None
         g = np.where(kind == SPREAD, of, np.where(marked, key, np.repeat(name, per)))[take]
         none = pa.nulls(len(g), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(g), pa.array(s[take]), pa.array(size[take].astype(np.int32)), pa.array(np.zeros(len(g), bool)), none, none], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(g), pa.array(s[take]), pa.array(size[take].astype(np.int32)), pa.array(np.zeros(len(g), bool)), none, none, pa.nulls(len(g), pa.list_(pa.int64()))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.zeros(0, np.int64)] * 5
@@ -225,7 +230,7 @@ def _gathered(buckets: DataFrame) -> DataFrame:
             kind = np.array(b.column(3), np.int64)
             if (docs := kind == DOC).any():
                 d = b.filter(pa.array(docs))
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(d.num_rows, np.int64)), d.column(1), d.column(2), pa.array(np.ones(d.num_rows, bool)), d.column(4), d.column(5)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(d.num_rows, np.int64)), d.column(1), d.column(2), pa.array(np.ones(d.num_rows, bool)), d.column(4), d.column(5), d.column(6)], names=names)
                 b = b.filter(pa.array(~docs))
             held = [np.append(h, np.array(c, np.int64)) for h, c in zip(held, b.columns[:5])]
             cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
@@ -243,38 +248,39 @@ def _gathered(buckets: DataFrame) -> DataFrame:
             yield done
 
     dealt = buckets.repartition("key").sortWithinPartitions("key", "s")
-    return dealt.mapInArrow(run, "g long, s long, size int, doc boolean, doc_id long, th long")
+    return dealt.mapInArrow(run, "g long, s long, size int, doc boolean, doc_id long, th long, bits array<long>")
 
 
-def _with_texts(docs: DataFrame, sets: DataFrame, members: DataFrame, n: int, text: str) -> DataFrame:
-    """(s, z, bits) of each set in members: a compressed text that has it, and its bitmap."""
-    chosen = sets.groupBy("s").agg(F.min("th").alias("th")).join(members.select("s").distinct(), "s", "left_semi")
-    chosen = common.materialize(chosen, "chosen")
-    d = docs.select(F.xxhash64(text).alias("th"), text)
-    z = common.zip_texts(common.some_of(d, chosen.select("th"), "th"), text=text).groupBy("th").agg(F.min("z").alias("z"))
+def _with_sets(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """(a, b, x, y) of pairs (a, b), x and y being what is known (s, th, n, bits) of either set."""
+    half = lambda name, to: known.select(F.col("s").alias(name), F.struct("th", "n", "bits").alias(to))
+    return pairs.join(half("a", "x"), "a").join(half("b", "y"), "b")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unzip = zstandard.ZstdDecompressor().decompress
-        for whole in batches:
-            for b in common.slices(whole, "z", 1 << 20):
-                sets, border = shingle_sets(*common.flat_bytes(pa.array([unzip(x) for x in b.column(1).to_pylist()], pa.binary())), n)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([bitmap(sets[border[i] : border[i + 1]]) for i in range(b.num_rows)], pa.binary())], names=["s", "z", "bits"])
 
-    return common.materialize(chosen.join(z, "th").select("s", "z").mapInArrow(run, "s long, z binary, bits binary"), "texts")
+def _possible(pairs: DataFrame, known: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b, ta, tb), with the hash of a text of either set, of the pairs that sizes and bitmaps allow to be linked."""
+    differ = "aggregate(zip_with(x.bits, y.bits, (p, q) -> bit_count(p ^ q)), 0, (t, v) -> t + v)"
+    fine = f"least(x.n, y.n) * {den} >= greatest(x.n, y.n) * {num} and {differ} <= {den - num} * (x.n + y.n) div {den + num}"
+    return common.materialize(_with_sets(pairs, known).where(fine).select("a", "b", F.col("x.th").alias("ta"), F.col("y.th").alias("tb")), "pairs")
+
 
+def _verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int, text: str) -> DataFrame:
+    """(a, b, linked) of each of the pairs (a, b, ta, tb). a's text meets that of b; a set with many partners meets them in parts of PART pairs.
 
-def _verified(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(a, b, linked) of each of the pairs (a, b): a's text meets that of b, which goes once to each of SALTS parts of b's pairs that has rows."""
-    p = common.materialize(pairs, "pairs").withColumn("salt", F.pmod(F.hash("a"), F.lit(SALTS)))
-    z = texts.select("s", "z")
-    left = p.join(z.withColumnRenamed("s", "a"), "a").select("b", "salt", "a", "z")
-    right = p.select("b", "salt").distinct().join(z.withColumnRenamed("s", "b"), "b").select("b", "salt", F.lit(None).cast("long").alias("a"), "z")
+    Only the texts that some pair needs are read again and dealt out, compressed."""
+    need = common.materialize(pairs.select(F.explode(F.array("ta", "tb")).alias("th")).distinct(), "needed")
+    d = docs.select(F.xxhash64(text).alias("th"), F.coalesce(F.col(text), F.lit("")).alias(text))
+    z = common.zip_texts(common.some_of(d, need, "th"), text=text).groupBy("th").agg(F.min("z").alias("z"))
+    parts = pairs.groupBy("tb").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("k"))
+    p = pairs.join(common.materialize(parts, "parts"), "tb").withColumn("part", F.expr("cast(pmod(hash(a), k) as int)"))
+    left = p.join(z.withColumnRenamed("th", "ta"), "ta").select("b", "part", "a", "z")
+    right = p.select("b", "part", "tb").distinct().join(z.withColumnRenamed("th", "tb"), "tb").select("b", "part", F.lit(None).cast("long").alias("a"), "z")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor().decompress
         other, of = np.zeros(0, U), None
         for whole in batches:
-            for part in common.slices(whole, "z", 1 << 20):
+            for part in common.slices(whole, "z", 1 << 19):
                 sets, border = shingle_sets(*common.flat_bytes(pa.array([unzip(x) for x in part.column(3).to_pylist()], pa.binary())), n)
                 rows = []
                 for i, (b, a) in enumerate(zip(part.column(0).to_pylist(), part.column(2).to_pylist())):
@@ -283,12 +289,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) ->
                         other, of = own, b
                         continue
                     assert of == b
-                    common_ = int((other[np.minimum(np.searchsorted(other, own), len(other) - 1)] == own).sum()) if len(other) else 0
-                    rows.append((a, b, den * common_ >= num * (len(own) + len(other) - common_)))
+                    both = int((other[np.minimum(np.searchsorted(other, own), len(other) - 1)] == own).sum()) if len(other) else 0
+                    rows.append((a, b, den * both >= num * (len(own) + len(other) - both)))
                 a, b, hit = zip(*rows) if rows else ((), (), ())
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(hit, pa.bool_())], names=["a", "b", "linked"])
 
-    met = left.unionByName(right).repartition("b", "salt").sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first())
+    met = left.unionByName(right).repartition("b", "part").sortWithinPartitions("b", "part", F.col("a").asc_nulls_first())
     return common.materialize(met.mapInArrow(run, "a long, b long, linked boolean"), "verified")
 
 
@@ -302,12 +308,12 @@ def _first_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
     return fine.select(F.greatest("s", F.col("l.s")).alias("a"), F.least("s", F.col("l.s")).alias("b")).distinct()
 
 
-def _rest_pairs(members: DataFrame, texts: DataFrame, roots: DataFrame, done: DataFrame, best: int | None, num: int, den: int) -> DataFrame:
+def _rest_pairs(members: DataFrame, known: DataFrame, roots: DataFrame, done: DataFrame, best: int | None, num: int, den: int) -> DataFrame:
     """Pairs, not done yet, of sets of different components in one bucket that sizes and bitmaps allow; with `best`, so many of each two components of a bucket."""
     m = members.join(roots.withColumnRenamed("node", "s"), "s", "left").select("g", "s", "size", F.coalesce("root", "s").alias("root"))
     m = common.materialize(m, "rooted")
     open_ = m.groupBy("g").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("k")).where("x <> y").select("g", F.ceil(F.col("k") / BLOCK).cast("int").alias("k"))
-    m = m.join(common.materialize(open_, "open"), "g").join(texts.select("s", "bits"), "s").withColumn("i", F.expr("cast(pmod(xxhash64(s), k) as int)"))
+    m = m.join(common.materialize(open_, "open"), "g").join(known.select("s", "bits"), "s").withColumn("i", F.expr("cast(pmod(xxhash64(s), k) as int)"))
     m = m.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("g", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), "s", "size", "root", "i", "bits")
 
     def judge(rows: list[np.ndarray], bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -345,7 +351,7 @@ def _rest_pairs(members: DataFrame, texts: DataFrame, roots: DataFrame, done: Da
 
         def flush(b: pa.Table) -> pa.RecordBatch:
             cols = [np.array(b.column(c).combine_chunks(), np.int64) for c in range(1, 7)]
-            bits = np.frombuffer(b"".join(b.column(7).to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
+            bits = np.array(b.column(7).combine_chunks().flatten(), np.int64).view(U).reshape(-1, SKETCH // 64)
             a, c = judge(cols, bits)
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(c)], names=["a", "b"])
 
@@ -374,13 +380,13 @@ def classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, text: st
 
     Two documents are linked if den * |intersection| >= num * |union| of their sets of n-word shingles."""
     gathered = common.materialize(_gathered(_buckets(docs, n, num, den, text)), "gathered")
-    sets = gathered.where("doc").select("doc_id", "th", F.col("size").cast("long").alias("n"), "s")
+    sets = gathered.where("doc").select("doc_id", "th", F.col("size").cast("long").alias("n"), "s", "bits")
     members = common.materialize(gathered.where("not doc").groupBy("g", "s").agg(F.max("size").alias("size")), "members")
-    texts = _with_texts(docs, sets.where("n > 0"), members, n, text)
-    done = _verified(_first_pairs(members, num, den), texts, n, num, den)
+    known = common.materialize(sets.where("n > 0").groupBy("s").agg(*[F.min(c).alias(c) for c in ("th", "n", "bits")]), "known")
+    done = _verified(_possible(_first_pairs(members, num, den), known, num, den), docs, n, num, den, text)
     roots = components(done.where("linked"))
     for best in (BEST, None):
-        more = _verified(_rest_pairs(members, texts, roots, done, best, num, den), texts, n, num, den)
+        more = _verified(_possible(_rest_pairs(members, known, roots, done, best, num, den), known, num, den), docs, n, num, den, text)
         if not more.where("linked").isEmpty():
             done = done.unionByName(more)
             roots = components(done.where("linked"))
@@ -389,7 +395,7 @@ def classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, text: st
     # Least identifiers per set, then per component; documents join by set only.
     per_set = sets.where("n > 0").groupBy("s").agg(F.min("doc_id").alias("least")).join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
     per_root = per_set.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = per_set.join(per_root, "root").select("s", "component_id")
+    named = per_set.join(common.materialize(per_root, "names"), "root").select("s", "component_id")
     out = sets.join(named, "s", "left")
     return out.select("doc_id", "th", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
