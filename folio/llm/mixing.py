@@ -107,8 +107,8 @@ def interleave(
     ranked = named.withColumn("__n", F.row_number().over(w) - 1)
     ranked = ranked.join(before.withColumnsRenamed({"s": "__s", "b": "__b"}), ["__s", "__b"])
     ranked = ranked.withColumn("__rank", F.col("__before") + F.col("__n")).withColumn("__block", F.expr(f"__rank div {block_rows}"))
-    x = ranked.join(plan.withColumnsRenamed({"s": "__s", "m": "__m"}), "__s")
-    x = x.withColumn("__j", F.expr("__block div __m")).withColumn("__p", F.expr("element_at(filter(patterns, q -> q.p <= __j), -1)"))
+    x = ranked.join(plan.withColumnsRenamed({"s": "__s", "m": "__m", "patterns": "__patterns"}), "__s")
+    x = x.withColumn("__j", F.expr("__block div __m")).withColumn("__p", F.expr("element_at(filter(__patterns, q -> q.p <= __j), -1)"))
     start = "__p.base + (__j - __p.p) * __p.len + "
     i = "[cast(__block % __m as int)]"
     x = x.withColumns({"__slot": F.expr(f"{start} __p.slot{i}"), "__release": F.expr(f"{start} __p.rel{i}"), "__deadline": F.expr(f"{start} __p.due{i}")})

@@ -35,10 +35,10 @@ def test_mixing_equals_global_schedule(spark):
     rows, i = [], 0
     for s, n in sizes.items():
         for _ in range(n):
-            rows.append((i, s, "t", "x"))
+            rows.append((i, s, "t", "x", 1, "m"))
             i += 1
     rows.append(rows[0])
-    df = spark.createDataFrame(rows, "doc_id long, source string, text string, block string")
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, block string, patterns int, m string")
     weights = {"a": 0.5, "hot": 0.3, "b": 0.2}
     got = mixing.interleave(df, weights, block_rows=4, resolution=20).collect()
     assert len(got) == len(rows) and sorted(r.doc_id for r in got) == sorted(r[0] for r in rows)
@@ -56,7 +56,7 @@ def test_mixing_equals_global_schedule(spark):
     for r in got:
         position.setdefault(r.doc_id, []).append(r["__position"])
     assert [r.doc_id for r in ordered] == [d for d, _ in sorted(((d, p) for d, ps in position.items() for p in ps), key=lambda x: x[1])]
-    assert ordered[0].asDict().keys() == {"doc_id", "source", "text", "block"}
+    assert ordered[0].asDict().keys() == {"doc_id", "source", "text", "block", "patterns", "m"}
     assert mixing.interleave(df.limit(0)).collect() == [] and total == 0 and sum(done.values()) == 0 and sum(blocks.values()) == len(want)
 
 
