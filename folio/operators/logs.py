@@ -5,7 +5,8 @@ Records have ts (milliseconds or timestamp), level, logger, message, code, run_i
 
 from __future__ import annotations
 
-
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -56,43 +57,45 @@ def every_nth(records: DataFrame, n: int, order: list[str], within: list[str] |
     return records.withColumn("__i", F.row_number().over(w)).where(F.col("__i") % max(1, n) == 0).drop("__i")
 
 
-def _greedy(records: DataFrame, keys: list[str], order: list[str], seconds: Column, keep) -> DataFrame:
-    """Records that keep(times) marks, group by group, in order; state runs through a group, so a group is one task's work."""
+def _greedy(records: DataFrame, keys: list[str], order: list[str], seconds: Column, step: Callable[[Any, float], tuple[bool, Any]]) -> DataFrame:
+    """Records that step(state, time) -> (keep, new state) keeps, key by key and in order; a key's state begins as None.
+
+    Partitions are sorted by key and time and read as a stream, so a task holds one batch and one state, however many rows a key has."""
     schema = records.schema
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order, kind="stable")
-        return group[keep(group["__t"].to_numpy())].drop(columns="__t")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, state = None, None
+        for b in batches:
+            marks = []
+            for key, t in zip(b["__k"].to_numpy(), b["__t"].to_numpy()):
+                if key != now:
+                    now, state = key, None
+                keep, state = step(state, t)
+                marks.append(keep)
+            yield b[marks].drop(columns=["__t", "__k"])
 
-    return records.withColumn("__t", seconds).groupBy(*keys).applyInPandas(run, schema)
+    x = records.withColumns({"__t": seconds, "__k": F.to_json(F.struct(*keys))})
+    return x.repartition("__k").sortWithinPartitions("__k", *order).mapInPandas(run, schema)
 
 
 def drop_repeats(records: DataFrame, ttl: float, keys: list[str], seconds: Column, order: list[str]) -> DataFrame:
     """Drops a record if less than ttl seconds have passed since the last *kept* one of its key."""
 
-    def keep(times):
-        out, last = [], None
-        for t in times:
-            out.append(last is None or t - last >= ttl)
-            last = t if out[-1] else last
-        return out
+    def step(last: float | None, t: float) -> tuple[bool, float]:
+        keep = last is None or t - last >= ttl
+        return keep, t if keep else last
 
-    return _greedy(records, keys, order, seconds, keep)
+    return _greedy(records, keys, order, seconds, step)
 
 
 def limit_rate(records: DataFrame, window: float, most: int, keys: list[str], seconds: Column, order: list[str]) -> DataFrame:
     """Keeps `most` records per window; a window opens with its first record, the next one once more than `window` seconds have passed."""
 
-    def keep(times):
-        out, start, n = [], None, 0
-        for t in times:
-            if start is None or t - start > window:
-                start, n = t, 0
-            n += 1
-            out.append(n <= most)
-        return out
+    def step(state: tuple[float, int] | None, t: float) -> tuple[bool, tuple[float, int]]:
+        start, n = state if state and t - state[0] <= window else (t, 0)
+        return n < most, (start, n + 1)
 
-    return _greedy(records, keys, order, seconds, keep)
+    return _greedy(records, keys, order, seconds, step)
 
 
 def latest(files: DataFrame, by: str = "modificationTime", path: str = "path", group: list[str] | None = None) -> DataFrame:
