@@ -272,6 +272,8 @@ def removed(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, keep: str = "
     """key, n_bytes, n_removed, n_spans, kept_sha256 of each row of docs; with_text: kept (binary), the bytes that stay."""
     if keep not in ("none", "first"):
         raise ValueError(keep)
+    if gram & (gram - 1) or not gram <= width <= gram + 255:
+        raise ValueError("gram is a power of two, and width at most 255 more")
     d = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     d = d.withColumn("ord", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)))
     long_enough = d.where(F.octet_length("text") >= width)
