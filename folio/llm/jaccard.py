@@ -309,14 +309,18 @@ def _first_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _rest_pairs(members: DataFrame, known: DataFrame, roots: DataFrame, done: DataFrame, best: int | None, num: int, den: int) -> DataFrame:
-    """Pairs, not done yet, of sets of different components in one bucket that sizes and bitmaps allow; with `best`, so many of each two components of a bucket."""
+    """(a, b, ta, tb, cut): pairs, not done yet, of sets of different components in one bucket that sizes and bitmaps allow, with hashes of their texts.
+
+    With `best`, so many of each two components of a bucket; `cut` names the buckets where that left out others."""
     m = members.join(roots.withColumnRenamed("node", "s"), "s", "left").select("g", "s", "size", F.coalesce("root", "s").alias("root"))
     m = common.materialize(m, "rooted")
     open_ = m.groupBy("g").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("k")).where("x <> y").select("g", F.ceil(F.col("k") / BLOCK).cast("int").alias("k"))
-    m = m.join(common.materialize(open_, "open"), "g").join(known.select("s", "bits"), "s").withColumn("i", F.expr("cast(pmod(xxhash64(s), k) as int)"))
-    m = m.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("g", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), "s", "size", "root", "i", "bits")
+    m = m.join(common.materialize(open_, "open"), "g").join(known.select("s", "bits", "th"), "s").withColumn("i", F.expr("cast(pmod(xxhash64(s), k) as int)"))
+    m = m.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("g", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), "s", "size", "root", "i", "bits", "th")
+    names = ["a", "b", "ta", "tb", "cut"]
 
-    def judge(rows: list[np.ndarray], bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def judge(rows: list[np.ndarray], bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+        """(first members, second members, whether some pairs were left out) by place in the bucket"""
         x, y, s, size, root, i = rows
         n, own = size >> 1, size & 1
         found_a, found_b, far = [], [], []
@@ -335,7 +339,8 @@ def _rest_pairs(members: DataFrame, known: DataFrame, roots: DataFrame, done: Da
                 found_b.append(b[ok])
                 far.append(d[ok])
         if not found_a:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), False
+        cut = False
         a, b, d = np.concatenate(found_a), np.concatenate(found_b), np.concatenate(far)
         if best is not None:
             r, t = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
@@ -343,8 +348,9 @@ def _rest_pairs(members: DataFrame, known: DataFrame, roots: DataFrame, done: Da
             a, b, r, t = a[order], b[order], r[order], t[order]
             first = np.flatnonzero(np.append(True, (r[1:] != r[:-1]) | (t[1:] != t[:-1]))) if len(a) else np.zeros(0, int)
             keep = np.arange(len(a)) - np.repeat(first, np.diff(np.append(first, len(a)))) < best
-            a, b = a[keep], b[keep]
-        return np.maximum(s[a], s[b]), np.minimum(s[a], s[b])
+            a, b, cut = a[keep], b[keep], not keep.all()
+        swap = s[a] < s[b]
+        return np.where(swap, b, a), np.where(swap, a, b), cut
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -352,8 +358,11 @@ def _rest_pairs(members: DataFrame, known: DataFrame, roots: DataFrame, done: Da
         def flush(b: pa.Table) -> pa.RecordBatch:
             cols = [np.array(b.column(c).combine_chunks(), np.int64) for c in range(1, 7)]
             bits = np.array(b.column(7).combine_chunks().flatten(), np.int64).view(U).reshape(-1, SKETCH // 64)
-            a, c = judge(cols, bits)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(c)], names=["a", "b"])
+            a, c, cut = judge(cols, bits)
+            who, th = cols[2], np.array(b.column(8).combine_chunks(), np.int64)
+            more = [b.column(0)[0].as_py()] if cut else []
+            out = [pa.array([*x.tolist(), *[None] * len(more)], pa.int64()) for x in (who[a], who[c], th[a], th[c])]
+            return pa.RecordBatch.from_arrays([*out, pa.array([None] * len(a) + more, pa.int64())], names=names)
 
         for b in batches:
             if not b.num_rows:
@@ -372,7 +381,8 @@ def _rest_pairs(members: DataFrame, known: DataFrame, roots: DataFrame, done: Da
             yield flush(pa.Table.from_batches(held))
 
     dealt = m.repartition("g", "x", "y").sortWithinPartitions("g", "x", "y", "s")
-    return dealt.mapInArrow(run, "a long, b long").distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
+    found = dealt.mapInArrow(run, ", ".join(f"{c} long" for c in names)).distinct()
+    return common.materialize(found.join(done.select("a", "b"), ["a", "b"], "left_anti").select(*names), "pairs")
 
 
 def classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, text: str = "text") -> DataFrame:
@@ -386,12 +396,15 @@ def classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, text: st
     done = _verified(_possible(_first_pairs(members, num, den), known, num, den), docs, n, num, den, text)
     roots = components(done.where("linked"))
     for best in (BEST, None):
-        more = _verified(_possible(_rest_pairs(members, known, roots, done, best, num, den), known, num, den), docs, n, num, den, text)
-        if not more.where("linked").isEmpty():
-            done = done.unionByName(more)
-            roots = components(done.where("linked"))
-        else:
-            done = done.unionByName(more)
+        rest = _rest_pairs(members, known, roots, done, best, num, den)
+        more = _verified(rest.where("a is not null").drop("cut"), docs, n, num, den, text)
+        linked = not more.where("linked").isEmpty()
+        done = done.unionByName(more)
+        roots = components(done.where("linked")) if linked else roots
+        cut = common.materialize(rest.where("cut is not null").select(F.col("cut").alias("g")).distinct(), "cut")
+        if best is None or cut.isEmpty():
+            break
+        members = common.some_of(members, cut, "g")
     # Least identifiers per set, then per component; documents join by set only.
     per_set = sets.where("n > 0").groupBy("s").agg(F.min("doc_id").alias("least")).join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
     per_root = per_set.groupBy("root").agg(F.min("least").alias("component_id"))
