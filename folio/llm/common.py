@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import tempfile
 import types
@@ -26,11 +27,24 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, most: int = 8 << 20):
+    """While a write runs, Arrow batches to Python hold `most` bytes: they lie in memory twice, in the executor and in its worker."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was) if was is not None else spark.conf.unset(key)
+
+
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     """Cut the lineage: write df once to the shared folder and read it back."""
     spark = df.sparkSession
     to = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(to)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(to)
     return spark.read.schema(df.schema).parquet(to)
 
 
