@@ -194,4 +194,4 @@ def encode(docs: DataFrame, vocab_path: str, text: str = "text", digests: bool =
                     out.append(pa.array(ids, pa.binary()))
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *out], names=[*kept, *names])
 
-    return src.mapInArrow(run, ", ".join(filter(None, [*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema), new])))
+    return src.mapInArrow(common.lean(run), ", ".join(filter(None, [*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema), new])))

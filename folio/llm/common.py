@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import sys
 import tempfile
 import types
@@ -58,6 +59,34 @@ def worker_cache() -> dict:
     return mod.__dict__.setdefault("items", {})
 
 
+def settle() -> None:
+    """Make this Python worker give memory back: Arrow's own pool and malloc keep what they once had, and idle workers keep it beside the executor's heap."""
+    if "settled" not in worker_cache():
+        worker_cache()["settled"] = True
+        pa.set_memory_pool(pa.system_memory_pool())
+        with contextlib.suppress(OSError, AttributeError):  # not glibc
+            ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD: larger blocks go back to the system when freed
+
+
+def trim() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def lean(run):
+    """run, a function of Arrow batches, in a worker that gives back the memory it does not use."""
+
+    def wrapped(batches):
+        settle()
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return wrapped
+
+
 def flat_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(all bytes, n + 1 offsets) of a string or binary array without copying; nulls count as empty."""
     if pa.types.is_string(col.type):
@@ -160,7 +189,7 @@ def zip_texts(docs: DataFrame, key: str = "th", text: str = "text") -> DataFrame
                 b = b.take(pa.array(new, pa.int64()))
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array([pack(x) for x in b.column(1).to_pylist()], pa.binary())], names=["th", "z"])
 
-    return docs.select(F.col(key).alias("th"), F.col(text).cast("binary").alias("t")).mapInArrow(run, "th long, z binary")
+    return docs.select(F.col(key).alias("th"), F.col(text).cast("binary").alias("t")).mapInArrow(lean(run), "th long, z binary")
 
 
 def some_of(df: DataFrame, keys: DataFrame, on: str, most: int = 2_000_000) -> DataFrame:

@@ -193,7 +193,7 @@ def _buckets(docs: DataFrame, n: int, num: int, den: int, text: str) -> DataFram
                 yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in cols], pa.nulls(len(cols[0]), longs)], names=names)
 
     t = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("th"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
-    return t.mapInArrow(run, "key long, s long, size int, kind int, of long, th long, bits array<long>")
+    return t.mapInArrow(common.lean(run), "key long, s long, size int, kind int, of long, th long, bits array<long>")
 
 
 def _gathered(buckets: DataFrame) -> DataFrame:
@@ -248,7 +248,7 @@ def _gathered(buckets: DataFrame) -> DataFrame:
             yield done
 
     dealt = buckets.repartition("key").sortWithinPartitions("key", "s")
-    return dealt.mapInArrow(run, "g long, s long, size int, doc boolean, doc_id long, th long, bits array<long>")
+    return dealt.mapInArrow(common.lean(run), "g long, s long, size int, doc boolean, doc_id long, th long, bits array<long>")
 
 
 def _with_sets(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -295,7 +295,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int, tex
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(hit, pa.bool_())], names=["a", "b", "linked"])
 
     met = left.unionByName(right).repartition("b", "part").sortWithinPartitions("b", "part", F.col("a").asc_nulls_first())
-    return common.materialize(met.mapInArrow(run, "a long, b long, linked boolean"), "verified")
+    return common.materialize(met.mapInArrow(common.lean(run), "a long, b long, linked boolean"), "verified")
 
 
 def _first_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
@@ -381,7 +381,7 @@ def _rest_pairs(members: DataFrame, known: DataFrame, roots: DataFrame, done: Da
             yield flush(pa.Table.from_batches(held))
 
     dealt = m.repartition("g", "x", "y").sortWithinPartitions("g", "x", "y", "s")
-    found = dealt.mapInArrow(run, ", ".join(f"{c} long" for c in names)).distinct()
+    found = dealt.mapInArrow(common.lean(run), ", ".join(f"{c} long" for c in names)).distinct()
     return common.materialize(found.join(done.select("a", "b"), ["a", "b"], "left_anti").select(*names), "pairs")
 
 

@@ -97,4 +97,4 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text",
                 cols = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array([g[0] != NONE and g[2] < min_margin for g in got], pa.bool_())]
                 yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], *cols], names=[*kept, *names])
 
-    return docs.select(*kept, F.when(letters, F.col(text)).alias("__text")).mapInArrow(run, ", ".join(fields))
+    return docs.select(*kept, F.when(letters, F.col(text)).alias("__text")).mapInArrow(common.lean(run), ", ".join(fields))

@@ -173,7 +173,7 @@ def _featured(docs: DataFrame, text: str) -> DataFrame:
                 x = features(*common.flat_bytes(b.column(2)))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(list(x), pa.list_(pa.float64()))], names=[*names, "x"])
 
-    return docs.select("doc_id", "__y", F.col(text).alias("__text")).mapInArrow(run, "doc_id long, __y int, x array<double>")
+    return docs.select("doc_id", "__y", F.col(text).alias("__text")).mapInArrow(common.lean(run), "doc_id long, __y int, x array<double>")
 
 
 def train(docs: DataFrame, labelled: DataFrame, label: str = "quality", text: str = "text", rows: int = 20_000) -> Additive:
@@ -195,10 +195,12 @@ def score(docs: DataFrame, model: Additive, text: str = "text", to: str = "score
 
     @F.arrow_udf("double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        common.settle()
         for whole in batches:
             out = [np.zeros(0)]
             for b in common.slices(pa.RecordBatch.from_arrays([whole], names=["t"]), "t"):
                 out.append(shipped.value.score(features(*common.flat_bytes(b.column(0)))))
             yield pa.array(np.concatenate(out), pa.float64())
+        common.trim()
 
     return docs.withColumn(to, run(F.coalesce(F.col(text), F.lit(""))))

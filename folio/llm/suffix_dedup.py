@@ -124,7 +124,7 @@ def _runs(docs: DataFrame, width: int, gram: int, keep: str) -> DataFrame:
                 cols = [np.append(key, marks).view(np.int64), np.append(hot.astype(np.int32), pad.astype(np.int32) + 2), np.append(ctx.view(np.int64), pad), np.append(th[doc], pad), np.append(order[doc], pad), np.append(place, pad)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=[x.split()[0] for x in schema.split(", ")])
 
-    return docs.select("th", "ord", F.col("text").cast("binary").alias("t")).mapInArrow(run, schema)
+    return docs.select("th", "ord", F.col("text").cast("binary").alias("t")).mapInArrow(common.lean(run), schema)
 
 
 def _judged(runs: DataFrame, keep: str) -> DataFrame:
@@ -183,7 +183,7 @@ def _judged(runs: DataFrame, keep: str) -> DataFrame:
             yield done
 
     dealt = runs.repartition("anchor").sortWithinPartitions("anchor", "ctx", "ord", "th", "place")
-    return dealt.mapInArrow(run, schema)
+    return dealt.mapInArrow(common.lean(run), schema)
 
 
 def _contexts(texts: DataFrame, rows: DataFrame, width: int) -> DataFrame:
@@ -205,7 +205,7 @@ def _contexts(texts: DataFrame, rows: DataFrame, width: int) -> DataFrame:
                             c.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=[x.split()[0] for x in schema.split(", ")])
 
-    return joined.select("th", "z", "rows").mapInArrow(run, schema)
+    return joined.select("th", "z", "rows").mapInArrow(common.lean(run), schema)
 
 
 def _edges(contexts: DataFrame, width: int, keep: str) -> DataFrame:
@@ -242,7 +242,7 @@ def _edges(contexts: DataFrame, width: int, keep: str) -> DataFrame:
         if held:
             yield judge(held)
 
-    return contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "th long, ord long, place long")
+    return contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(common.lean(run), "th long, ord long, place long")
 
 
 def _hot_windows(contexts: DataFrame, width: int, keep: str) -> DataFrame:
@@ -260,7 +260,7 @@ def _hot_windows(contexts: DataFrame, width: int, keep: str) -> DataFrame:
                 h = common.range_hashes(raw, s, s + width)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(th[row]), pa.array(order[row]), pa.array(((place[row] >> 8) + inside) * 256)], names=["h", "th", "ord", "place"])
 
-    w = contexts.mapInArrow(run, "h long, th long, ord long, place long").withColumn("salt", F.pmod(F.hash("th"), F.lit(SALTS)))
+    w = contexts.mapInArrow(common.lean(run), "h long, th long, ord long, place long").withColumn("salt", F.pmod(F.hash("th"), F.lit(SALTS)))
     part = w.groupBy("h", "salt").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("ord", "th", "place")).alias("first"))
     over = Window.partitionBy("h")
     total = part.select("h", "salt", F.sum("n").over(over).alias("n"), F.min("first").over(over).alias("first"))
@@ -315,7 +315,7 @@ def removed(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, keep: str = "
 
     values = ["copies", "first", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
     # Written, so that the join below deals out both sides and a text with very many copies can be split.
-    result = common.materialize(each.mapInArrow(cut, fields).groupBy("th").agg(*[F.min(c).alias(c) for c in values]), "results")
+    result = common.materialize(each.mapInArrow(common.lean(cut), fields).groupBy("th").agg(*[F.min(c).alias(c) for c in values]), "results")
     out = d.select("doc_id", "ord", "th").join(result, "th")
     if keep == "first":  # of equal texts only those of the least identifier keep anything
         later = (F.col("copies") > 1) & (F.col("ord") > F.col("first")) & (F.col("n_bytes") >= width)

@@ -82,7 +82,7 @@ def _histograms(candidates: DataFrame, shipped, low: np.ndarray, shift: np.ndarr
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["cell", "n"])
 
     out = np.zeros(n * bins, np.int64)
-    got = candidates.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    got = candidates.mapInArrow(common.lean(run), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     out[np.array(got["cell"], np.int64)] = np.array(got["n"], np.int64)
     edges.unpersist()
     return out.reshape(n, bins)
@@ -123,7 +123,7 @@ def _pass(candidates: DataFrame, ids: np.ndarray, q: np.ndarray, most: int, k: i
             held = best(np.concatenate([held, np.stack([qid[c], who[r], s[r, c]], axis=1)]))
         yield pa.RecordBatch.from_arrays([pa.array(held[:, i], pa.int64()) for i in range(3)], names=["query_id", "vec_id", "score"])
 
-    return candidates.mapInArrow(run, "query_id long, vec_id long, score long")
+    return candidates.mapInArrow(common.lean(run), "query_id long, vec_id long, score long")
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, block: int = 2048) -> DataFrame:

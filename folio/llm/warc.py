@@ -199,7 +199,7 @@ def read(spark: SparkSession, path: str, data: bool = False) -> DataFrame:
         if rows:
             yield pa.RecordBatch.from_pylist(rows, pa.schema(fields))
 
-    return lines.mapInArrow(run, schema)
+    return lines.mapInArrow(common.lean(run), schema)
 
 
 def round_trip(records: DataFrame, min_bytes: int = 0, segment_bytes: int = 1 << 20) -> DataFrame:
