@@ -168,8 +168,7 @@ def _judged(runs: DataFrame, keep: str) -> DataFrame:
         for b in batches:
             held = [np.append(h, np.array(c, np.int64)) for h, c in zip(held, b.columns)]
             cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
-            if not cut and len(held[0]) > HOT_ALL:  # more of one anchor than is gathered: all its rows get the same kind
-                held[1][0] = 2 if held[1][0] == 0 else held[1][0]
+            if not cut and len(held[0]) > HOT_ALL:  # more of one anchor than is gathered: all its rows get the same kind, and a mark stays for the rest
                 done = judge(held)
                 head = held[0][-1:]
                 if done is not None:

@@ -61,6 +61,23 @@ def test_equals_brute_force(spark, keep, hot, monkeypatch):
     assert got == brute(rows, 200, keep)
 
 
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_anchors_of_many_batches(spark, keep, monkeypatch):
+    """No run is lost where one anchor fills several batches."""
+    monkeypatch.setattr(suffix_dedup, "HOT_ALL", 4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        r = random.Random(7)
+        text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+        passage = text(210)
+        rows = [(i, text(r.randint(0, 300)) + passage + text(r.randint(0, 300))) for i in range(12)]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = sorted((tuple(x) for x in suffix_dedup.removed(df, keep=keep).collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == brute(rows, 200, keep)
+
+
 def test_documents(spark):
     t = pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pylist()
     rows = [(r["doc_id"], r["text"]) for r in t]
