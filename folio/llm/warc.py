@@ -99,9 +99,9 @@ def archive_rows(roles: DataFrame, segment_bytes: int = 1 << 20, date: str = "20
     return r.select(F.concat(head.cast("binary"), F.col("__block")).cast("string").alias("value"))
 
 
-def write(rows: DataFrame, to: str, records_per_file: int = 100_000) -> str:
-    """Write archive_rows() as .warc.gz files in the folder `to`."""
-    rows.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(to)
+def write(rows: DataFrame, to: str) -> str:
+    """Write archive_rows() as .warc.gz files in the folder `to`: one for each task, so that the segments of a payload stay in one file."""
+    rows.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", 0).text(to)
     return to
 
 

@@ -48,3 +48,13 @@ def test_files_and_chunks(spark, tmp_path):
     for r in one:
         assert r.digest == base64.b32encode(hashlib.sha1((b"abc" * 1000)[: r.n_bytes]).digest()).decode()
     assert b"".join(r.data for r in rows if r.record_id == "urn:page:2") == b"\x00\xff\r\n\r\n\x80"
+
+
+def test_segments_stay_in_one_file(spark):
+    df = spark.createDataFrame([(1, "u", "x" * 100_001, "k")], "page_id long, url string, html string, record_type string")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "1000")
+    try:
+        got = warc.digest_query(df, segment_bytes=1).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert [tuple(r)[:2] for r in got] == [(1, 100_001)] and got[0].intact
