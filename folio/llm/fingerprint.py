@@ -1,14 +1,14 @@
 """Document fingerprints by Order MinHash.
 
-The k-mers of a text (pairs of neighbouring units: words, or characters where words are few) are numbered by occurrence,
-so that repeated ones differ. The BOTTOM of least hash are kept; for each of SKETCH seeds the TUPLE least of these are
+Half of the entries are drawn from the pairs of neighbouring words of a text, half from those of its characters, at every
+size, so entries of two texts can always be compared. The k-mers (pairs) of a kind are numbered by occurrence, so that repeated ones differ. The BOTTOM of least hash are kept; for each of SKETCH seeds the TUPLE least of these are
 selected, put in the order in which they stand in the text, and hashed together. Two texts agree in an entry if they
 share the selected k-mers in the same order, so the share of agreeing entries falls with edits, also with moves.
 
 All is SQL functions over arrays: positions and hashes are packed into longs, so that sorting is on plain numbers.
 
-Defined results: null text is empty; an empty text has the fingerprint '' and is like empty texts only (1, else 0); equal texts
-have equal fingerprints; rows of one doc_id follow each other by a hash of their text; a null doc_id comes first; a single
+Defined results: null text is empty; an empty text has the fingerprint '' and is like empty texts only (1, else 0); a text of blanks only
+has no words and is taken by characters alone; equal texts have equal fingerprints; rows of one doc_id follow each other by a hash of their text; a null doc_id comes first; a single
 document is its own next one; an empty table gives an empty table; very long texts are taken whole.
 """
 
@@ -20,9 +20,8 @@ from pyspark.sql import functions as F
 SKETCH, TUPLE, BOTTOM = 32, 2, 64
 #: Bits of a packed long that hold a position.
 PLACE = 28
-#: A text of fewer words than the first number, or with longer ones on average, is taken by characters; one of more than the second by words;
-#: between them half of the entries come from either, so that an edit across a border leaves half of the entries comparable.
-FEW_WORDS, LONG_WORD = (48, 96), 64
+#: Words and characters are taken at every size: by words from one word on, by characters up to any number of words of any length.
+FEW_WORDS, LONG_WORD = (1, 2**31 - 1), 2**31 - 1
 RANGES = 2048
 
 
@@ -34,10 +33,10 @@ def codes(x: str) -> str:
     def kept(units: str) -> str:
         """The BOTTOM k-mers of least hash in text order: position above, hash below."""
         packed = f"sort_array(transform(u, (w, i) -> (xxhash64(w, get(u, i + 1)) & {top}L) | i))"
-        # Equal k-mers are neighbours now, in text order; how many of its kind come before one, by halving steps.
-        same = f"(i - o - shiftleft(1, b) >= 0 and shiftright(k[greatest(i - o - shiftleft(1, b), 0)], {PLACE}) = shiftright(p, {PLACE}))"
-        nth = f"if(i > 0 and shiftright(k[greatest(i - 1, 0)], {PLACE}) = shiftright(p, {PLACE}), aggregate(sequence({PLACE - 1}, 0, -1), 0, (o, b) -> if({same}, o + shiftleft(1, b), o)), 0)"
-        numbered = f"slice(sort_array(transform(k, (p, i) -> (xxhash64(shiftright(p, {PLACE}), {nth}) & {top}L) | (p & {mask}L))), 1, {BOTTOM})"
+        # Equal k-mers are neighbours now, in text order: s holds where each kind starts, m is how many of its kind come before one.
+        starts = f"filter(sequence(0, size(k) - 1), i -> i = 0 or shiftright(k[greatest(i - 1, 0)], {PLACE}) <> shiftright(k[i], {PLACE}))"
+        nth = f"transform(slice(k, o + 1, coalesce(get(s, j + 1), size(k)) - o), (p, m) -> (xxhash64(shiftright(p, {PLACE}), m) & {top}L) | (p & {mask}L))"
+        numbered = f"slice(sort_array(flatten({let('s', starts, f'transform(s, (o, j) -> {nth})')})), 1, {BOTTOM})"
         placed = f"sort_array(transform(n, q -> shiftleft(q & {mask}L, {63 - PLACE}) | (shiftrightunsigned(q, {PLACE + 1}))))"
         return let("u", units, let("k", packed, let("n", numbered, placed)))
 
@@ -47,12 +46,11 @@ def codes(x: str) -> str:
         return f"transform(sequence({first}, {last}), r -> {let('c', chosen, f'cast(xxhash64({ids}, r) & 65535 as int)')})"
 
     words = f"filter(split({x}, ' '), w -> w <> '')"
-    count = f"if(length({x}) > {LONG_WORD} * size(ws), 0, size(ws))"
-    by_words = f"if(nw >= {FEW_WORDS[0]}, {kept('ws')}, cast(null as array<bigint>))"
-    by_chars = f"if(nw <= {FEW_WORDS[1]}, {kept(f"regexp_extract_all({x}, '(?s).', 0)")}, cast(null as array<bigint>))"
+    by_words = f"if(size(ws) > 0, {kept('ws')}, cast(null as array<bigint>))"
+    by_chars = kept(f"split({x}, '')")
     half = SKETCH // 2
-    entries = let("f", "coalesce(sw, sc)", let("g", "coalesce(sc, sw)", f"concat({sketch('f', 0, half - 1)}, {sketch('g', half, SKETCH - 1)})"))
-    return f"if({x} = '', cast(array() as array<int>), {let('ws', words, let('nw', count, let('sw', by_words, let('sc', by_chars, entries))))})"
+    entries = let("f", "coalesce(sw, sc)", f"concat({sketch('f', 0, half - 1)}, {sketch('sc', half, SKETCH - 1)})")
+    return f"if({x} = '', cast(array() as array<int>), {let('ws', words, let('sw', by_words, let('sc', by_chars, entries)))})"
 
 
 def as_text(c: str) -> str:

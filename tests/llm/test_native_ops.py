@@ -3,6 +3,7 @@
 import hashlib
 import heapq
 import math
+import random
 import re
 
 import xxhash
@@ -192,3 +193,20 @@ def test_fingerprints(spark):
     assert one[0].near_next == 1.0
     twice = fingerprint.digest_query(df.union(df)).collect()
     assert len(twice) == 2 * len(texts)
+
+
+def test_fingerprints_of_all_sizes_compare(spark):
+    """An edit that changes the number or the length of words much leaves both kinds of entries comparable."""
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    long, prose = "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(1500)), " ".join(word() for _ in range(70))
+    few, many = " ".join(word() for _ in range(44)), " ".join(word() for _ in range(90))
+    pairs = [(long, long + " " + prose), (few, few + " " + many[:41]), (many, many + " " + few[:69])]
+    df = spark.createDataFrame([(2 * i + j, t) for i, p in enumerate(pairs) for j, t in enumerate(p)], "doc_id long, text string")
+    got = {x.doc_id: x for x in fingerprint.digest_query(df).collect()}
+    like = lambda a, b, s: sum(a[4 * i : 4 * i + 4] == b[4 * i : 4 * i + 4] for i in s) / len(s)
+    half = fingerprint.SKETCH // 2
+    for i in range(len(pairs)):
+        a, b = got[2 * i].fingerprint, got[2 * i + 1].fingerprint
+        assert like(a, b, range(half, 2 * half)) > 0.2, i
+    assert all(like(got[2 * i].fingerprint, got[2 * i + 1].fingerprint, range(half)) > 0.1 for i in (1, 2))
