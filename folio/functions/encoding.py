@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from folio.functions.detect import extension
 from folio.functions.text import case
 
-SAMPLE_BYTES = 65536
+#: All of a file: its contents are in memory anyway, and a part may end within a character.
+SAMPLE_BYTES = 2**31 - 1
 
 
 def has_bom(content: Column) -> Column:

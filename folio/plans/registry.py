@@ -297,7 +297,7 @@ def _contents(spark, d):
 @query(r"""WITH l AS (SELECT doc_id, text, regexp_replace(text, '[^\x00-\x{FF}]', '?', 'g') AS latin FROM documents), x AS (SELECT doc_id, doc_id % 5 = 0 AND NOT regexp_full_match(latin, '(?s)[\x00-\x7F]*') AS odd, doc_id % 5 <> 0 AND doc_id % 3 = 0 AS bom, text, latin FROM l)
 SELECT doc_id, CASE WHEN odd THEN 'iso-8859-1' ELSE 'utf-8' END AS encoding, bom, CASE WHEN doc_id % 5 = 0 THEN sha256(latin) ELSE sha256(text) END AS sha, 'd/' || doc_id || '.utf8.txt' AS normalized_path FROM x""")
 def encoding_detect(spark, d):
-    x = _contents(spark, d).withColumn("e", encoding.detect(F.col("content"), 1 << 30))
+    x = _contents(spark, d).withColumn("e", encoding.detect(F.col("content")))
     return x.select("doc_id", "e.encoding", "e.bom", F.sha2(encoding.decode(F.col("content"), F.col("e.encoding")), 256).alias("sha"), encoding.normalized_path(F.col("path")).alias("normalized_path"))
 
 
@@ -306,7 +306,7 @@ SELECT count(*) AS total_items, count(*) AS normalized, count(*) FILTER (WHERE b
 def encoding_stage_stats(spark, d):
     from folio.plans.chain import encoding_stats
 
-    return encoding_stats(_contents(spark, d).select(encoding.detect(F.col("content"), 1 << 30).alias("e")).select("e.*"))
+    return encoding_stats(_contents(spark, d).select(encoding.detect(F.col("content")).alias("e")).select("e.*"))
 
 
 # ---- pages and documents

@@ -83,6 +83,16 @@ def test_encoding(spark):
     assert (name("a/b.txt"), name("a/b")) == ("a/b.utf8.txt", "a/b.utf8.txt")
 
 
+def test_encoding_of_whole_files(spark):
+    from folio.plans import chain
+    from folio.sources import files
+
+    cut, bad = ("x" * 65_535 + "é").encode(), b"x" * 70_000 + b"\xe9"
+    df = spark.createDataFrame([("a.txt", cut), ("b.txt", bad)], "path string, content binary")
+    assert {r.path: r.encoding for r in chain.encoded(df).collect()} == {"a.txt": "utf-8", "b.txt": "iso-8859-1"}
+    assert {r.path: r.text for r in files.text_pages(df).collect()} == {"a.txt": cut.decode(), "b.txt": bad.decode("latin-1")}
+
+
 def test_thinning_of_logs(spark):
     df = spark.createDataFrame([(i, t, "k") for i, t in enumerate((0.0, 0.0, 0.0, 2.1, 3.2))], "i int, t double, k string")
     ids = lambda x: sorted(r.i for r in x.collect())
