@@ -4,9 +4,13 @@ The distinct new words of a batch lie in one flat symbol array. In each round ev
 in a word is looked up by binary search over the sorted pair keys; each word then merges all places of
 its lowest-ranked pair, left to right, until no word has a known pair. As every merge of the vocabulary
 makes a token of its own, whose later merges rank higher, this equals merging one pair at a time.
+Long words also merge, in the same round, each place that ranks lowest among those within `reach` (the bytes
+of the longest token) of it: a merge of lower rank from farther off would have to make a longer token to get there.
 
-Defined results: null text counts as empty and has 0 tokens; a text of any length is encoded whole;
-equal texts have equal ids; an empty table gives an empty table; other columns are not touched.
+Decoding looks the tokens of all ids of a batch up in one table and joins them, text by text.
+
+Defined results: null text counts as empty and has 0 tokens; a text of any length, and a word of any length, is
+encoded whole; equal texts have equal ids; an empty table gives an empty table; other columns are not touched.
 """
 
 from __future__ import annotations
@@ -18,17 +22,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm import common
 
-# Fixed values of the tokenizer's file format.
-WHITE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + WHITE + r"\p{L}\p{N}]+"
+# Fixed values of the tokenizer's file format: what `\s` stands for inside a class, and the mark of a word's end.
+WHITE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 END = "</w>"
-CACHE_WORDS = 500_000
+#: A worker keeps the ids of so many bytes of words.
+CACHE_BYTES = 32 << 20
 
 
 def byte_chars() -> list[str]:
@@ -39,9 +44,12 @@ def byte_chars() -> list[str]:
 
 
 def load(vocab_path: str) -> dict:
-    """The tables that encoding needs, small enough to ship: sorted pair keys with rank and product, tokens, specials."""
+    """The tables that encoding needs, small enough to ship: sorted pair keys with rank and product, tokens, specials, the words' pattern."""
     with open(vocab_path, encoding="utf-8") as f:
         spec = json.load(f)
+    steps = [x["type"] for x in spec["normalizer"]["normalizers"]], [x["type"] for x in spec["pre_tokenizer"]["pretokenizers"]]
+    if steps != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]) or spec["decoder"] or spec["model"]["end_of_word_suffix"] != END:
+        raise ValueError(f"{vocab_path}: not a word-level BPE of this format")
     vocab, n = spec["model"]["vocab"], len(spec["model"]["vocab"])
     pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
     keys = np.array([vocab[a] * n + vocab[b] for a, b in pairs], np.int64)
@@ -55,11 +63,22 @@ def load(vocab_path: str) -> dict:
         tokens[i] = s
     chars = byte_chars()
     return {
+        "pattern": spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", WHITE), "reach": max(len(x.removesuffix(END)) for x in vocab),
         "n": n, "keys": keys[order], "rank": order.astype(np.int64), "made": made[order], "tokens": tokens, "special": special,
         "inner": np.array([vocab[c] for c in chars], np.int64), "last": np.array([vocab[c + END] for c in chars], np.int64),
     }
 
 
+def _least_near(rank: np.ndarray, reach: int) -> np.ndarray:
+    """The least of rank[i - reach : i + reach + 1] for each i."""
+    pad = np.full(reach, np.iinfo(np.int64).max)
+    m, size, width = np.concatenate([pad, rank, pad]), 1, 2 * reach + 1
+    while 2 * size <= width:
+        m = np.minimum(m[:-size], m[size:])
+        size *= 2
+    return np.minimum(m[: len(rank)], m[width - size : width - size + len(rank)])
+
+
 def merge_rounds(symbols: np.ndarray, word: np.ndarray, t: dict) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, word of each) after all merges. Words that have no known pair left leave the working set."""
     done_s, done_w = [], []
@@ -78,11 +97,14 @@ def merge_rounds(symbols: np.ndarray, word: np.ndarray, t: dict) -> tuple[np.nda
         if ready.any():
             done_s.append(symbols[ready])
             done_w.append(word[ready])
-        hit = (rank == best) & ~ready
-        # A pair of equal symbols can overlap itself: of a run of places every second one merges, from the left.
-        i = np.arange(len(hit))
-        begun = np.maximum.accumulate(np.where(hit & ~np.append(False, hit[:-1]), i, 0))
-        hit &= (i - begun) % 2 == 0
+        # Neighbouring places of one rank overlap (equal symbols): of such a run every second one merges, from the left, if all of it may.
+        begun = np.flatnonzero(np.append(True, rank[1:] != rank[:-1]))
+        run = np.diff(np.append(begun, len(rank)))
+        hit = rank == best
+        if length.max() > 4 * t["reach"]:  # else hardly a place more
+            near = np.logical_and.reduceat(hit | (rank <= _least_near(rank, t["reach"] + 1)), begun)
+            hit |= np.repeat(near, run)
+        hit &= (rank < none) & ((np.arange(len(rank)) - np.repeat(begun, run)) % 2 == 0)
         symbols = np.where(hit, t["made"][at], symbols)
         keep = ~ready & ~np.append(False, hit[:-1])
         symbols, word = symbols[keep], word[keep]
@@ -106,11 +128,12 @@ def encode_words(words: list[str], t: dict) -> list[np.ndarray]:
 
 
 class Codec:
-    """Encodes whole texts; keeps the pieces of the words it has met, up to CACHE_WORDS."""
+    """Encodes whole texts; keeps the ids of the words it has met, up to CACHE_BYTES of words."""
 
     def __init__(self, t: dict):
-        self.t, self.words, self.find = t, {}, regex.compile(WORDS).findall
+        self.t, self.words, self.held, self.find = t, {}, 0, regex.compile(t["pattern"]).findall
         self.apart = regex.compile("(" + "|".join(map(regex.escape, t["special"])) + ")").split if t["special"] else None
+        self.tokens = pa.array(t["tokens"], pa.large_string())
 
     def split(self, text: str) -> list[str]:
         """The words of a text; a special token stands as itself, and no word that the pattern finds can equal it."""
@@ -123,29 +146,25 @@ class Codec:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # letters are lowered one by one
         return self.find(text.lower())
 
-    def learn(self, texts: list[list[str]]) -> None:
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, little-endian unsigned 32-bit."""
+        split = [self.split(x or "") for x in texts]
+        if self.held > CACHE_BYTES:
+            self.words, self.held = {}, 0
         if not self.words:
-            self.words |= {s: (np.array([i], "<u4").tobytes(), s) for s, i in self.t["special"].items()}
-        if new := list({w for ws in texts for w in ws}.difference(self.words)):
-            tokens = self.t["tokens"]
-            for w, ids in zip(new, encode_words(new, self.t)):
-                self.words[w] = (ids.tobytes(), " ".join([tokens[i] for i in ids.tolist()]))
-
-    def ids(self, words: list[str]) -> bytes:
+            self.words |= {s: np.array([i], "<u4").tobytes() for s, i in self.t["special"].items()}
         known = self.words
-        return b"".join([known[w][0] for w in words])
-
-    def decoded(self, words: list[str]) -> str:
-        known = self.words
-        return " ".join([known[w][1] for w in words])
-
+        if new := list({w for ws in split for w in ws}.difference(known)):
+            for w, ids in zip(new, encode_words(new, self.t)):
+                known[w] = ids.tobytes()
+                self.held += len(w)
+        return [b"".join([known[w] for w in ws]) for ws in split]
 
-def decode(ids: bytes, t: dict) -> str:
-    """The text of little-endian 32-bit ids: the file names no decoder, so tokens are joined by spaces."""
-    tokens = t["tokens"]
-    return " ".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
+    def decode(self, ids: list[bytes]) -> pa.Array:
+        """The text of each: the file names no decoder, so tokens are joined by spaces."""
+        off = np.cumsum([0, *(len(x) // 4 for x in ids)])
+        tokens = self.tokens.take(pa.array(np.frombuffer(b"".join(ids), "<u4")))
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(off, pa.int32()), tokens), pa.scalar(" ", pa.large_string()))
 
 
 def _codec(shipped) -> Codec:
@@ -166,32 +185,38 @@ class _Shipped:
         return self.b.value
 
 
+def _sha256(values: Iterator[bytes]) -> pa.Array:
+    return pa.array([hashlib.sha256(x).hexdigest() for x in values], pa.string())
+
+
 def encode(docs: DataFrame, vocab_path: str, text: str = "text", digests: bool = False) -> DataFrame:
     """docs' columns (text itself only if digests is False) with n_tokens and ids (binary, little-endian
-    unsigned 32-bit) or, with digests, n_tokens, ids_sha256 and decoded_sha256.
+    unsigned 32-bit) or, with digests, n_tokens, ids_sha256 and decoded_sha256 (of the ids decoded).
 
-    A column of docs that has the name of a new one is replaced.
+    Only the text goes through Python. A column of docs that has the name of a new one is replaced.
     """
-    spark = docs.sparkSession
-    shipped = _Shipped(spark, load(vocab_path), f"{vocab_path}")
+    shipped = _Shipped(docs.sparkSession, load(vocab_path), f"{vocab_path}")
     new = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "n_tokens long, ids binary"
     names = [x.split()[0] for x in new.split(", ")]
+    types = [pa.int64(), pa.string(), pa.string()] if digests else [pa.int64(), pa.binary()]
     kept = [c for c in docs.columns if c not in names and not (digests and c == text)]
-    src = docs.select(*kept, F.col(text).alias("__text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(f"struct<{new.replace(' ', ':').replace(',:', ', ')}>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        common.settle()
         codec = _codec(shipped)
         for whole in batches:
-            for batch in common.slices(whole, "__text"):
-                texts = [codec.split(x or "") for x in batch.column(len(kept)).to_pylist()]
-                codec.learn(texts)
-                ids = [codec.ids(ws) for ws in texts]
+            parts = [pa.StructArray.from_arrays([pa.nulls(0, t) for t in types], names=names)]
+            for b in common.slices(pa.RecordBatch.from_arrays([whole], names=["t"]), "t"):
+                ids = codec.encode(b.column(0).to_pylist())
                 out = [pa.array([len(x) // 4 for x in ids], pa.int64())]
                 if digests:
-                    out.append(pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()))
-                    out.append(pa.array([hashlib.sha256(codec.decoded(ws).encode("utf-8")).hexdigest() for ws in texts], pa.string()))
+                    out += [_sha256(ids), _sha256(x.as_buffer() for x in codec.decode(ids))]
                 else:
                     out.append(pa.array(ids, pa.binary()))
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *out], names=[*kept, *names])
+                parts.append(pa.StructArray.from_arrays(out, names=names))
+            yield pa.concat_arrays(parts)
+        common.trim()
 
-    return src.mapInArrow(common.lean(run), ", ".join(filter(None, [*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema), new])))
+    made = docs.select(*kept, run(F.col(text)).alias("__made"))
+    return made.select(*kept, *[F.col(f"__made.{n}").alias(n) for n in names])
