@@ -1,14 +1,18 @@
 """Document fingerprints by Order MinHash.
 
-Half of the entries are drawn from the pairs of neighbouring words of a text, half from those of its characters, at every
-size, so entries of two texts can always be compared. The k-mers (pairs) of a kind are numbered by occurrence, so that repeated ones differ. The BOTTOM of least hash are kept; for each of SKETCH seeds the TUPLE least of these are
-selected, put in the order in which they stand in the text, and hashed together. Two texts agree in an entry if they
-share the selected k-mers in the same order, so the share of agreeing entries falls with edits, also with moves.
+A text's units are its words, in pieces of at most PIECE characters from the word's start; letters of scripts that are written without
+blanks are units of their own. The k-mers (pairs of neighbouring units) are numbered by occurrence, so that repeated ones differ. For each of SKETCH seeds
+the TUPLE least of all numbered k-mers under the seed's order are selected, put in the order in which they stand in the text, and hashed together.
+Two texts agree in an entry if they share the selected k-mers in the same order, so the share of agreeing entries falls with edits, also with moves.
+
+A seed is a hash function and a turn: k-mers are ordered by (hash - turn) modulo the range of hashes. For a random hash each k-mer is the least with the
+same chance, as any hash function gives it. RINGS hash functions with SKETCH / RINGS turns each thus cost one sort per function: with the turns
+sorted among the hashes, the k-mers of a seed are those that follow its turn, around the ring.
 
 All is SQL functions over arrays: positions and hashes are packed into longs, so that sorting is on plain numbers.
 
-Defined results: null text is empty; an empty text has the fingerprint '' and is like empty texts only (1, else 0); a text of blanks only
-has no words and is taken by characters alone; equal texts have equal fingerprints; rows of one doc_id follow each other by a hash of their text; a null doc_id comes first; a single
+Defined results: null text is empty; an empty text has the fingerprint '' and is like empty texts only (1, else 0); a text of blanks only is one unit; a text of a single
+unit has one k-mer, in all entries; equal texts have equal fingerprints; rows of one doc_id follow each other by a hash of their text; a null doc_id comes first; a single
 document is its own next one; an empty table gives an empty table; very long texts are taken whole.
 """
 
@@ -17,40 +21,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SKETCH, TUPLE, BOTTOM = 32, 2, 64
-#: Bits of a packed long that hold a position.
+SKETCH, RINGS, TUPLE, PIECE = 32, 4, 2, 12
+#: Bits of a packed long that hold a position, from 1 (0: a turn).
 PLACE = 28
-#: Words and characters are taken at every size: by words from one word on, by characters up to any number of words of any length.
-FEW_WORDS, LONG_WORD = (1, 2**31 - 1), 2**31 - 1
-RANGES = 2048
+#: Ranges of identifiers hold about so many bytes of text; there are at most so many.
+LEAST_RANGES, RANGE_BYTES, MOST_RANGES = 2048, 64 << 20, 1 << 17
+# Blocks of scripts written without blanks (Thai to Tibetan, Myanmar, Khmer, East Asian).
+UNSPACED = r"\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u2E80-\uA4CF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
+UNIT = rf"[{UNSPACED}]|[^\s{UNSPACED}]{{1,{PIECE}}}"
+
 
+def with_codes(df: DataFrame, text: str, to: str) -> DataFrame:
+    """df with the column `to`: the SKETCH entries (0 to 65535) of the text; an empty array for an empty one.
 
-def codes(x: str) -> str:
-    """SQL: the SKETCH entries (0 to 65535) of the SQL string x; an empty array for an empty text."""
+    Each step is a column of its own, so that sorts run on plain arrays of longs."""
+    mask, top, turns = (1 << PLACE) - 1, -(1 << PLACE), SKETCH // RINGS
     let = lambda name, value, body: f"transform(array({value}), {name} -> {body})[0]"
-    mask, top, low = (1 << PLACE) - 1, -(1 << PLACE), (1 << (63 - PLACE)) - 1
-
-    def kept(units: str) -> str:
-        """The BOTTOM k-mers of least hash in text order: position above, hash below."""
-        packed = f"sort_array(transform(u, (w, i) -> (xxhash64(w, get(u, i + 1)) & {top}L) | i))"
-        # Equal k-mers are neighbours now, in text order: s holds where each kind starts, m is how many of its kind come before one.
-        starts = f"filter(sequence(0, size(k) - 1), i -> i = 0 or shiftright(k[greatest(i - 1, 0)], {PLACE}) <> shiftright(k[i], {PLACE}))"
-        nth = f"transform(slice(k, o + 1, coalesce(get(s, j + 1), size(k)) - o), (p, m) -> (xxhash64(shiftright(p, {PLACE}), m) & {top}L) | (p & {mask}L))"
-        numbered = f"slice(sort_array(flatten({let('s', starts, f'transform(s, (o, j) -> {nth})')})), 1, {BOTTOM})"
-        placed = f"sort_array(transform(n, q -> shiftleft(q & {mask}L, {63 - PLACE}) | (shiftrightunsigned(q, {PLACE + 1}))))"
-        return let("u", units, let("k", packed, let("n", numbered, placed)))
-
-    def sketch(s: str, first: int, last: int) -> str:
-        chosen = f"sort_array(transform(slice(sort_array(transform({s}, (q, j) -> (xxhash64(q & {low}L, r) & -{BOTTOM * 2}L) | j)), 1, {TUPLE}), c -> c & {BOTTOM * 2 - 1}L))"
-        ids = ", ".join(f"get({s}, cast(get(c, {i}) as int)) & {low}L" for i in range(TUPLE))
-        return f"transform(sequence({first}, {last}), r -> {let('c', chosen, f'cast(xxhash64({ids}, r) & 65535 as int)')})"
-
-    words = f"filter(split({x}, ' '), w -> w <> '')"
-    by_words = f"if(size(ws) > 0, {kept('ws')}, cast(null as array<bigint>))"
-    by_chars = kept(f"split({x}, '')")
-    half = SKETCH // 2
-    entries = let("f", "coalesce(sw, sc)", f"concat({sketch('f', 0, half - 1)}, {sketch('sc', half, SKETCH - 1)})")
-    return f"if({x} = '', cast(array() as array<int>), {let('ws', words, let('sw', by_words, let('sc', by_chars, entries)))})"
+    d = df.withColumn("__u", F.expr(f"if(rlike({text}, r'\\S'), regexp_extract_all({text}, r'{UNIT}', 0), if({text} = '', array(), array({text})))"))
+    d = d.withColumn("__k", F.expr(f"sort_array(transform(__u, (w, i) -> (xxhash64(w, get(__u, i + 1)) & {top}L) | (i + 1)))"))
+    # Equal k-mers are neighbours now, in text order: s holds where each kind starts, m is how many of its kind come before one.
+    starts = f"filter(sequence(0, size(__k) - 1), i -> i = 0 or shiftright(__k[greatest(i - 1, 0)], {PLACE}) <> shiftright(__k[i], {PLACE}))"
+    d = d.withColumn("__s", F.expr(f"if(size(__k) = 0, array(), {starts})"))
+    nth = f"transform(slice(__k, o + 1, coalesce(get(__s, j + 1), size(__k)) - o), (p, m) -> (xxhash64(p & {top}L, m) & {top}L) | (p & {mask}L))"
+    alone = f"(xxhash64(__k[o] & {top}L, 0) & {top}L) | (__k[o] & {mask}L)"
+    numbered = f"if(size(__s) = size(__k), transform(__s, o -> {alone}), flatten(transform(__s, (o, j) -> {nth})))"
+    d = d.withColumn("__n", F.expr(numbered))
+    rings = []
+    for ring in range(RINGS):
+        marks = ", ".join(f"{(2 * j + 1) * (1 << 62) // turns - (1 << 63) + (j << 60) // turns & top}L" for j in range(turns))
+        hashed = "__n" if ring == 0 else f"transform(__n, q -> (xxhash64(q & {top}L, {ring}) & {top}L) | (q & {mask}L))"
+        d = d.withColumn(f"__r{ring}", F.expr(f"sort_array(concat({hashed}, array({marks})))"))
+        # Where the turns lie; the k-mer of rank p among k-mers is p places on, and one more for each turn before it.
+        d = d.withColumn(f"__t{ring}", F.expr(f"filter(sequence(0, size(__r{ring}) - 1), i -> (__r{ring}[i] & {mask}L) = 0)"))
+        at = lambda p: let("p", f"({p}) % size(__n)", f"__r{ring}[p + size(filter(__t{ring}, (v, z) -> v - z <= p))]")  # noqa: E731, B023
+        chosen = "array_sort(array(" + ", ".join(at(f"i - j + {c}") for c in range(TUPLE)) + f"), (a, b) -> cast(sign((a & {mask}L) - (b & {mask}L)) as int))"
+        ids = ", ".join(f"c[{i}] & {top}L" for i in range(TUPLE))
+        entry = let("c", chosen, f"cast(xxhash64({ids}, {ring}, j) & 65535 as int)")
+        rings.append(f"transform(__t{ring}, (i, j) -> {entry})")
+    d = d.withColumn(to, F.expr(f"if(size(__n) = 0, cast(array() as array<int>), concat({', '.join(rings)}))"))
+    return d.drop("__u", "__k", "__s", "__n", *[f"__{x}{r}" for x in "rt" for r in range(RINGS)])
 
 
 def as_text(c: str) -> str:
@@ -65,13 +74,15 @@ def likeness(a: str, b: str) -> str:
 def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", prefix: str = "next_") -> DataFrame:
     """docs with the values of `columns` of the next document by key (of the first after the last).
 
-    The key's quantiles cut the rows into ranges, each a group of one window. The first row of a range also goes to the range
+    The key's quantiles cut the rows into ranges, more of them the more bytes the first column holds, each a group of one window. The first row of a range also goes to the range
     before it (that of the first range to the last), so no row needs another group."""
     k = F.coalesce(F.col(key).cast("long"), F.lit(-(2**63)))
-    cuts = docs.select(k.alias("k")).agg(F.min("k"), F.percentile_approx("k", [i / RANGES for i in range(1, RANGES)], 100 * RANGES)).first()
-    if cuts[0] is None:
+    least, size = docs.select(k.alias("k"), F.octet_length(columns[0]).alias("n")).agg(F.min("k"), F.sum("n")).first()
+    if least is None:
         return docs.select("*", *[F.col(c).alias(prefix + c) for c in columns])
-    bounds = sorted({cuts[0], *cuts[1]})
+    ranges = min(max(LEAST_RANGES, (size or 0) // RANGE_BYTES), MOST_RANGES)
+    cuts = docs.select(k.alias("k")).agg(F.percentile_approx("k", [i / ranges for i in range(1, ranges)], 100 * ranges)).first()[0]
+    bounds = sorted({least, *cuts})
     held = docs.withColumns({"__k": k, "__bounds": F.lit(bounds)})
     steps = len(bounds).bit_length()
     held = held.withColumn(
@@ -88,11 +99,11 @@ def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", prefix:
 
 def digest_query(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of docs (doc_id, text)."""
-    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t")).withColumn("c", F.expr(codes("t")))
+    d = with_codes(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t")), "t", "c")
     d = with_next(d, ["t", "c"]).withColumn("n", F.length("t"))
-    edited = "concat(substr(t, 1, cast(n - n div 4 as int)), substr(next_t, 1, cast(n div 4 as int)))"
-    d = d.withColumn("e", F.expr(f"transform(array({edited}), x -> named_struct('sha', sha2(x, 256), 'c', {codes('x')}))[0]"))
+    d = d.withColumn("x", F.expr("concat(substr(t, 1, cast(n - n div 4 as int)), substr(next_t, 1, cast(n div 4 as int)))")).drop("t", "next_t")
+    d = with_codes(d.withColumn("sha", F.sha2("x", 256)), "x", "e")
     return d.selectExpr(
-        "doc_id", "cast(n as bigint) as n_chars", "e.sha as edited_sha256", f"{as_text('c')} as fingerprint", f"{as_text('e.c')} as edited_fingerprint",
-        f"{likeness('c', 'e.c')} as near_edited", f"{likeness('c', 'next_c')} as near_next",
+        "doc_id", "cast(n as bigint) as n_chars", "sha as edited_sha256", f"{as_text('c')} as fingerprint", f"{as_text('e')} as edited_fingerprint",
+        f"{likeness('c', 'e')} as near_edited", f"{likeness('c', 'next_c')} as near_next",
     )

@@ -143,32 +143,38 @@ def xx(*xs):
     return seed - 2**64 if seed >= 2**63 else seed
 
 
+def units(t):
+    own = lambda c: any(lo <= ord(c) <= hi for lo, hi in ((0xE00, 0xFFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0xA4CF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)))
+    out, run = [], ""
+    for c in t + " ":
+        if own(c) or c in " \t\n\x0b\f\r" or len(run) == fingerprint.PIECE:
+            out += [run] * bool(run)
+            run = ""
+        if own(c):
+            out.append(c)
+        elif c not in " \t\n\x0b\f\r":
+            run += c
+    return out or [t]
+
+
 def codes(t):
-    """Order MinHash, written plainly."""
+    """Order MinHash, written plainly: each seed orders all numbered k-mers and takes the least."""
     if t == "":
         return []
-    place, low, m = fingerprint.PLACE, 63 - fingerprint.PLACE, 2 * fingerprint.BOTTOM
-
-    def bottom(units):
-        seen, kept = {}, []
-        for i, u in enumerate(units):
-            h = xx(u, units[i + 1] if i + 1 < len(units) else None) >> place
-            n = seen[h] = seen.get(h, -1) + 1
-            kept.append((xx(h, n.to_bytes(4, "little")) >> place, i))
-        kept = sorted(kept)[: fingerprint.BOTTOM]
-        return [((i << low) | ((h % 2 ** (64 - place)) >> 1)) for h, i in sorted(kept, key=lambda x: x[1])]
-
-    ws = [w for w in t.split(" ") if w]
-    n = 0 if len(t) > fingerprint.LONG_WORD * len(ws) else len(ws)
-    by_words = bottom(ws) if n >= fingerprint.FEW_WORDS[0] else None
-    by_chars = bottom(list(t)) if n <= fingerprint.FEW_WORDS[1] else None
-    out = []
-    for r in range(fingerprint.SKETCH):
-        s = (by_words or by_chars) if r < fingerprint.SKETCH // 2 else (by_chars or by_words)
-        seed = r.to_bytes(4, "little")
-        best = sorted((xx(q & (2**low - 1), seed) & -m) | j for j, q in enumerate(s))[: fingerprint.TUPLE]
-        js = sorted(b & (m - 1) for b in best)
-        out.append(xx(*[s[j] & (2**low - 1) for j in js], seed) & 65535)
+    top = lambda h: (h >> fingerprint.PLACE) << fingerprint.PLACE
+    seen, kmers, u = {}, [], units(t)
+    for i, w in enumerate(u):
+        h = top(xx(w, u[i + 1] if i + 1 < len(u) else None))
+        n = seen[h] = seen.get(h, -1) + 1
+        kmers.append((top(xx(h, n.to_bytes(4, "little"))), i))
+    out, turns = [], fingerprint.SKETCH // fingerprint.RINGS
+    for ring in range(fingerprint.RINGS):
+        hashed = [(h if ring == 0 else top(xx(h, ring.to_bytes(4, "little"))), i) for h, i in kmers]
+        for j in range(turns):
+            turn = top((2 * j + 1) * 2**62 // turns - 2**63 + (j << 60) // turns)
+            best = sorted(hashed, key=lambda x: ((x[0] - turn) % 2**64, x[1]))[: fingerprint.TUPLE]
+            best = best if len(best) > 1 else best * fingerprint.TUPLE
+            out.append(xx(*[h for h, _ in sorted(best, key=lambda x: x[1])], ring.to_bytes(4, "little"), j.to_bytes(4, "little")) & 65535)
     return out
 
 
@@ -196,17 +202,40 @@ def test_fingerprints(spark):
 
 
 def test_fingerprints_of_all_sizes_compare(spark):
-    """An edit that changes the number or the length of words much leaves both kinds of entries comparable."""
+    """One unit for all texts: an edit that changes the number or the length of words much leaves texts comparable."""
     r = random.Random(3)
     word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
-    long, prose = "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(1500)), " ".join(word() for _ in range(70))
+    long, prose, token = "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(1500)), " ".join(word() for _ in range(70)), "".join(r.choice("abcdefgh") for _ in range(9000))
     few, many = " ".join(word() for _ in range(44)), " ".join(word() for _ in range(90))
-    pairs = [(long, long + " " + prose), (few, few + " " + many[:41]), (many, many + " " + few[:69])]
+    pairs = [(long, long + " " + prose), (few, few + " " + many[:41]), (many, many + " " + few[:69]), (token, token[:8000] + " " + prose)]
     df = spark.createDataFrame([(2 * i + j, t) for i, p in enumerate(pairs) for j, t in enumerate(p)], "doc_id long, text string")
-    got = {x.doc_id: x for x in fingerprint.digest_query(df).collect()}
-    like = lambda a, b, s: sum(a[4 * i : 4 * i + 4] == b[4 * i : 4 * i + 4] for i in s) / len(s)
-    half = fingerprint.SKETCH // 2
-    for i in range(len(pairs)):
-        a, b = got[2 * i].fingerprint, got[2 * i + 1].fingerprint
-        assert like(a, b, range(half, 2 * half)) > 0.2, i
-    assert all(like(got[2 * i].fingerprint, got[2 * i + 1].fingerprint, range(half)) > 0.1 for i in (1, 2))
+    got = {x.doc_id: x.near_next for x in fingerprint.digest_query(df).collect()}
+    assert all(got[2 * i] > 0.4 for i in range(len(pairs))), got
+
+
+def test_ranges_of_identifiers(spark, monkeypatch):
+    """Equal identifiers in bulk, and more ranges than rows."""
+    rows = [(7, f"t{i}") for i in range(300)] + [(9, "a b c"), (None, "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(fingerprint, "RANGE_BYTES", 1)
+    got = fingerprint.with_next(df, ["text"]).collect()
+    follows = {r.text: r.next_text for r in got}
+    at, seen = "n", []
+    for _ in rows:
+        seen.append(at)
+        at = follows[at]
+    assert at == "n" and len(set(seen)) == len(rows) and seen[-1] == "a b c"
+
+
+def test_likeness_falls_with_edits():
+    """Over random texts, the likeness estimates what all pairs of k-mers give, and does so without a bias for long texts."""
+    r = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    for n in (60, 600):
+        got = []
+        for _ in range(60):
+            a = [r.choice(vocabulary) for _ in range(n)]
+            b = a[: n - n // 4] + [r.choice(vocabulary) for _ in range(n // 4)]
+            x, y = codes(" ".join(a)), codes(" ".join(b))
+            got.append(sum(p == q for p, q in zip(x, y)) / len(x))
+        assert 0.28 < sum(got) / len(got) < 0.46, n  # 0.6 squared, the share of pairs of k-mers that both have
