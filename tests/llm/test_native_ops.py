@@ -5,6 +5,7 @@ import heapq
 import math
 import random
 import re
+import time
 
 import xxhash
 from hypothesis import given, settings
@@ -125,6 +126,28 @@ def test_spans_of_random_texts(spark, texts):
         assert r.base_sha256 == hashlib.sha256(",".join(base(texts[r.doc_id])).encode()).hexdigest(), texts[r.doc_id]
 
 
+def test_context_words_and_borders(spark):
+    texts = {
+        "hotel 555-123-4567": "", "Tel 555-123-4567": "national_phone:4:16", "555-123-4567 (call)": "national_phone:0:12", "hot" + "x" * 37 + "tel 555-123-4567": "", "tel" + " " * 38 + "555-123-4567": "",
+        "tel" + " " * 37 + "555-123-4567": "national_phone:40:52", "555-123-4567" + " " * 37 + "fax": "national_phone:0:12", "555-123-4567" + " " * 36 + "faxes": "", "call 1555-123-4567": "", "call 555-123-45678": "",
+        "é" * 600 + " ssn: 078-05-1120 " + "é" * 600: "ssn:606:617", "ssn 1078-05-1120": "", "xDE89370400440532013000": "", "ssn 078-05-1120 or ssn 078-05-1121": "ssn:4:15,ssn:23:34",
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {list(texts)[r.doc_id]: r.spans for r in pii.digest_query(df).collect()}
+    assert got == texts
+
+
+def test_many_matches_take_no_square_time(spark):
+    one = "ask some.one@mail.example or +1 (017) 555-7713 at 10.0.0.1; "
+    df = spark.createDataFrame([(1, one * 16_000)], "doc_id long, text string")
+    pii.digest_query(spark.createDataFrame([(0, one)], "doc_id long, text string")).collect()
+    start = time.perf_counter()
+    r = pii.digest_query(df).collect()[0]
+    assert (r.n_email, r.n_phone, r.n_ip) == (16_000, 16_000, 16_000) and time.perf_counter() - start < 20
+    start = time.perf_counter()
+    assert pii.redact(df).collect()[0].text == "ask [EMAIL] or [PHONE] at [IP]; " * 16_000 and time.perf_counter() - start < 20
+
+
 def test_redact(spark):
     df = spark.createDataFrame([(1, "mail x@y.zz and +1 (017) 555-7713!"), (2, None), (3, "é clean"), (4, "+4111111111111111@a.b")], "doc_id long, text string")
     got = {r.doc_id: r.text for r in pii.redact(df).collect()}
