@@ -32,8 +32,8 @@ from folio.llm import common
 # Fixed values of the tokenizer's file format: what `\s` stands for inside a class, and the mark of a word's end.
 WHITE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 END = "</w>"
-#: A worker keeps the ids of so many bytes of words.
-CACHE_BYTES = 32 << 20
+#: A worker keeps the ids of words of so many bytes, with what a word takes beside its letters.
+CACHE_BYTES, PER_WORD = 64 << 20, 200
 
 
 def byte_chars() -> list[str]:
@@ -128,7 +128,7 @@ def encode_words(words: list[str], t: dict) -> list[np.ndarray]:
 
 
 class Codec:
-    """Encodes whole texts; keeps the ids of the words it has met, up to CACHE_BYTES of words."""
+    """Encodes whole texts; keeps the ids of the words it has met, up to CACHE_BYTES."""
 
     def __init__(self, t: dict):
         self.t, self.words, self.held, self.find = t, {}, 0, regex.compile(t["pattern"]).findall
@@ -157,7 +157,7 @@ class Codec:
         if new := list({w for ws in split for w in ws}.difference(known)):
             for w, ids in zip(new, encode_words(new, self.t)):
                 known[w] = ids.tobytes()
-                self.held += len(w)
+                self.held += len(w) + PER_WORD
         return [b"".join([known[w] for w in ws]) for ws in split]
 
     def decode(self, ids: list[bytes]) -> pa.Array:
