@@ -4,17 +4,18 @@ A byte goes if a string of `width` bytes that covers it also starts elsewhere (k
 position (keep="first").
 
 1. Every window of `width` bytes gets its anchor (winnow.py): equal windows have equal anchors at equal places. Consecutive windows of one
-   anchor are a run; its context is the bytes they cover. One row per run is dealt out by the hash of the anchor.
-2. Runs whose anchor occurs once are done. Equal contexts are copies of each other. Only the windows of anchors with unlike contexts (the
-   edges of copies) need a look at the bytes: their contexts are gathered by anchor, and the suffixes that begin there are sorted. The
-   previous and next smaller position in suffix order give each the longest earlier match, capped at `width`; the same over reversed
-   positions gives the longest later one.
-3. Anchors with very many runs are not gathered: their windows are counted by hash, salted, in DataFrame operations.
+   anchor are a run; its context is the bytes they cover. One row per run is dealt out by the hash of the anchor; runs alone with theirs are done.
+2. The contexts of the others are gathered by anchor, as bytes. The suffixes that begin at the runs' starts are sorted; the previous and next smaller
+   position in suffix order give each its longest earlier match (the longest previous factor); the same over reversed positions gives the longest
+   later one. What these matches cover is done, most often the whole run. Where something is left, all suffixes of the anchor's unlike contexts are
+   sorted, capped at `width`, and the same arrays decide window by window.
+3. Anchors with very many runs or unlike contexts are not gathered: their windows are counted by 128-bit hashes, salted, in DataFrame operations.
+   Each task counts its anchors in a sketch, so what is frequent is spread before the shuffle.
 4. Each distinct text meets its removed stretches once; the results go to the documents by the hash of their text.
 
 Defined results: null text is empty; texts are UTF-8 bytes; repeated rows and equal texts are copies of each other (with keep="first" all
 but those of the least identifier go); texts under `width` bytes stay; matches do not cross documents; an empty table gives an empty table.
-Texts, contexts and (for 3.) windows are told apart by 64-bit hashes.
+Equal texts are found by 64-bit hashes, so that their copies are counted before anything is dealt out; matches are decided on bytes but for 3.
 """
 
 from __future__ import annotations
@@ -31,16 +32,18 @@ from pyspark.sql import functions as F
 from folio.llm import common, winnow
 
 WIDTH, GRAM = 200, 64
-#: An anchor with so many runs in a slice of texts, or in all, is not gathered.
+#: An anchor with so many runs in a task, or in all, is not gathered.
 HOT_HERE, HOT_ALL = 128, 50_000
 SALTS = 64
-#: An anchor with so many unlike contexts to look at is not gathered either: a group's windows must fit a worker.
+#: An anchor with so many unlike contexts is not gathered either: a group's windows must fit a worker.
 HOT_EDGES = 1_500
-#: Suffixes sorted at once.
-BATCH = 30_000
+#: Suffixes sorted at once; bytes of contexts held at once, but for one anchor's.
+BATCH, HELD = 30_000, 4 << 20
+#: Cells of the sketch of a task's anchors.
+CELLS = 1 << 21
 #: So many text hashes (8 bytes each) are broadcast; more are joined.
 MOST_BROADCAST_ROWS = 2_000_000
-ALONE, COPY, PARTNER, EDGE, HOT, HOT_PARTNER = range(6)
+ALONE, SHARED, HOT = range(3)
 
 
 # ---- suffix order
@@ -82,18 +85,32 @@ def suffix_order(data: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.n
     return order, lcp
 
 
-def matched(data: np.ndarray, starts: np.ndarray, position: np.ndarray, width: int, keep: str) -> np.ndarray:
-    """True for each start whose `width` bytes also start elsewhere (keep="none") or at a smaller position (keep="first")."""
-    order, lcp = suffix_order(data, starts, width)
+def longest_matches(order: np.ndarray, lcp: np.ndarray, position: np.ndarray, keep: str) -> np.ndarray:
+    """The longest match of each suffix with one elsewhere (keep="none") or at a smaller position (keep="first")."""
     pos = position[order]
     best = longest_previous(pos, lcp)
     if keep == "none":
         best = np.maximum(best, longest_previous(-pos, lcp))
-    out = np.zeros(len(starts), bool)
-    out[order] = best >= width
+    out = np.zeros(len(order), np.int64)
+    out[order] = best
     return out
 
 
+def context_order(texts: list[bytes], first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order of the strings, equal ones in the order `first`; lcp of neighbours)."""
+    order = np.array(sorted(first.tolist(), key=texts.__getitem__), np.int64)
+    size = np.array([len(t) for t in texts])
+    wide = int(size.max())
+    rows = np.array(texts, f"S{wide}").view(np.uint8).reshape(len(texts), wide)
+    lcp = np.zeros(len(texts), np.int64)
+    for at in range(1, len(texts), 8192):
+        part = order[at - 1 : at + 8192]
+        differ = rows[part[1:]] != rows[part[:-1]]
+        same = np.where(differ.any(axis=1), differ.argmax(axis=1), wide)
+        lcp[at : at + 8192] = np.minimum(same, np.minimum(size[part[1:]], size[part[:-1]]))  # rows are padded
+    return order, lcp
+
+
 # ---- the distributed parts
 
 
@@ -103,6 +120,8 @@ def _runs(docs: DataFrame, width: int, gram: int, keep: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        marked: set[int] = set()
+        sketch = np.zeros(CELLS, np.int32)
         for whole in batches:
             for b in common.slices(whole, "t", 1 << 20):
                 th, order = np.array(b.column(0), np.int64), np.array(b.column(1), np.int64)
@@ -115,10 +134,11 @@ def _runs(docs: DataFrame, width: int, gram: int, keep: str) -> DataFrame:
                 lo, hi, at, anchor = winnow.runs(raw, off, width, gram)
                 ctx = common.range_hashes(raw, lo, hi + width) ^ common.mix((at - lo).astype(np.uint64))
                 doc = np.searchsorted(off, lo, "right") - 1
-                uniq, inverse, count = np.unique(anchor, return_inverse=True, return_counts=True)
-                hot = (count >= HOT_HERE)[inverse]
+                cell = (anchor >> np.uint64(20)) % np.uint64(CELLS)
+                sketch += np.bincount(cell.astype(np.int64), minlength=CELLS).astype(np.int32)
+                hot = sketch[cell] >= HOT_HERE
                 key = np.where(hot, common.mix(anchor + th[doc].astype(np.uint64)), anchor)
-                marks = uniq[count >= HOT_HERE]
+                marks = np.array([x for x in np.unique(anchor[hot]).tolist() if x not in marked and not marked.add(x)], np.uint64)
                 pad = np.zeros(len(marks), np.int64)
                 place = (lo - off[doc]) * 256 + (hi - lo)
                 cols = [np.append(key, marks).view(np.int64), np.append(hot.astype(np.int32), pad.astype(np.int32) + 2), np.append(ctx.view(np.int64), pad), np.append(th[doc], pad), np.append(order[doc], pad), np.append(place, pad)]
@@ -127,36 +147,20 @@ def _runs(docs: DataFrame, width: int, gram: int, keep: str) -> DataFrame:
     return docs.select("th", "ord", F.col("text").cast("binary").alias("t")).mapInArrow(common.lean(run), schema)
 
 
-def _judged(runs: DataFrame, keep: str) -> DataFrame:
-    """The runs that are not alone, with their kind; runs are gathered by anchor in one exchange, and read in order."""
+def _judged(runs: DataFrame) -> DataFrame:
+    """The runs that are not alone, SHARED or HOT; runs are gathered by anchor in one exchange, and read in order."""
     schema = "anchor long, kind int, th long, ord long, place long"
 
     def judge(x: np.ndarray) -> pa.RecordBatch | None:
         """x: columns anchor, hot, ctx, th, ord, place of whole anchors."""
         anchor, hot, ctx, th, order, place = x
         same_anchor = np.append(False, anchor[1:] == anchor[:-1])
-        same_ctx = same_anchor & np.append(False, ctx[1:] == ctx[:-1])
         a0 = np.flatnonzero(~same_anchor)
         per_anchor = np.diff(np.append(a0, len(anchor)))
-        rep = lambda v: np.repeat(v, per_anchor)
-        c0 = np.flatnonzero(~same_ctx)
-        copies = np.diff(np.append(c0, len(anchor)))
-        n_copies, first = np.repeat(copies, copies), ~same_ctx
-        unlike = rep(np.add.reduceat(first.astype(np.int64), a0)) > 1
-        kind = np.full(len(anchor), ALONE)
-        copied = n_copies > 1
-        if keep == "none":
-            kind[copied] = COPY
-            kind[unlike & copied & first] = PARTNER
-        else:
-            kind[copied & ~first] = COPY
-            copied = copied & ~first
-        kind[unlike & ~copied] = EDGE
-        marked = rep((np.maximum.reduceat(hot, a0) == 2) | (per_anchor > HOT_ALL))
-        wide = rep(np.add.reduceat(((kind == EDGE) | (kind == PARTNER)).astype(np.int64), a0) > HOT_EDGES)
-        kind[wide & (kind == EDGE)] = HOT
-        kind[wide & (kind == PARTNER)] = HOT_PARTNER
-        kind[(hot == 1) | marked] = HOT
+        unlike = np.add.reduceat((~(same_anchor & np.append(False, ctx[1:] == ctx[:-1]))).astype(np.int64), a0)
+        wide = (np.maximum.reduceat(hot, a0) == 2) | (per_anchor > HOT_ALL) | (unlike > HOT_EDGES)
+        kind = np.repeat(np.where(wide, HOT, np.where(per_anchor > 1, SHARED, ALONE)), per_anchor)
+        kind[hot == 1] = HOT
         kind[hot == 2] = ALONE
         k = kind != ALONE
         if not k.any():
@@ -207,45 +211,74 @@ def _contexts(texts: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     return joined.select("th", "z", "rows").mapInArrow(common.lean(run), schema)
 
 
-def _edges(contexts: DataFrame, width: int, keep: str) -> DataFrame:
+def _matched(contexts: DataFrame, width: int, keep: str) -> DataFrame:
     """(th, ord, place) of the runs of windows that have a match, among the contexts of each anchor."""
 
-    def judge(group: list[tuple]) -> pa.RecordBatch:
-        size = np.array([(p & 255) + 1 for _, _, _, _, p, _ in group])
-        data = np.frombuffer(b"".join([g[5] for g in group]), np.uint8)
-        begin = np.cumsum(np.append(0, [len(g[5]) for g in group]))[:-1]
-        ctx = np.repeat(np.arange(len(group)), size)
+    def dense(texts: list[bytes], lo: np.ndarray, size: np.ndarray, ids: list[np.ndarray], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(context, first window, last window) of the matches among all windows of the texts."""
+        begin = np.cumsum(np.append(0, [len(t) for t in texts]))[:-1]
+        ctx = np.repeat(np.arange(len(texts)), size)
         inside = np.arange(len(ctx)) - np.repeat(np.cumsum(size) - size, size)
-        lo = np.array([p >> 8 for _, _, _, _, p, _ in group])
-        place = np.lexsort((lo[ctx] + inside, np.array([g[2] for g in group])[ctx], np.array([g[3] for g in group])[ctx]))
+        place = np.lexsort((lo[ctx] + inside, ids[0][ctx], ids[1][ctx]))
         position = np.empty(len(ctx), np.int64)
         position[place] = np.arange(len(ctx))
-        hit = matched(data, begin[ctx] + inside, position, width, keep) & (np.array([g[1] for g in group]) == EDGE)[ctx]
-        at = np.flatnonzero(hit)
-        cut = np.flatnonzero((np.diff(at) != 1) | (np.diff(ctx[at]) != 0)) + 1 if len(at) else np.zeros(0, int)
-        first, last = at[np.append(0, cut)] if len(at) else at, at[np.append(cut, len(at)) - 1] if len(at) else at
-        th = np.array([g[2] for g in group], np.int64)[ctx[first]] if len(at) else np.zeros(0, np.int64)
-        order = np.array([g[3] for g in group], np.int64)[ctx[first]] if len(at) else np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(th), pa.array(order), pa.array((lo[ctx[first]] + inside[first]) * 256 + (last - first))], names=["th", "ord", "place"])
+        order, lcp = suffix_order(np.frombuffer(b"".join(texts), np.uint8), begin[ctx] + inside, width)
+        at = np.flatnonzero((longest_matches(order, lcp, position, keep) >= width) & wanted[ctx])
+        if not len(at):
+            return at, at, at
+        cut = np.flatnonzero((np.diff(at) != 1) | (np.diff(ctx[at]) != 0)) + 1
+        first, last = at[np.append(0, cut)], at[np.append(cut, len(at)) - 1]
+        return ctx[first], inside[first], inside[last]
+
+    def judge(ints: list[np.ndarray], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        anchor, th, order, place = ints
+        lo, size = place >> 8, (place & 255) + 1
+        by = np.lexsort((place, th, order))
+        position = np.empty(len(by), np.int64)
+        position[by] = np.arange(len(by))
+        suffixes, lcp = context_order(texts, by)
+        best = longest_matches(suffixes, lcp, position, keep)
+        length = size + width - 1
+        found = np.maximum(best - width + 1, 0)  # windows that the match of a run's start covers
+        out = [(np.flatnonzero(found), 0 * found[found > 0], found[found > 0] - 1)]
+        # Of equal contexts the first stands for all; the others are wholly matched.
+        lead = np.zeros(len(by), bool)
+        lead[suffixes] = (lcp < length[suffixes]) | np.append(True, length[suffixes[1:]] != length[suffixes[:-1]])
+        a0 = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+        per = np.diff(np.append(a0, len(anchor)))
+        left = found < size
+        open_ = np.logical_or.reduceat(left, a0) & (np.add.reduceat(lead.astype(np.int64), a0) > 1)
+        rows = np.flatnonzero(np.repeat(open_, per) & lead)
+        suffixes_of = np.cumsum(size[rows])
+        at = 0
+        while at < len(rows):
+            # Whole anchors, of about BATCH suffixes.
+            to = int(np.searchsorted(suffixes_of, (suffixes_of[at - 1] if at else 0) + BATCH, "right"))
+            to = int(np.searchsorted(anchor[rows], anchor[rows[max(to, at + 1) - 1]], "right"))
+            r = rows[at:to]
+            c, first, last = dense([texts[i] for i in r], lo[r], size[r], [th[r], order[r]], left[r])
+            out.append((r[c], first, last))
+            at = to
+        row, first, last = (np.concatenate(x) for x in zip(*out))
+        yield pa.RecordBatch.from_arrays([pa.array(th[row]), pa.array(order[row]), pa.array((lo[row] + first) * 256 + (last - first))], names=["th", "ord", "place"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        suffixes = 0
-        for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
-                if suffixes >= BATCH and row[0] != held[-1][0]:
-                    yield judge(held)
-                    held, suffixes = [], 0
-                held.append(row)
-                suffixes += (row[4] & 255) + 1
-        if held:
-            yield judge(held)
+        held, texts = [np.zeros(0, np.int64)] * 4, []
+        for whole in batches:
+            for b in common.slices(whole, "bytes", HELD):
+                held = [np.append(h, np.array(b.column(i), np.int64)) for h, i in zip(held, (0, 2, 3, 4))]
+                texts += b.column(5).to_pylist()
+                if cut := int(np.searchsorted(held[0], held[0][-1])):
+                    yield from judge([h[:cut] for h in held], texts[:cut])
+                    held, texts = [h[cut:] for h in held], texts[cut:]
+        if texts:
+            yield from judge(held, texts)
 
     return contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(common.lean(run), "th long, ord long, place long")
 
 
 def _hot_windows(contexts: DataFrame, width: int, keep: str) -> DataFrame:
-    """(th, ord, place) of the windows of hot anchors that have a match: counted by their hash in two salted levels."""
+    """(th, ord, place) of the windows of hot anchors that have a match: counted by their hashes in two salted levels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -257,13 +290,14 @@ def _hot_windows(contexts: DataFrame, width: int, keep: str) -> DataFrame:
                 inside = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
                 s = off[row] + inside
                 h = common.range_hashes(raw, s, s + width)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(th[row]), pa.array(order[row]), pa.array(((place[row] >> 8) + inside) * 256)], names=["h", "th", "ord", "place"])
-
-    w = contexts.mapInArrow(common.lean(run), "h long, th long, ord long, place long").withColumn("salt", F.pmod(F.hash("th"), F.lit(SALTS)))
-    part = w.groupBy("h", "salt").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("ord", "th", "place")).alias("first"))
-    over = Window.partitionBy("h")
-    total = part.select("h", "salt", F.sum("n").over(over).alias("n"), F.min("first").over(over).alias("first"))
-    both = w.join(total, ["h", "salt"]).where("n > 1")
+                g = common.range_hashes(raw ^ np.uint8(0x5A), s, s + width)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), pa.array(th[row]), pa.array(order[row]), pa.array(((place[row] >> 8) + inside) * 256)], names=["h", "g", "th", "ord", "place"])
+
+    w = contexts.mapInArrow(common.lean(run), "h long, g long, th long, ord long, place long").withColumn("salt", F.pmod(F.hash("th"), F.lit(SALTS)))
+    part = w.groupBy("h", "g", "salt").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("ord", "th", "place")).alias("first"))
+    over = Window.partitionBy("h", "g")
+    total = part.select("h", "g", "salt", F.sum("n").over(over).alias("n"), F.min("first").over(over).alias("first"))
+    both = w.join(total, ["h", "g", "salt"]).where("n > 1")
     return (both if keep == "none" else both.where(F.struct("ord", "th", "place") != F.col("first"))).select("th", "ord", "place")
 
 
@@ -276,12 +310,11 @@ def removed(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, keep: str = "
     d = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     d = d.withColumn("ord", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)))
     long_enough = d.where(F.octet_length("text") >= width)
-    judged = common.materialize(_judged(_runs(long_enough, width, gram, keep), keep), "runs")
+    judged = common.materialize(_judged(_runs(long_enough, width, gram, keep)), "runs")
 
     texts = common.zip_texts(d)
-    contexts = common.materialize(_contexts(texts, judged.where(F.col("kind") >= PARTNER), width), "contexts")
-    edges = common.materialize(_edges(contexts.where(F.col("kind") < HOT), width, keep).unionByName(_hot_windows(contexts.where(F.col("kind") >= HOT), width, keep)), "edges")
-    gone = judged.where(F.col("kind").isin(COPY, PARTNER, HOT_PARTNER)).select("th", "ord", "place").unionByName(edges)
+    contexts = common.materialize(_contexts(texts, judged, width), "contexts")
+    gone = _matched(contexts.where(F.col("kind") == SHARED), width, keep).unionByName(_hot_windows(contexts.where(F.col("kind") == HOT), width, keep))
     copies = d.groupBy("th").agg(F.count(F.lit(1)).alias("copies"), F.min("ord").alias("first"))
     if keep == "first":  # what later copies of a whole text lose is not taken from its first
         gone = gone.join(copies.where("copies > 1").select("th", "first"), "th", "left").where("first is null or first = ord").select("th", "place")

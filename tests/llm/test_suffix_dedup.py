@@ -46,8 +46,8 @@ def corpus():
 
 
 @pytest.mark.parametrize("keep", ["none", "first"])
-@pytest.mark.parametrize("hot", ["", "anchors", "edges"])
-def test_equals_brute_force(spark, keep, hot, monkeypatch):
+@pytest.mark.parametrize("hot,batch", [("", 10_000), ("", 2), ("anchors", 10_000), ("anchors", 2), ("anchors", 5), ("edges", 10_000), ("edges", 5), ("small", 10_000)])
+def test_equals_brute_force(spark, keep, hot, batch, monkeypatch):
     rows = corpus()
     if keep == "first":
         rows = [r for i, r in enumerate(rows) if r[0] is not None and r[0] not in [x[0] for x in rows[:i]]]
@@ -56,11 +56,31 @@ def test_equals_brute_force(spark, keep, hot, monkeypatch):
     if hot == "anchors":  # everything that occurs a few times takes the way of very frequent anchors
         monkeypatch.setattr(suffix_dedup, "HOT_HERE", 3)
         monkeypatch.setattr(suffix_dedup, "HOT_ALL", 4)
+    if hot == "small":  # every anchor is sorted apart
+        monkeypatch.setattr(suffix_dedup, "BATCH", 1)
+        monkeypatch.setattr(suffix_dedup, "HELD", 1)
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, th string").repartition(3)
-    got = sorted((tuple(r) for r in suffix_dedup.removed(df, keep=keep).collect()), key=str)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = sorted((tuple(r) for r in suffix_dedup.removed(df, keep=keep).collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == brute(rows, 200, keep)
 
 
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_longest_matches_of_contexts(keep):
+    """Against all pairs, on strings that are prefixes of each other, equal, or end in zero bytes."""
+    r = random.Random(11)
+    texts = [bytes(r.choice(b"ab\0") for _ in range(r.randint(1, 9))) for _ in range(200)] + [b"a", b"a\0", b"a\0\0"] * 3
+    position = np.array(r.sample(range(len(texts)), len(texts)))
+    order, lcp = suffix_dedup.context_order(texts, np.argsort(position))
+    got = suffix_dedup.longest_matches(order, lcp, position, keep)
+    common = lambda a, b: next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    want = [max([common(t, u) for j, u in enumerate(texts) if j != i and (keep == "none" or position[j] < position[i])], default=0) for i, t in enumerate(texts)]
+    assert got.tolist() == want
+
+
 @pytest.mark.parametrize("keep", ["none", "first"])
 def test_anchors_of_many_batches(spark, keep, monkeypatch):
     """No run is lost where one anchor fills several batches."""
