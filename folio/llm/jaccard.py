@@ -35,7 +35,10 @@ from folio.llm.components import components
 
 U = np.uint64
 GROWTH = 1.3
-HOT_HERE, HOT_ALL = 256, 50_000
+#: A key of so many sets in a slice of texts, in a task, or in all, is spread.
+HOT_HERE, HOT_TASK, HOT_ALL = 256, 1_024, 50_000
+#: Cells of the sketch of a task's keys.
+CELLS = 1 << 21
 SKETCH = 512
 PART = 64
 BLOCK = 4096
@@ -162,6 +165,7 @@ def _buckets(docs: DataFrame, n: int, num: int, den: int, text: str) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        sketch = np.zeros(CELLS, np.int32)
         for whole in batches:
             for b in common.slices(whole, "t", 1 << 20):
                 sets, border = shingle_sets(*common.flat_bytes(b.column(2)), n)
@@ -182,8 +186,10 @@ def _buckets(docs: DataFrame, n: int, num: int, den: int, text: str) -> DataFram
                     continue
                 key, s, z = np.concatenate(keys), np.concatenate(who), np.concatenate(size)
                 uniq, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
-                hot = (count >= HOT_HERE)[inverse]
-                marks = uniq[count >= HOT_HERE]
+                cell = ((uniq >> U(20)) % U(CELLS)).astype(np.int64)
+                np.add.at(sketch, cell, count.astype(np.int32))
+                often = (count >= HOT_HERE) | (sketch[cell] >= HOT_TASK)
+                hot, marks = often[inverse], uniq[often]
                 pad = np.zeros(len(marks), np.int32)
                 spread = np.where(hot, common.mix(key + s.view(U)), key)
                 cols = [
