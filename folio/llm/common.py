@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import sys
 import tempfile
+import threading
 import types
 import uuid
 from collections.abc import Iterator
@@ -18,12 +19,14 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where unset (tests), a new one."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where unset, a new one, but only if all runs in this machine's one process (tests)."""
     sc = spark.sparkContext
     there = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if there:
         return there.rstrip("/")
     if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="folio-"))
     return sc.getCheckpointDir().rstrip("/")
 
@@ -40,10 +43,34 @@ def small_batches(spark: SparkSession, most: int = 8 << 20):
         spark.conf.set(key, was) if was is not None else spark.conf.unset(key)
 
 
+#: What the driver's threads have written inside scratch(), by thread.
+_written: dict[int, list[str]] = {}
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    to = spark._jvm.org.apache.hadoop.fs.Path(path)
+    to.getFileSystem(spark._jsc.hadoopConfiguration()).delete(to, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """What materialize() writes inside is deleted at the end; results that read it must be written by then."""
+    me = threading.get_ident()
+    before = _written.get(me)
+    paths = _written[me] = []
+    try:
+        yield
+    finally:
+        _written.pop(me) if before is None else _written.update({me: before})
+        for path in paths:
+            delete(spark, path)
+
+
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     """Cut the lineage: write df once to the shared folder and read it back."""
     spark = df.sparkSession
     to = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.get(threading.get_ident(), []).append(to)
     with small_batches(spark):
         df.write.option("compression", "zstd").parquet(to)
     return spark.read.schema(df.schema).parquet(to)
@@ -60,7 +87,7 @@ def worker_cache() -> dict:
 
 
 def settle() -> None:
-    """Make this Python worker give memory back: Arrow's own pool and malloc keep what they once had, and idle workers keep it beside the executor's heap."""
+    """Make this Python worker, which Spark shares among tasks of one application, give memory back: Arrow's own pool and malloc keep what they once had, and idle workers keep it beside the executor's heap."""
     if "settled" not in worker_cache():
         worker_cache()["settled"] = True
         pa.set_memory_pool(pa.system_memory_pool())

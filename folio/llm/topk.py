@@ -84,7 +84,7 @@ def _histograms(candidates: DataFrame, shipped, low: np.ndarray, shift: np.ndarr
     out = np.zeros(n * bins, np.int64)
     got = candidates.mapInArrow(common.lean(run), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     out[np.array(got["cell"], np.int64)] = np.array(got["n"], np.int64)
-    edges.unpersist()
+    edges.destroy()
     return out.reshape(n, bins)
 
 
@@ -132,7 +132,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, b
     Queries are taken in blocks of `block`, by length and identifier, each a pass over all candidates; a block is what is
     broadcast, so its size does not depend on the data."""
     spark = vectors.sparkSession
-    rows = usable(vectors, scale).withColumn("d", F.size("v"))
+    rows = common.materialize(usable(vectors, scale).withColumn("d", F.size("v")), "vectors")  # every round reads them
     queries = rows.where(is_query & F.col("vec_id").isNotNull())
     sizes = queries.select("d").distinct().toArrow()["d"].to_pylist()
     parts: list[DataFrame] = []
