@@ -35,6 +35,17 @@ def test_round_trip(spark):
     small = warc.digest_query(df, min_bytes=5000).collect()
     assert [r.page_id for r in small if r.record_type == "revisit"] == [6]
     assert warc.digest_query(df.limit(0)).collect() == []
+    # One identifier, two payloads: a revisit is resolved to that of its digest.
+    twice = spark.createDataFrame([(5, "u", "A", "k"), (5, "u", "B", "k"), (6, "u", "A", "k"), (7, "u", "B", "k")], df.schema)
+    assert sorted(tuple(r)[:3] for r in warc.digest_query(twice).collect()) == sorted(tuple(e)[:3] for e in expected([tuple(r) for r in twice.collect()]))
+
+
+def test_revisit_without_response_is_not_intact(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "u", "same"), (2, "u", "same")], "page_id long, url string, html string")
+    whole = warc.round_trip
+    monkeypatch.setattr(warc, "round_trip", lambda *a, **k: whole(*a, **k).where("record_type = 'revisit'"))
+    (r,) = warc.digest_query(df).collect()
+    assert (r.page_id, r.payload_bytes, r.payload_digest, r.intact) == (2, None, None, False)
 
 
 def test_files_and_chunks(spark, tmp_path):
