@@ -53,7 +53,7 @@ def test_mixing_equals_global_schedule(spark):
     # Every prefix is within one block of the fluid mix, and blocks are within their windows.
     blocks, done, total = {s: math.ceil(n / 4) for s, n in counts.items()}, dict.fromkeys(counts, 0), 0
     assert all(r <= t < d for t, _, _, r, d in want)
-    ordered = mixing.in_order(mixing.interleave(df, weights, block_rows=4, resolution=20)).collect()
+    ordered = mixing.in_order(df, weights, block_rows=4, resolution=20).collect()
     position = {}
     for r in got:
         position.setdefault(r.doc_id, []).append(r["__position"])

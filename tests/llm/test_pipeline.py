@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from folio.llm import common, quality
+from folio.llm import common, mixing, quality
 from tests.llm.test_jaccard import brute
 
 DIR = "/root/testdata/sf0.001"
@@ -21,7 +21,7 @@ def test_stages(spark, tmp_path):
     kept = [docs.toPandas()]
     for k, (name, f) in enumerate(corpus_pipeline.STAGES):
         f(spark, docs, DIR).write.parquet(str(tmp_path / str(k)))
-        docs = spark.read.parquet(str(tmp_path / str(k)))
+        docs = spark.read.option("maxPartitionBytes", "1").parquet(str(tmp_path / str(k)))
         assert name == "tokens" or docs.columns == ORDER
         kept.append(docs.toPandas())
     start, good, single, clean, mixed, tokens = kept
@@ -42,8 +42,13 @@ def test_stages(spark, tmp_path):
         ids = lib.encode(r.text, add_special_tokens=False).ids
         assert r.n_tokens == len(ids) and hashlib.sha256(r.ids).digest() == hashlib.sha256(np.array(ids, "<u4").tobytes()).digest()
     assert len(tokens) == len(mixed)
-    # Half of the rows hold about half of the sources: here each is one block.
-    assert abs(mixed.source.head(len(mixed) // 2).nunique() - mixed.source.nunique() / 2) <= 2
+    # The place in the files, which the last stage keeps, is the order of the mix.
+    assert tokens.sort_values("position").doc_id.tolist() == in_mix(spark, clean)
+
+
+def in_mix(spark, rows):
+    """The doc_ids of rows in the order of the mix of their sources."""
+    return [r.doc_id for r in mixing.interleave(spark.createDataFrame(rows[ORDER])).orderBy("__position").collect()]
 
 
 def test_odd_rows(spark):
@@ -59,6 +64,11 @@ def test_odd_rows(spark):
         assert f(spark, df.limit(0), DIR).collect() == []
 
 
-def test_run(spark):
+def test_run(spark, tmp_path, monkeypatch):
+    for module in (common, corpus_pipeline):
+        monkeypatch.setattr(module, "shared_dir", lambda _: str(tmp_path))
     got = corpus_pipeline.run(spark, DIR)
-    assert got.columns == [*ORDER, "n_tokens", "ids"] and got.count() > 50
+    assert got.columns == [*ORDER, "position", "n_tokens", "ids"]
+    assert [f.name.split("-")[0] for f in tmp_path.iterdir()] == ["pipeline"], "only the result is left"
+    rows = got.toPandas().sort_values("position")
+    assert len(rows) > 50 and rows.position.is_unique and rows.doc_id.tolist() == in_mix(spark, rows)
