@@ -10,7 +10,7 @@ against none, hence one of them differs by exactly one element and is found thro
 few for that, empty ones are indexed as well. Allocation by cost: S is chosen per band so that the entries expected for a set are fewest.
 
 Candidates of a bucket are verified exactly, on recomputed sets, but only until the bucket is one component: first all members against one of
-them, then what is left between components. A parity bitmap (each element flips one of SKETCH bits, so bitmaps differ in no more bits than
+them, then what is left between components. A parity bitmap (each element flips one bit of as many as the set has elements, SKETCH at least, so bitmaps differ in no more bits than
 sets in elements) drops pairs safely. No step lists all pairs of a bucket; very frequent buckets are spread and compared in blocks.
 
 Defined results: words are `[^\\x20\\x09-\\x0D]+` with A-Z lowered; a document with fewer words than a shingle has one element, its whole
@@ -144,12 +144,25 @@ def signatures(s: np.ndarray, num: int, den: int) -> Iterator[tuple[np.ndarray,
 
 
 def bitmaps(s: np.ndarray, border: np.ndarray) -> pa.Array:
-    """The parity bitmap of each set, as SKETCH / 64 longs."""
-    n = len(border) - 1
-    doc = np.repeat(np.arange(n), np.diff(border))
-    bits = np.bincount(doc * SKETCH + ((s >> U(20)) % U(SKETCH)).astype(np.int64), minlength=n * SKETCH) & 1
+    """The parity bitmap of each set as longs: a power of two of bits, as many as elements and SKETCH at least. Halves put together by xor give the smaller ones."""
+    size = np.diff(border)
+    wide = np.maximum(1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64), SKETCH)
+    off = np.append(0, np.cumsum(wide))
+    doc = np.repeat(np.arange(len(size)), size)
+    bits = np.bincount(off[doc] + ((s >> U(20)) & (wide[doc] - 1).astype(U)).astype(np.int64), minlength=off[-1]) & 1
     longs = np.packbits(bits.astype(np.uint8)).view(np.int64)
-    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(longs) + 1, SKETCH // 64), pa.int32()), pa.array(longs))
+    return pa.ListArray.from_arrays(pa.array(off // 64, pa.int32()), pa.array(longs))
+
+
+def folded(bits: str, longs: str) -> str:
+    """SQL: a bitmap folded to so many longs."""
+    return f"if(size({bits}) = {longs}, {bits}, transform(sequence(0, {longs} - 1), i -> aggregate(sequence(i, size({bits}) - 1, {longs}), 0L, (t, j) -> t ^ {bits}[j])))"
+
+
+def few_bits_differ(num: int, den: int) -> str:
+    """SQL: whether the bitmaps of the sets x and y (n, bits) allow them to be linked."""
+    x, y = (folded(c, "least(size(x.bits), size(y.bits))") for c in ("x.bits", "y.bits"))
+    return f"aggregate(zip_with({x}, {y}, (p, q) -> bit_count(p ^ q)), 0, (t, v) -> t + v) <= {den - num} * (x.n + y.n) div {den + num}"
 
 
 # ---- the distributed parts
@@ -265,8 +278,7 @@ def _with_sets(pairs: DataFrame, known: DataFrame) -> DataFrame:
 
 def _possible(pairs: DataFrame, known: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b, ta, tb), with the hash of a text of either set, of the pairs that sizes and bitmaps allow to be linked."""
-    differ = "aggregate(zip_with(x.bits, y.bits, (p, q) -> bit_count(p ^ q)), 0, (t, v) -> t + v)"
-    fine = f"least(x.n, y.n) * {den} >= greatest(x.n, y.n) * {num} and {differ} <= {den - num} * (x.n + y.n) div {den + num}"
+    fine = f"least(x.n, y.n) * {den} >= greatest(x.n, y.n) * {num} and {few_bits_differ(num, den)}"
     return common.materialize(_with_sets(pairs, known).where(fine).select("a", "b", F.col("x.th").alias("ta"), F.col("y.th").alias("tb")), "pairs")
 
 
@@ -321,7 +333,7 @@ def _rest_pairs(members: DataFrame, known: DataFrame, roots: DataFrame, done: Da
     m = members.join(roots.withColumnRenamed("node", "s"), "s", "left").select("g", "s", "size", F.coalesce("root", "s").alias("root"))
     m = common.materialize(m, "rooted")
     open_ = m.groupBy("g").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("k")).where("x <> y").select("g", F.ceil(F.col("k") / BLOCK).cast("int").alias("k"))
-    m = m.join(common.materialize(open_, "open"), "g").join(known.select("s", "bits", "th"), "s").withColumn("i", F.expr("cast(pmod(xxhash64(s), k) as int)"))
+    m = m.join(common.materialize(open_, "open"), "g").join(known.select("s", F.expr(folded("bits", str(SKETCH // 64))).alias("bits"), "th"), "s").withColumn("i", F.expr("cast(pmod(xxhash64(s), k) as int)"))
     m = m.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("g", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), "s", "size", "root", "i", "bits", "th")
     names = ["a", "b", "ta", "tb", "cut"]
 
@@ -388,7 +400,11 @@ def _rest_pairs(members: DataFrame, known: DataFrame, roots: DataFrame, done: Da
 
     dealt = m.repartition("g", "x", "y").sortWithinPartitions("g", "x", "y", "s")
     found = dealt.mapInArrow(common.lean(run), ", ".join(f"{c} long" for c in names)).distinct()
-    return common.materialize(found.join(done.select("a", "b"), ["a", "b"], "left_anti").select(*names), "pairs")
+    # Sets of more than SKETCH elements have larger bitmaps; the few that are asked for are looked up.
+    wide = known.where(F.col("n") > SKETCH)
+    half = lambda name, to: wide.select(F.col("s").alias(name), F.struct("n", "bits").alias(to))
+    asked = found.join(done.select("a", "b"), ["a", "b"], "left_anti").join(half("a", "x"), "a", "left").join(half("b", "y"), "b", "left")
+    return common.materialize(asked.where(f"x is null or y is null or {few_bits_differ(num, den)}").select(*names), "pairs")
 
 
 def classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, text: str = "text") -> DataFrame:

@@ -114,3 +114,30 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, k) for k in range(101, 140)] + [(5, 5), (7, 3), (r.randrange(200, 240), r.randrange(200, 240))]
     got = {x.node: x.root for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert len({got[i] for i in range(31)}) == 1 and len({got[i] for i in range(100, 140)}) == 1 and got[0] != got[100]
+
+
+def test_bitmaps_differ_in_no_more_bits_than_sets(spark):
+    r = np.random.default_rng(3)
+    sets = []
+    for n in (0, 1, 300, 511, 513, 900, 1100, 5000):
+        a = np.unique(r.integers(0, 2**63, n).astype(np.uint64))
+        sets += [a, np.union1d(a[: len(a) * 9 // 10], r.integers(0, 2**63, n // 10).astype(np.uint64))]
+    bits = jaccard.bitmaps(np.concatenate(sets), np.append(0, np.cumsum([len(x) for x in sets]))).to_pylist()
+    pairs = [(i, len(a), bits[i], j, len(b), bits[j]) for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j]
+    df = spark.createDataFrame(pairs, "a int, an long, ab array<long>, b int, bn long, bb array<long>").selectExpr("a", "b", "named_struct('n', an, 'bits', ab) as x", "named_struct('n', bn, 'bits', bb) as y")
+    got = {(x.a, x.b): x.fine for x in df.selectExpr("a", "b", f"{jaccard.few_bits_differ(80, 100)} as fine").collect()}
+    similar = {(i, j): len(sets[i]) and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j])) for i, _, _, j, _, _ in pairs}
+    assert all(got[p] for p, yes in similar.items() if yes) and sum(map(bool, similar.values())) >= 6
+    near = lambda i, j: 500 < min(len(sets[i]), len(sets[j])) and max(len(sets[i]), len(sets[j])) < 1.5 * min(len(sets[i]), len(sets[j]))
+    assert not any(got[p] for p in got if near(*p) and not similar[p])
+
+
+def test_long_unlike_sets_in_one_bucket(spark):
+    """Long texts that share passages but are not similar, beside some that are."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
+    passage = [word() for _ in range(900)]
+    rows = [(i, " ".join(passage + [word() for _ in range(r.choice((0, 40, 700)))])) for i in range(24)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = jaccard.classes(df, 5, 80, 100).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted((tuple(x) for x in got), key=str) == brute(rows, 5, 80, 100)
