@@ -32,7 +32,8 @@ MOST_DICTIONARY_BYTES = 16 << 20
 def learn(labelled: DataFrame, dict_bytes: int = 96 << 10, rows: int = 512) -> dict[str, bytes]:
     """lang -> dictionary from labelled (doc_id, text, lang), the most frequent language first.
 
-    The sample: per language at most `rows` rows of least hash, taken while their bytes stay under dict_bytes.
+    The sample, which is all that is bounded: per language at most `rows` rows of least hash, taken while the bytes before them stay under dict_bytes;
+    a dictionary is the end of these texts, 2 * dict_bytes at most, and all together MOST_DICTIONARY_BYTES, of which each language gets an equal share.
     A language's row count says below which hash about 4 * rows of its rows lie; only these are ranked, by identifier
     and size alone. The texts of the chosen are fetched by a join with at most rows * languages ids.
     """
