@@ -29,7 +29,7 @@ def media_type(path: Column) -> Column:
 
 
 def file_type(path: Column) -> Column:
-    """struct(file_type, ocr_recommended, confidence, mode): by suffix or media type; a PDF whose pages are not known counts as text."""
+    """struct(file_type, ocr_recommended, confidence, mode): by suffix or media type; a PDF whose pages are not known counts as text (with page metrics: operators/detection.py)."""
     e, m = extension(path), media_type(path)
     said = lambda t, ocr, c, mode: F.struct(F.lit(t).alias("file_type"), F.lit(ocr).alias("ocr_recommended"), F.lit(c).alias("confidence"), F.lit(mode).alias("mode"))
     return case(
@@ -49,21 +49,28 @@ def page_vote(text_len: Column, words: Column, blocks: Column, images: Column, i
     return F.struct(native.alias("native_score"), ocr.alias("ocr_score"), case((native > ocr, "native"), (ocr > native, "ocr"), default="unclear").alias("mode"))
 
 
-def document_vote(native: Column, ocr: Column, pages: Column, largest: Column, top_large: Column) -> Column:
-    """struct(mixed, scanned, confidence) of a document: how many sampled pages vote native and ocr, of how many; the largest image share, and whether
-    one of the top pages reaches the share that speaks for a scan."""
+def document_vote(native: Column, ocr: Column, sampled: Column, largest: Column) -> Column:
+    """struct(mixed, scanned, confidence) of a document: how many sampled pages vote native and ocr, of how many; the largest image share of all pages.
+
+    A page with much image speaks for a mixed document where the votes alone do not decide."""
     said = lambda mixed, scanned, c: F.struct(F.lit(mixed).alias("mixed"), F.lit(scanned).cast("boolean").alias("scanned"), (c if isinstance(c, Column) else F.lit(c)).alias("confidence"))
-    both = 0.6 + 0.4 * (1 - F.abs(native - ocr) / (native + ocr).cast("double"))
+    both = F.round(0.6 + 0.4 * (1 - F.abs(native - ocr) / (native + ocr).cast("double")), 3)
     return case(
-        ((ocr == pages) & (pages > 0), said(False, True, 0.9)),
+        ((ocr >= sampled) & (native == 0), said(False, True, 0.9)),
         ((largest >= 0.9) & (native == 0), said(False, True, 0.9)),
         ((native > 0) & (ocr > 0), said(True, False, both)),
-        (top_large, said(False, True, 0.7)),
-        ((native == pages) & (pages > 0), said(False, False, 0.9)),
+        (largest >= IMAGE_AREA, said(True, False, 0.7)),
+        ((native >= sampled) & (ocr == 0), said(False, False, 0.9)),
         default=said(False, None, 0.5),
     )
 
 
+def pdf_type(mixed: Column, scanned: Column) -> Column:
+    """struct(file_type, ocr_recommended, mode, dpi) of a PDF by its vote; undecided ones count as text."""
+    said = lambda t, ocr, mode, dpi: F.struct(F.lit(t).alias("file_type"), F.lit(ocr).alias("ocr_recommended"), F.lit(mode).alias("mode"), F.lit(dpi).alias("dpi"))
+    return case((F.coalesce(scanned, F.lit(False)), said("pdf_scanned", True, "ocr", 320)), (mixed, said("pdf_mixed", True, "mixed", 300)), default=said("pdf_text", False, "native", 200))
+
+
 def parameter(override: Column, detected: Column, configured: Column) -> Column:
     """The first that is set: override, detection, configuration."""
     return F.coalesce(override, detected, configured)

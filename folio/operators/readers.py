@@ -110,14 +110,24 @@ def on_spine(pages: DataFrame, page_count: DataFrame, *others: DataFrame) -> Dat
     return spine
 
 
+def with_hints(pages: DataFrame) -> DataFrame:
+    """pages with lang and locale, if they have none yet. Tokens are a column of their own, so that they are made once."""
+    if {"lang", "locale"} <= set(pages.columns):
+        return pages
+    t = pages.withColumn("__tokens", T.words_ascii(F.coalesce("text", F.lit(""))))
+    return t.withColumns({"lang": T.language_hint_of(F.col("__tokens")), "locale": T.locale_hint(F.col("text"))}).drop("__tokens")
+
+
+def _own_flags(p: Profile) -> Column:
+    return rich_flags(F.array(), F.col("source"), F.when(F.lower("source").contains("ocr"), F.col("conf")), F.col("words"), F.col("chars"), p)
+
+
 def page_stats(pages: DataFrame, p: Profile = PROD) -> DataFrame:
-    """Pages with kind, hints, shares of languages, density on an A4 page and flags."""
-    tokens = T.words_ascii(F.col("text"))
-    pages = pages.withColumn("lang", T.language_hint_of(tokens)).withColumn("locale", T.locale_hint(F.col("text")))
+    """Pages with kind, hints, density on an A4 page and flags."""
     ocr = F.when(F.lower("source").contains("ocr"), F.col("conf"))
-    return pages.select(
+    return with_hints(pages).select(
         "doc_id", "page", source_kind(F.col("source")).alias("source"), "chars", "lang", "locale", F.coalesce(ocr, F.lit(0.0)).alias("ocr_conf"), "words",
-        rich_flags(F.array(), F.col("source"), ocr, F.col("words"), F.col("chars"), p).alias("flags"), text_density(F.col("chars"), F.lit(595.0), F.lit(842.0)).alias("text_density"),
+        _own_flags(p).alias("flags"), text_density(F.col("chars"), F.lit(595.0), F.lit(842.0)).alias("text_density"),
     )
 
 
@@ -146,12 +156,22 @@ def reading_order(blocks: DataFrame) -> DataFrame:
     return blocks.join(before, ["doc_id", "page"]).withColumn("reading_order_index", F.col("before") + F.col("block")).drop("before")
 
 
-def language_share(blocks: DataFrame) -> DataFrame:
-    """(doc_id, page, de, en): characters of each language's blocks to all; a block of both counts half for each."""
-    tags = T.language_tokens(F.when(T.language_hint(F.col("text")) == "mixed", "de+en").otherwise(T.language_hint(F.col("text"))))
-    b = blocks.select("doc_id", "page", F.length("text").alias("chars"), tags.alias("tags")).where(F.size("tags") > 0)
-    of = lambda t: F.sum(F.when(F.array_contains("tags", t), F.col("chars") / F.size("tags")).otherwise(0.0)) / F.sum("chars")
-    return b.groupBy("doc_id", "page").agg(of("de").alias("de"), of("en").alias("en"))
+def language_share(blocks: DataFrame, fallback: list[str] | None = None) -> DataFrame:
+    """(doc_id, page, de, en): characters of each language's blocks to all that have one, to 4 digits. A block counts for the tags of its hint, else for those
+    of `fallback`, else by the scripts of its words; with several tags in equal parts."""
+    b = blocks.select("doc_id", "page", "text", F.length("text").alias("chars"), T.words_ascii(F.col("text")).alias("tokens"))
+    b = b.select("doc_id", "page", "chars", "text", T.language_hint_of(F.col("tokens")).alias("hint"))
+    if fallback:
+        other = F.array(*map(F.lit, fallback))
+    else:
+        b = b.withColumn("s", F.when(F.col("hint") == T.UNKNOWN, T.script_counts(F.col("text"))))
+        other = F.array_compact(F.array(F.when(F.col("s.de") > 0, "de"), F.when(F.col("s.en") > 0, "en")))
+    tags = case((F.col("hint") == T.MIXED, F.array(F.lit("de"), F.lit("en"))), (F.col("hint") == T.UNKNOWN, other), default=F.array("hint"))
+    # Blocks without a tag are left out of the sums: a filter here would be pushed below, and the tokens made again for it.
+    b = b.select("doc_id", "page", "chars", tags.alias("tags"))
+    of = lambda t: F.sum(F.when(F.array_contains("tags", t), F.col("chars") / F.size("tags")).otherwise(0.0))
+    g = b.groupBy("doc_id", "page").agg(of("de").alias("de"), of("en").alias("en"), F.sum(F.when(F.size("tags") > 0, F.col("chars"))).alias("all"))
+    return g.where("all > 0").select("doc_id", "page", *[F.round(F.col(t) / F.col("all"), 4).alias(t) for t in ("de", "en")])
 
 
 # ---- documents
@@ -163,32 +183,32 @@ def safe_average(value: Column) -> Column:
     return F.coalesce(F.avg(F.when(v > 0, v)), F.lit(0.0))
 
 
-def document_summary(pages: DataFrame, p: Profile = PROD) -> DataFrame:
-    """Roll-up of a document's pages: counts, confidences, decisions in page order, hints, flagged pages and whether it needs review."""
+def document_summary(pages: DataFrame, p: Profile = PROD, *more: Column) -> DataFrame:
+    """Roll-up of a document's pages: counts, confidences, decisions in page order, hints, flagged pages and whether it needs review; and `more` aggregates."""
     low = (F.col("conf") < p.low_conf) | (F.lower("source").contains("ocr") & (F.col("conf") < p.ocr_min_conf))
     ocr = F.lower("source").contains("ocr")
-    x = pages.withColumns({"hint": T.language_hint(F.col("text")), "locale": T.locale_hint(F.col("text")), "low": low})
+    x = with_hints(pages).withColumn("low", low)
     first_locale = F.min_by(F.when(~F.col("locale").isin("unknown", "mixed"), F.col("locale")), F.when(~F.col("locale").isin("unknown", "mixed"), F.col("page")))
     out = x.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("page_count"), F.sum("words").alias("words"), F.sum("chars").alias("chars"), safe_average(F.col("conf")).alias("avg_conf"),
-        F.coalesce(F.avg(F.when(ocr, F.col("conf"))), F.lit(0.0)).alias("avg_ocr_conf"), F.max(ocr).alias("has_ocr"), T.merged_hint(F.col("hint")).alias("lang_hint"),
-        F.coalesce(first_locale, F.lit("unknown")).alias("locale"), F.sort_array(F.collect_list(F.struct("page", "source"))).alias("decisions"), F.sum(F.col("low").cast("int")).alias("low_pages"),
+        F.coalesce(F.avg(F.when(ocr, F.col("conf"))), F.lit(0.0)).alias("avg_ocr_conf"), F.max(ocr).alias("has_ocr"), T.merged_hint(F.col("lang")).alias("lang_hint"),
+        F.coalesce(first_locale, F.lit("unknown")).alias("locale"), F.sort_array(F.collect_list(F.struct("page", "source"))).alias("decisions"), F.sum(F.col("low").cast("int")).alias("low_pages"), *more,
     )
     return out.withColumn("decisions", F.col("decisions.source")).withColumn("needs_review", F.col("low_pages") / F.col("page_count") >= p.review_ratio)
 
 
 def document_language(pages: DataFrame) -> DataFrame:
     """(doc_id, lang): the tags of all pages put together; de without any."""
-    tags = pages.select("doc_id", F.explode(T.language_tokens(T.language_hint(F.col("text")))).alias("tag"))
-    found = tags.groupBy("doc_id").agg(F.collect_set("tag").alias("tags"))
-    return pages.select("doc_id").distinct().join(found, "doc_id", "left").select("doc_id", T.collapse_tokens(F.coalesce("tags", F.array().cast("array<string>"))).alias("lang"))
+    tags = with_hints(pages).select("doc_id", T.language_tokens(F.col("lang")).alias("tags"))
+    found = tags.groupBy("doc_id").agg(F.flatten(F.collect_set("tags")).alias("tags"))
+    return found.select("doc_id", T.collapse_tokens(F.array_distinct("tags")).alias("lang"))
 
 
 def document_meta(pages: DataFrame, blocks: DataFrame) -> DataFrame:
     """One nested row per document: summary, pages in order, and headings in reading order."""
     heads = blocks.where("is_heading_like").groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("page", "block", "text"))), lambda b: b["text"]).alias("headings"))
-    stats = page_stats(pages).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page", "source", "chars", "lang", "flags"))).alias("pages"))
-    return document_summary(pages).join(stats, "doc_id").join(heads, "doc_id", "left")
+    listed = F.sort_array(F.collect_list(F.struct("page", source_kind(F.col("source")).alias("source"), "chars", "lang", _own_flags(PROD).alias("flags")))).alias("pages")
+    return document_summary(pages, PROD, listed).join(heads, "doc_id", "left")
 
 
 def stage_stats(summaries: DataFrame) -> DataFrame:

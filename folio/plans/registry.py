@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from folio import constants as K
 from folio.functions import detect, encoding, geometry, values
 from folio.functions import text as T
-from folio.operators import contracts, layout, logs, metrics, readers
+from folio.operators import contracts, detection, layout, logs, metrics, readers
 from folio.plans.views import BOXES, LOGS, boxes, log_records, numbers, table
 from folio.sources import files
 
@@ -243,37 +243,40 @@ _VOTE = """v AS (SELECT conv_id AS doc_id, turn, length(text) AS len, {words} AS
 s AS (SELECT *, (len >= 200)::INT + (words >= 15)::INT + (blocks >= 3)::INT AS native, (images >= 1)::INT + (area >= 0.35)::INT + (len < 200 AND words < 15)::INT AS ocr FROM v)""".format(words=_words("text"), lines=_lines("text"))
 
 
-def _page_votes(spark, d):
+def _metrics(spark, d):
     c = table(spark, d, "conversations")
-    x = c.select(
-        F.col("conv_id").alias("doc_id"), "turn", F.length("text").alias("len"), T.word_count(F.col("text")).alias("words"), F.size(T.lines(F.col("text"))).alias("blocks"), ((F.col("conv_id") + F.col("turn")) % 3).alias("images"),
-        (((F.col("conv_id") * 7 + F.col("turn") * 31) % 101) / 100.0).cast("double").alias("area"),
+    return c.select(
+        F.col("conv_id").alias("doc_id"), F.col("turn").alias("page"), F.length("text").alias("text_len"), T.word_count(F.col("text")).alias("words"), F.size(T.lines(F.col("text"))).alias("blocks"),
+        ((F.col("conv_id") + F.col("turn")) % 3).alias("images"), (((F.col("conv_id") * 7 + F.col("turn") * 31) % 101) / 100.0).cast("double").alias("image_area"),
     )
-    return x.withColumn("v", detect.page_vote(F.col("len"), F.col("words"), F.col("blocks"), F.col("images"), F.col("area")))
 
 
 @query(f"WITH {_VOTE} SELECT doc_id, turn, native AS native_score, ocr AS ocr_score, CASE WHEN native > ocr THEN 'native' WHEN ocr > native THEN 'ocr' ELSE 'unclear' END AS mode FROM s")
 def page_vote(spark, d):
-    return _page_votes(spark, d).select("doc_id", "turn", "v.native_score", "v.ocr_score", "v.mode")
+    return detection.voted(_metrics(spark, d)).select("doc_id", F.col("page").alias("turn"), "v.native_score", "v.ocr_score", "v.mode")
 
 
-@query(f"WITH {_VOTE}, n AS (SELECT *, max(turn) OVER (PARTITION BY doc_id) + 1 AS pages, row_number() OVER (PARTITION BY doc_id ORDER BY area DESC, turn) AS r FROM s) SELECT doc_id, turn FROM n WHERE r <= 2 OR turn IN (0, pages // 2, pages - 1)")
-def page_sample(spark, d):
-    from pyspark.sql import Window
+_SAMPLE = f"""{_VOTE}, n AS (SELECT *, max(turn) OVER (PARTITION BY doc_id) + 1 AS pages, row_number() OVER (PARTITION BY doc_id ORDER BY area DESC, turn) AS r, max(area) OVER (PARTITION BY doc_id) AS largest FROM s),
+k AS (SELECT * FROM n WHERE r <= 2 OR turn IN (0, pages // 2, pages - 1)),
+g AS (SELECT doc_id, any_value(pages)::INT AS pages, count(*) AS sampled, count(*) FILTER (WHERE native > ocr) AS n, count(*) FILTER (WHERE ocr > native) AS o, any_value(largest) AS largest FROM k GROUP BY doc_id),
+z AS (SELECT *, n = 0 AND (o = sampled OR largest >= 0.9) AS scan, n > 0 AND o > 0 AS both_, n = sampled AND largest < 0.35 AS plain FROM g),
+d AS (SELECT doc_id, pages, sampled, NOT scan AND (both_ OR largest >= 0.35) AS mixed, CASE WHEN scan THEN true WHEN both_ OR largest >= 0.35 OR plain THEN false END AS scanned,
+  CASE WHEN scan OR (plain AND NOT both_) THEN 0.9 WHEN both_ THEN round(1.0 - 0.4 * abs(n - o) / (n + o)::DOUBLE, 3) WHEN largest >= 0.35 THEN 0.7 ELSE 0.5 END::DOUBLE AS confidence FROM z)"""
+
 
-    w = Window.partitionBy("doc_id")
-    x = _page_votes(spark, d).withColumn("pages", F.max("turn").over(w) + 1).withColumn("r", F.row_number().over(w.orderBy(F.desc("area"), "turn")))
-    return x.where((F.col("r") <= detect.TOP_PAGES) | (F.col("turn") == 0) | (F.col("turn") == F.expr("pages div 2")) | (F.col("turn") == F.col("pages") - 1)).select("doc_id", "turn")
+@query(f"WITH {_SAMPLE} SELECT doc_id, turn FROM k")
+def page_sample(spark, d):
+    return detection.sampled(_metrics(spark, d)).select("doc_id", F.col("page").alias("turn"))
 
 
-@query(f"""WITH {_VOTE}, g AS (SELECT doc_id, count(*) AS pages, count(*) FILTER (WHERE native > ocr) AS n, count(*) FILTER (WHERE ocr > native) AS o, max(area) AS largest FROM s GROUP BY doc_id)
-SELECT doc_id, CASE WHEN o = pages OR (largest >= 0.9 AND n = 0) THEN false WHEN n > 0 AND o > 0 THEN true ELSE false END AS mixed,
-CASE WHEN o = pages OR (largest >= 0.9 AND n = 0) THEN true WHEN n > 0 AND o > 0 THEN false WHEN largest >= 0.35 THEN true WHEN n = pages THEN false END AS scanned,
-CASE WHEN o = pages OR (largest >= 0.9 AND n = 0) THEN 0.9 WHEN n > 0 AND o > 0 THEN 0.6 + 0.4 * (1 - abs(n - o) / (n + o)::DOUBLE) WHEN largest >= 0.35 THEN 0.7 WHEN n = pages THEN 0.9 ELSE 0.5 END::DOUBLE AS confidence FROM g""")
+@query(f"WITH {_SAMPLE} SELECT * FROM d")
 def document_vote(spark, d):
-    g = _page_votes(spark, d).groupBy("doc_id").agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.col("v.mode") == "native").alias("n"), F.count_if(F.col("v.mode") == "ocr").alias("o"), F.max("area").alias("largest"))
-    v = detect.document_vote(F.col("n"), F.col("o"), F.col("pages"), F.col("largest"), F.col("largest") >= detect.IMAGE_AREA)
-    return g.select("doc_id", v.alias("v")).select("doc_id", "v.mixed", "v.scanned", "v.confidence")
+    return detection.document_votes(_metrics(spark, d))
+
+
+@query(f"WITH {_SAMPLE} SELECT doc_id, CASE WHEN scanned THEN 'pdf_scanned' WHEN mixed THEN 'pdf_mixed' ELSE 'pdf_text' END AS file_type, coalesce(scanned, false) OR mixed AS ocr_recommended, CASE WHEN scanned THEN 'ocr' WHEN mixed THEN 'mixed' ELSE 'native' END AS mode, CASE WHEN scanned THEN 320 WHEN mixed THEN 300 ELSE 200 END AS dpi, confidence FROM d")
+def pdf_type(spark, d):
+    return detection.pdf_types(_metrics(spark, d))
 
 
 PARAMS = "(1, NULL, 'native', 'mixed', 'pdf_text', 0.5, 'full', 200), (2, 'ocr', 'native', 'mixed', 'pdf_text', 0.9, 'light', NULL), (3, NULL, NULL, 'native', 'txt', 0.2, 'detect', 300), (4, NULL, NULL, NULL, 'image', 1.0, 'off', NULL)"
@@ -387,11 +390,15 @@ def document_language(spark, d):
     return readers.document_language(_pages(spark, d))
 
 
-@query(f"""WITH {PAGES}, b AS (SELECT doc_id, page, unnest({_lines('text')}) AS line FROM p), h AS (SELECT doc_id, page, length(line) AS chars, {_hint(_tokens('line'))} AS hint FROM b), k AS (SELECT * FROM h WHERE hint <> 'unknown')
-SELECT doc_id, page, round(sum(CASE hint WHEN 'de' THEN chars WHEN 'mixed' THEN chars / 2 ELSE 0 END) / sum(chars), 9) AS de, round(sum(CASE hint WHEN 'en' THEN chars WHEN 'mixed' THEN chars / 2 ELSE 0 END) / sum(chars), 9) AS en FROM k GROUP BY doc_id, page""")
+_TAGS = r"""CASE hint WHEN 'de' THEN ['de'] WHEN 'en' THEN ['en'] WHEN 'mixed' THEN ['de', 'en'] ELSE list_filter([CASE WHEN len(list_filter(w, lambda x: NOT regexp_full_match(x, '[\x00-\x7F]*'))) > 0 THEN 'de' END,
+  CASE WHEN len(list_filter(w, lambda x: regexp_full_match(x, '[\x00-\x7F]*'))) > 0 THEN 'en' END], lambda t: t IS NOT NULL) END"""
+
+
+@query(rf"""WITH {PAGES}, b AS (SELECT doc_id, page, unnest({_lines('text')}) AS line FROM p), h AS (SELECT doc_id, page, length(line) AS chars, regexp_extract_all(line, '[\p{{L}}\p{{Nd}}_]+') AS w, {_hint(_tokens('line'))} AS hint FROM b),
+k AS (SELECT doc_id, page, chars, {_TAGS} AS tags FROM h)
+SELECT doc_id, page, round(sum(CASE WHEN list_contains(tags, 'de') THEN chars / len(tags) ELSE 0 END) / sum(chars), 4) AS de, round(sum(CASE WHEN list_contains(tags, 'en') THEN chars / len(tags) ELSE 0 END) / sum(chars), 4) AS en FROM k WHERE len(tags) > 0 GROUP BY doc_id, page""")
 def language_share(spark, d):
-    s = readers.language_share(readers.line_blocks(_pages(spark, d)))
-    return s.select("doc_id", "page", F.round("de", 9).alias("de"), F.round("en", 9).alias("en"))
+    return readers.language_share(_pages(spark, d).select("doc_id", "page", F.explode(T.lines(F.col("text"))).alias("text")))
 
 
 @query(f"""WITH {PAGES}, {SUMMARY}, b AS (SELECT doc_id, page, unnest({_lines('text')}) AS line, unnest(range(len({_lines('text')}))) AS i FROM p),
@@ -478,14 +485,14 @@ def visual_artifacts(spark, d):
     return x.select("id", geometry.visual_artifact(F.col("b"), F.lit(595.0), F.lit(850.0))["kind"].alias("kind"))
 
 
-_PROFILE = "p AS (SELECT user_id % 5 AS line, user_id AS i, count(*)::DOUBLE AS value FROM events WHERE event_type = 'error' AND user_id % 11 < 6 GROUP BY user_id)"
+_PROFILE = "p AS (SELECT user_id % 5 AS line, user_id // 20 * 50 + user_id % 20 AS i, count(*)::DOUBLE AS value FROM events WHERE event_type = 'error' GROUP BY user_id)"
 
 
 @query(f"""WITH {_PROFILE}, h AS (SELECT * FROM (SELECT *, greatest(5.0, max(value) OVER (PARTITION BY line) * 0.1) AS t FROM p) WHERE value >= t), n AS (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY line ORDER BY i) <= 10 THEN 0 ELSE 1 END AS fresh FROM h),
 g AS (SELECT *, sum(fresh) OVER (PARTITION BY line ORDER BY i) AS island FROM n) SELECT line, floor(avg(i))::INT AS centre, count(*) AS places FROM g GROUP BY line, island""")
 def projection_peaks(spark, d):
-    e = table(spark, d, "events").where("event_type = 'error' and user_id % 11 < 6")
-    p = e.groupBy("user_id").agg(F.count(F.lit(1)).cast("double").alias("value")).select((F.col("user_id") % 5).alias("line"), F.col("user_id").alias("i"), "value")
+    e = table(spark, d, "events").where("event_type = 'error' ")
+    p = e.groupBy("user_id").agg(F.count(F.lit(1)).cast("double").alias("value")).select((F.col("user_id") % 5).alias("line"), F.expr("user_id div 20 * 50 + user_id % 20").alias("i"), "value")
     return layout.peaks(p, 10).select("line", "centre", "places")
 
 
@@ -784,14 +791,14 @@ def golden_mask(spark, d):
     return x.select(values.without_volatile(F.col("j")).alias("masked"), values.version_marker(F.col("j")).alias("version"))
 
 
-@query("""SELECT event_id % 10 AS k, string_agg(name || '=' || v::VARCHAR, ',' ORDER BY name) AS timings FROM (
-  SELECT event_id, unnest(['ocr_ms', 'table_extract_ms', 'text_extract_ms', 'total_ms', 'write_ms']) AS name, unnest([(event_id % 7)::DOUBLE, 0, 0, CASE WHEN event_id % 2 = 0 THEN 8.5 ELSE 4.25 END, 1.5]) AS v FROM events WHERE event_id < 10) GROUP BY event_id""")
+@query("""SELECT event_id AS k, string_agg(name || '=' || v::VARCHAR, ',' ORDER BY name) AS timings FROM (
+  SELECT event_id, unnest(['ocr_ms', 'table_extract_ms', 'text_extract_ms', 'total_ms', 'write_ms']) AS name, unnest([(event_id % 7)::DOUBLE, 0, 0, CASE WHEN event_id % 2 = 0 THEN 8.5 ELSE 4.25 END, 1.5]) AS v FROM events) GROUP BY event_id""")
 def timing_merge(spark, d):
-    e = _events(spark, d).where("event_id < 10")
+    e = _events(spark, d)
     own = F.create_map(F.lit("total_ms"), F.lit(4.25), F.lit("write_ms"), F.lit(1.5), F.lit("junk"), F.lit(9.0), F.lit("text_extract_ms"), F.lit(-1.0))
     over = F.create_map(F.lit("ocr_ms"), (F.col("event_id") % 7).cast("double"), F.lit("total_ms"), F.when(F.col("event_id") % 2 == 0, 8.5).otherwise(-1.0))
     said = F.transform(F.map_entries(values.merged_timings(own.cast("map<string,double>"), over)), lambda x: F.concat_ws("=", x["key"], x["value"].cast("string")))
-    return e.select((F.col("event_id") % 10).alias("k"), F.array_join(said, ",").alias("timings"))
+    return e.select(F.col("event_id").alias("k"), F.array_join(said, ",").alias("timings"))
 
 
 COMMITS = "('feat: a'), ('feat(x)!: b'), ('fix: c'), ('feat(core): d'), ('docs: BREAKING CHANGE e'), ('chore: f')"
