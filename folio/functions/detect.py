@@ -86,6 +86,31 @@ def tables_mode(value: Column) -> Column:
     return case((value == "light", "detect"), (value == "full", "extract"), default=value)
 
 
+# Names of file types where pages are read, and the unit of coordinates of each.
+READER_TYPES = {"pdf_text": "pdf_text", "pdf_scanned": "pdf_scan", "pdf_scan": "pdf_scan", "pdf_mixed": "pdf_scan_hybrid", "pdf_scan_hybrid": "pdf_scan_hybrid", "docx": "docx", "image": "image", "txt": "pdf_text"}
+UNITS = {"docx": "docx_emus", "image": "image_pixels"}
+
+
+def reader_type(kind: Column) -> Column:
+    table = F.create_map(*[F.lit(x) for pair in READER_TYPES.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, F.lower(F.trim(F.coalesce(kind, F.lit(""))))), F.lit("unknown"))
+
+
+def coordinate_unit(reader: Column) -> Column:
+    table = F.create_map(*[F.lit(x) for pair in UNITS.items() for x in pair])
+    return F.when(reader.startswith("pdf"), "pdf_points").otherwise(F.coalesce(F.try_element_at(table, reader), F.lit("unknown")))
+
+
+def option(value: Column, *off: str) -> Column:
+    """A recommended value, unless it is empty or stands for none."""
+    return F.when(~value.isin("", *off), value)
+
+
+def forbidden(path: Column, prefixes: tuple[str, ...] = ("OneDrive/", "Desktop/", "Downloads/", "outputs/")) -> Column:
+    """The first of the prefixes that a path begins with, else null."""
+    return F.coalesce(*[F.when(path.startswith(p), F.lit(p)) for p in prefixes])
+
+
 def route(kind: Column) -> Column:
     """Where a file goes next: text-like kinds to encoding, the rest past it."""
     return F.when(kind.isin("txt", "docx"), F.lit("encoding")).otherwise(F.lit("skip"))

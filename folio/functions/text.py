@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -187,6 +189,21 @@ def truncated(value: Column, most: int = 4096) -> tuple[Column, Column]:
     return F.left(value, F.lit(most)), F.coalesce(F.length(value) > most, F.lit(False))
 
 
+def trace_url(template: Column, trace_id: Column) -> Column:
+    """The template with {trace_id} filled in; null without either."""
+    return F.when((F.trim(template) != "") & (trace_id != ""), F.replace(F.trim(template), F.lit("{trace_id}"), trace_id))
+
+
+def nfc(text: Column) -> Column:
+    """The text in normal form C, Arrow batches at a time: no built-in function does it."""
+
+    @F.arrow_udf("string")
+    def run(v: pa.Array) -> pa.Array:
+        return pa.array([x if x is None or x.isascii() else unicodedata.normalize("NFC", x) for x in v.to_pylist()], pa.string())
+
+    return run(text)
+
+
 def summary_line(step: Column, status: Column, page: Column, details: Column) -> Column:
     """`step status [p=n] k=v, ...` with the keys of the map in order."""
     pairs = F.array_join(F.transform(F.sort_array(F.map_entries(details)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ", ")

@@ -135,6 +135,19 @@ def compare(old: DataFrame, new: DataFrame) -> DataFrame:
     return j.select(F.coalesce("o.property", "n.property").alias("property"), F.explode(kinds).alias("kind"))
 
 
+def compare_schemas(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(name, kind) of what breaks at the level of whole schemas (name, additional_properties): those that are gone, and those that no longer allow further properties."""
+    j = old.select("name", F.col("additional_properties").alias("o")).join(new.select("name", F.col("additional_properties").alias("n"), F.lit(True).alias("there")), "name", "left")
+    kind = F.when(F.col("there").isNull(), "schema_removed").when(F.coalesce("o", F.lit(True)) & (F.col("n") == F.lit(False)), "additional_properties_disabled")
+    return j.select("name", kind.alias("kind")).where("kind is not null")
+
+
+def schema_of(artifacts: DataFrame, schemas: DataFrame) -> DataFrame:
+    """artifacts (file) with the schema of their file name, or `minimal` where there is none."""
+    found = artifacts.join(schemas.select("file", "schema"), "file", "left")
+    return found.withColumn("schema", F.coalesce("schema", F.lit("minimal")))
+
+
 def compatible(breaks: DataFrame, old_version: str, new_version: str) -> DataFrame:
     """One row: how many breaks, and whether they are allowed (none, or a new major version)."""
     major = T.bump_kind(F.lit(old_version), F.lit(new_version)) == "major"

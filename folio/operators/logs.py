@@ -108,6 +108,24 @@ def valid_record(records: DataFrame) -> DataFrame:
     return records.where(" and ".join(f"coalesce({c}, '') <> ''" for c in ("level", "logger", "message")))
 
 
+def select(records: DataFrame, equal: dict | None = None, unequal: dict | None = None, like: dict | None = None, unlike: dict | None = None) -> DataFrame:
+    """Records whose labels (an absent one is empty) agree with all matchers: =, !=, =~ and !~."""
+    value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    for given, test in ((equal, lambda c, v: value(c) == v), (unequal, lambda c, v: value(c) != v), (like, lambda c, v: matches(value(c), v)), (unlike, lambda c, v: ~matches(value(c), v))):
+        for c, v in (given or {}).items():
+            records = records.where(test(c, v))
+    return records
+
+
+def lines_with(records: DataFrame, pattern: str, column: str = "message") -> DataFrame:
+    """A line filter: the pattern occurs in the line."""
+    return records.where(F.col(column).rlike(pattern))
+
+
+def count_over_time(records: DataFrame, width: str, labels: list[str], ts: str = "ts") -> DataFrame:
+    return records.groupBy(F.window(ts, width)["start"].alias("start"), *labels).agg(F.count(F.lit(1)).alias("n"))
+
+
 def matches(column: Column, pattern: str, insensitive: bool = False) -> Column:
     """A label matcher: the pattern must cover the whole value."""
     return column.rlike(f"{'(?i)' if insensitive else ''}^(?:{pattern})$")

@@ -1,13 +1,11 @@
 """Metric samples: rates, histograms and their quantiles, ratios, burn rates, alerts.
 
-Samples are rows (ts, label columns, value). Windows are aligned buckets of event time; a rate is what was added in a bucket per second,
-without the extrapolation to the edges that some systems make.
+Samples are rows (ts, label columns, value). Windows are aligned buckets of event time, or (sliding_...) the time up to each step of a grid; a rate in
+buckets is what was added per second, a sliding one is extrapolated to the window's edges.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +46,60 @@ def quantile(buckets: DataFrame, q: float, labels: list[str]) -> DataFrame:
     return hit.groupBy(*labels).agg(F.min_by(value, "le").alias("quantile"))
 
 
+def rolling(steps: DataFrame, labels: list[str], seconds: int, step: int, *aggregates: Column) -> DataFrame:
+    """aggregates (made with OVER) over the rows (t: end of a step of `step` seconds) of the `seconds` up to each t."""
+    w = Window.partitionBy(*labels).orderBy("t").rangeBetween(-(seconds - step), 0)
+    return steps.select(*labels, "t", *[a(w) for a in aggregates])
+
+
+def on_grid(steps: DataFrame, labels: list[str], step: int) -> DataFrame:
+    """The rows of steps and an empty one for each t between the first and the last of its labels that has none."""
+    ends = steps.groupBy(*labels).agg(F.min("t").alias("a"), F.max("t").alias("b"))
+    return ends.select(*labels, F.explode(F.sequence("a", "b", F.lit(step))).alias("t")).join(steps, [*labels, "t"], "left")
+
+
+def sliding_increase(samples: DataFrame, labels: list[str], seconds: int, step: int, ts: str = "ts") -> DataFrame:
+    """(labels, t, increase, rate) of a counter (ts, labels, value) over the `seconds` up to each t (whole multiples of `step`, which divides `seconds`).
+
+    Within a window: what was added between its samples (a lower value is a reset and counts whole), stretched to the window's edges, but by no more than half a
+    mean gap where the edge is farther than 1.1 gaps, and not below a counter of 0. Windows of fewer than two samples have none. Samples are brought to steps
+    first, so what is sorted is a row per step, not per sample."""
+    own = Window.partitionBy(*labels).orderBy("__s", "value")
+    s = samples.select(*labels, F.col(ts).cast("timestamp").alias("__ts"), "value").withColumn("__s", F.unix_micros("__ts") / 1e6).drop("__ts")
+    last = F.lag("value").over(own)
+    s = s.withColumn("__added", F.when(last.isNull(), 0.0).when(F.col("value") < last, F.col("value")).otherwise(F.col("value") - last).cast("double"))
+    s = s.withColumn("t", (F.ceil(F.col("__s") / step) * step).cast("long"))
+    first = F.min_by(F.struct("__added", "value"), F.struct("__s", "value"))
+    steps = s.groupBy(*labels, "t").agg(F.count(F.lit(1)).alias("n"), F.sum("__added").alias("added"), F.min("__s").alias("a"), F.max("__s").alias("b"), first.alias("f"))
+    r = rolling(
+        on_grid(steps, labels, step), labels, seconds, step, lambda w: F.sum("n").over(w).alias("n"), lambda w: F.sum("added").over(w).alias("added"), lambda w: F.min("a").over(w).alias("a"),
+        lambda w: F.max("b").over(w).alias("b"), lambda w: F.first("f", ignorenulls=True).over(w).alias("f"),
+    ).where("n >= 2 and b > a")
+    raw, between = F.col("added") - F.col("f.__added"), F.col("b") - F.col("a")
+    gap = between / (F.col("n") - 1)
+    before, after = F.col("a") - (F.col("t") - seconds), F.col("t") - F.col("b")
+    near = lambda d: F.when(d >= gap * 1.1, gap / 2).otherwise(d)
+    zero = F.when((raw > 0) & (F.col("f.value") >= 0), between * F.col("f.value") / raw)
+    increase = raw * (between + F.least(near(before), F.coalesce(zero, near(before))) + near(after)) / between
+    return r.select(*labels, "t", increase.alias("increase"), (increase / seconds).alias("rate"))
+
+
+def sliding_average(samples: DataFrame, labels: list[str], seconds: int, step: int, ts: str = "ts", value: str = "value") -> DataFrame:
+    """(labels, t, average) of the samples in the `seconds` up to each t."""
+    s = samples.withColumn("t", (F.ceil(F.unix_micros(F.col(ts).cast("timestamp")) / 1e6 / step) * step).cast("long"))
+    steps = s.groupBy(*labels, "t").agg(F.count(value).alias("n"), F.sum(F.col(value).cast("double")).alias("v"))
+    r = rolling(on_grid(steps, labels, step), labels, seconds, step, lambda w: F.sum("n").over(w).alias("n"), lambda w: F.sum("v").over(w).alias("v"))
+    return r.where("n > 0").select(*labels, "t", (F.col("v") / F.col("n")).alias("average"))
+
+
+def sliding_quantile(samples: DataFrame, bounds: tuple, labels: list[str], q: float, seconds: int, step: int, ts: str = "ts", value: str = "value") -> DataFrame:
+    """(labels, t, quantile) of the histogram of the samples in the `seconds` up to each t."""
+    s = samples.withColumn("t", (F.ceil(F.unix_micros(F.col(ts).cast("timestamp")) / 1e6 / step) * step).cast("long"))
+    b = histogram(s, bounds, [*labels, "t"], value)
+    r = rolling(on_grid(b, [*labels, "le"], step), [*labels, "le"], seconds, step, lambda w: F.sum("n").over(w).alias("n"))
+    return quantile(r.where("n is not null"), q, [*labels, "t"])
+
+
 def ratio(top: DataFrame, bottom: DataFrame, labels: list[str], to: str = "ratio") -> DataFrame:
     """top / bottom (labels, value) where both have the labels and the divisor is not 0."""
     b = bottom.select(*labels, F.col("value").alias("__by")).where("__by <> 0")
@@ -103,14 +155,11 @@ def routed(alerts_: DataFrame, routes: dict[str, tuple[str, ...]], default: str)
 
 def sampled(traces: DataFrame, share: float, key: str = "trace_id") -> DataFrame:
     """A share of traces, the same ones wherever they appear."""
-    return traces.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(max(0.0, min(1.0, share)) * 1_000_000))
+    low = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("long")
+    return traces.where(low < int(max(0.0, min(1.0, share)) * 2**32))
 
 
 def bands(value: Column, warn: float, critical: float, high_is_bad: bool = True) -> Column:
     """ok, warn or critical."""
     worse = (lambda t: value > t) if high_is_bad else (lambda t: value < t)
     return F.when(worse(critical), "critical").when(worse(warn), "warn").otherwise("ok")
-
-
-def all_of(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -23,6 +23,8 @@ class Stages:
     page_stats: DataFrame
     summaries: DataFrame
     unread: DataFrame
+    items: DataFrame
+    summary: DataFrame
 
 
 def detected(files: DataFrame) -> DataFrame:
@@ -37,6 +39,25 @@ def encoded(files: DataFrame, policy: str = "lf") -> DataFrame:
     return text_like.select("path", e.alias("e"), encoding.normalized_path(F.col("path")).alias("normalized_path")).select("path", "e.*", "normalized_path")
 
 
+def readers_items(found: DataFrame, normalized: DataFrame) -> DataFrame:
+    """What the readers get: each detected file once, under its normalised path if it has one, with the options that detection recommends."""
+    n = normalized.select("path", "normalized_path")
+    joined = found.join(n, "path", "left")
+    return joined.select(
+        "path", F.coalesce("normalized_path", "path").alias("effective_path"), "file_type", detect.option(F.col("mode"), "off").alias("mode"),
+        detect.option(F.when(F.col("file_type") == "txt", "off").otherwise("detect"), "off", "none").alias("tables_mode"), "confidence",
+    )
+
+
+def chain_summary(items: DataFrame, normalized: DataFrame, documents: DataFrame) -> DataFrame:
+    """One row: what came in, was routed to encoding, was normalised, and was read, with the mean confidences."""
+    a = items.agg(F.count(F.lit(1)).alias("items"), F.count_if(detect.route(F.col("file_type")) == "encoding").alias("to_encoding"), F.coalesce(F.avg("confidence"), F.lit(0.0)).alias("detect_confidence"))
+    b = normalized.agg(F.count_if(F.col("normalized_path").isNotNull()).alias("normalized"))
+    c = readers.stage_stats(documents).withColumnsRenamed({"documents": "read", "avg_conf": "read_confidence"})
+    one = lambda df: df.withColumn("one", F.lit(1))
+    return one(a).join(one(b), "one").join(one(c), "one").drop("one")
+
+
 def detect_stats(items: DataFrame) -> DataFrame:
     return items.groupBy("file_type").agg(F.count(F.lit(1)).alias("n"))
 
@@ -51,4 +72,7 @@ def run(spark: SparkSession, inputs: list[str], run_id: str, profile: str = "pro
     files = S.binary(spark, inputs)
     stamp = lambda df: df.withColumn("run_id", F.lit(run_id))
     pages = S.read_pages(files).withColumnRenamed("path", "doc_id")
-    return Stages(stamp(detected(files)), stamp(encoded(files)), stamp(pages), stamp(readers.page_stats(pages, p)), stamp(readers.document_summary(pages, p)), stamp(S.unread(files)))
+    found, normalized, summaries = detected(files), encoded(files), readers.document_summary(pages, p)
+    items = readers_items(found, normalized)
+    made = (found, normalized, pages, readers.page_stats(pages, p), summaries, S.unread(files), items, chain_summary(items, normalized, summaries))
+    return Stages(*map(stamp, made))

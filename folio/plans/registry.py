@@ -30,10 +30,14 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
+    from folio.plans import more  # noqa: F401
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from folio.plans import more  # noqa: F401
+
     return dict(_ORACLE)
 
 
