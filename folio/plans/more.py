@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folio import constants as K
-from folio.functions import detect
+from folio.functions import detect, values
 from folio.functions import text as T
-from folio.operators import contracts, detection, logs, metrics, readers, records
-from folio.plans import chain
+from folio.operators import contracts, detection, layout, logs, metrics, records
+from folio.plans import chain, rules
 from folio.plans.registry import _SAMPLE, LINES, _hint, _lines, _locale, _metrics, _pages, _tokens, _words, query
 from folio.plans.views import LOGS, log_records, table
 
@@ -229,3 +229,131 @@ def sliding_increase(spark, d):
 @query(f"WITH {_COUNTERS}, {_GRID} SELECT u, t, round(avg(v), 9) AS average FROM m GROUP BY u, t")
 def sliding_average(spark, d):
     return metrics.sliding_average(_counters(spark, d), ["u"], _RANGE, _STEP).select("u", "t", F.round("average", 9).alias("average"))
+
+
+_MEASURED = "v AS (SELECT ts, 'phase_0' || (user_id % 3) AS phase, event_type AS kind, value * 10 AS ms, (user_id % 9 = 0)::INT AS failed, 'r' || (user_id % 4) AS route, CASE WHEN user_id % 2 = 0 THEN 'GET' ELSE 'PUT' END AS method FROM events)"
+
+
+def _measured(spark, d):
+    e = table(spark, d, "events").select(
+        "ts", F.concat(F.lit("phase_0"), (F.col("user_id") % 3).cast("string")).alias("phase"), F.col("event_type").alias("kind"), (F.col("value") * 10).alias("ms"), (F.col("user_id") % 9 == 0).alias("failed"),
+        F.concat(F.lit("r"), (F.col("user_id") % 4).cast("string")).alias("route"), F.when(F.col("user_id") % 2 == 0, "GET").otherwise("PUT").alias("method"),
+    )
+    return {"validations": e, "calls": e}
+
+
+def _windowed(labels: str, ends: str) -> str:
+    """SQL: the events of each window up to t, for the steps between the first and last of its labels."""
+    key = f"{labels}, " if labels else ""
+    on = " AND ".join(["v2.s > g.t - {r}".format(r=_RANGE), "v2.s <= g.t", *[f"v2.{c} = g.{c}" for c in labels.split(", ") if c]])
+    return f"(SELECT {', '.join(['g.t', *['g.' + c for c in labels.split(', ') if c], 'v2.ms', 'v2.failed'])} FROM (SELECT {key}unnest(range((ceil(min(s) / {_STEP}) * {_STEP})::BIGINT, {ends} + 1, {_STEP})) AS t FROM v2 {('GROUP BY ' + labels) if labels else ''}) g JOIN v2 ON {on})"
+
+
+def _quantile_sql(rule: str, labels: str, q: float) -> str:
+    bounds = K.BUCKETS["api_ms"]
+    b = ", ".join(f"({float(x)}::DOUBLE, {float(lo)}::DOUBLE)" for x, lo in zip(bounds, (0, *bounds)))
+    said = "concat_ws(',', " + labels + ")" if labels else "''"
+    key = f"{labels}, " if labels else ""
+    return f"""SELECT '{rule}' AS rule, {said} AS labels, t, arg_min(CASE WHEN isinf(le) THEN lo ELSE lo + (le - lo) * ({q} * total - below) / (n - below) END, le) AS value FROM (
+      SELECT *, max(n) OVER (PARTITION BY {key}t) AS total, coalesce(lag(n) OVER (PARTITION BY {key}t ORDER BY le), 0) AS below FROM (
+        SELECT {key}t, le, lo, count(*) FILTER (WHERE ms <= le) AS n FROM {_windowed(labels, f"(ceil(max(s) / {_STEP}) * {_STEP})::BIGINT")} CROSS JOIN (VALUES {b}, ('inf'::DOUBLE, {float(bounds[-1])})) k(le, lo) GROUP BY ALL))
+      WHERE total > 0 AND n >= {q} * total GROUP BY {key}t"""
+
+
+_RULES = " UNION ALL ".join(
+    _quantile_sql(name, ", ".join(labels), q) if q else f"SELECT '{name}' AS rule, concat_ws(',', {', '.join(labels)}) AS labels, t, avg(failed) AS value FROM {_windowed(', '.join(labels), f'(ceil(max(s) / {_STEP}) * {_STEP})::BIGINT')} GROUP BY ALL"
+    for name, (_, labels, q) in rules.RECORDED.items()
+)
+
+
+@query(f"WITH {_MEASURED}, v2 AS (SELECT *, epoch_us(ts) / 1e6 AS s FROM v) SELECT rule, labels, t, round(value, 6) AS value FROM ({_RULES})")
+def recorded_series(spark, d):
+    t, out = _measured(spark, d), None
+    for name in rules.RECORDED:
+        x = rules.recorded(name, t, _RANGE, _STEP)
+        out = x if out is None else out.unionByName(x)
+    return out.withColumn("value", F.round("value", 6))
+
+
+@query(f"""WITH v AS (SELECT epoch_us(ts) / 1e6 AS s, (user_id % 9 = 0)::INT AS failed FROM events), g AS (SELECT unnest(range((ceil(min(s) / 3600) * 3600)::BIGINT, (ceil(max(s) / 3600) * 3600)::BIGINT + 1, 3600)) AS t FROM v),
+b AS (SELECT speed, t, avg(failed) / 0.02 AS burn, most FROM g CROSS JOIN (VALUES ('fast', 3600, 5.0), ('slow', 43200, 1.0)) k(speed, w, most) JOIN v ON v.s > t - w AND v.s <= t GROUP BY ALL)
+SELECT speed, t, round(burn, 6) AS burn, burn > most AS firing FROM b""")
+def slo_burns(spark, d):
+    return rules.burns(_measured(spark, d)["validations"], 3600, 12).withColumn("burn", F.round("burn", 6))
+
+
+# ---- functions over whole tables whose odd cases stand in the registry's queries on literals
+
+
+@query(rf"WITH {LINES} SELECT doc_id, block, CASE WHEN regexp_matches(line, '^[-*+] ') THEN substr(line, 1, 1) WHEN regexp_matches(line, '(?s)^[\p{{Nd}}\p{{L}}][.)].') THEN substr(line, 1, 2) ELSE '' END AS marker FROM l")
+def line_markers(spark, d):
+    x = table(spark, d, "documents").select("doc_id", F.posexplode(T.lines(F.col("text"))).alias("block", "line"))
+    return x.select("doc_id", F.col("block").cast("long").alias("block"), T.numbering_marker(F.col("line")).alias("marker"))
+
+
+_PARTS = ("de", "EN ", "fr", "mixed", "", "ger", "eng")
+
+
+@query(f"""WITH t AS (SELECT event_id, [{', '.join(f"'{p}'" for p in _PARTS)}] AS p, ['de', 'en', NULL, 'mixed', NULL, 'de', 'en'] AS k FROM events), s AS (SELECT event_id, k[1 + event_id % 7] AS a, k[1 + event_id // 7 % 7] AS b FROM t)
+SELECT event_id, CASE WHEN 'mixed' IN (coalesce(a, ''), coalesce(b, '')) OR (a <> b) THEN 'de+en' ELSE coalesce(a, b, 'de') END AS lang FROM s""")
+def tags_of_rows(spark, d):
+    part = lambda c: F.get(F.array(*map(F.lit, _PARTS)), F.expr(c).cast("int"))
+    e = table(spark, d, "events").select("event_id", F.concat_ws(",", part("event_id % 7"), part("event_id div 7 % 7")).alias("tags"))
+    return e.select("event_id", T.collapse_tokens(T.language_tokens(F.col("tags"))).alias("lang"))
+
+
+@query(f"WITH t AS (SELECT conv_id, turn, {_hint(_tokens('text'))} AS h FROM conversations) SELECT a.conv_id, a.turn, CASE WHEN a.h = b.h OR b.h = 'unknown' THEN a.h WHEN a.h = 'unknown' THEN b.h ELSE 'mixed' END AS merged FROM t a JOIN t b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1")
+def hints_of_turns(spark, d):
+    x = table(spark, d, "conversations").select("conv_id", "turn", T.words_ascii(F.col("text")).alias("w")).select("conv_id", "turn", T.language_hint_of(F.col("w")).alias("h"))
+    y = x.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("h").alias("g"))
+    return x.join(y, ["conv_id", "turn"]).select("conv_id", "turn", T.merge_hints(F.col("h"), F.col("g")).alias("merged"))
+
+
+_VERSION = "concat_ws('.', user_id % 4, event_id % 13, user_id % 17)"
+
+
+@query("SELECT event_id, CASE event_type WHEN 'error' THEN (user_id % 4 + 1) || '.0.0' WHEN 'view' THEN (user_id % 4) || '.' || (event_id % 13 + 1) || '.0' ELSE (user_id % 4) || '.' || (event_id % 13) || '.' || (user_id % 17 + 1) END AS bumped, CASE event_type WHEN 'error' THEN 'major' WHEN 'view' THEN 'minor' ELSE 'patch' END AS kind FROM events")
+def versions_of_rows(spark, d):
+    kind = F.when(F.col("event_type") == "error", "major").when(F.col("event_type") == "view", "minor").otherwise("patch")
+    e = table(spark, d, "events").withColumns({"v": F.expr(_VERSION), "k": kind}).withColumn("bumped", T.bump(F.col("v"), F.col("k")))
+    return e.select("event_id", "bumped", T.bump_kind(F.col("v"), F.col("bumped")).alias("kind"))
+
+
+@query("SELECT max(user_id % 4 * 1000000 + event_id % 13 * 1000 + user_id % 17) AS best FROM events WHERE (user_id % 4, event_id % 13, user_id % 17) < (2, 5, 3)")
+def highest_below(spark, d):
+    v = contracts.version_below(table(spark, d, "events").select(F.concat(F.lit("v"), F.expr(_VERSION)).alias("tag")), "v2.5.3").select(T.semver(F.col("tag")).alias("s"))
+    return v.select((F.col("s.major") * 1000000 + F.col("s.minor") * 1000 + F.col("s.patch")).cast("long").alias("best"))
+
+
+@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN user_id ELSE 0 END::INT AS i, CASE event_id % 4 WHEN 0 THEN user_id WHEN 1 THEN user_id + 0.5 ELSE 0 END::DOUBLE AS f FROM events")
+def numbers_of_rows(spark, d):
+    u = F.col("user_id").cast("string")
+    v = F.when(F.col("event_id") % 4 == 0, u).when(F.col("event_id") % 4 == 1, F.concat(u, F.lit(".5"))).when(F.col("event_id") % 4 == 2, F.concat(F.lit("n"), u)).otherwise("")
+    return table(spark, d, "events").select("event_id", values.as_int(v).cast("int").alias("i"), values.as_float(v).cast("double").alias("f"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 5 = 0 OR user_id % 6 = 0 THEN 'major' WHEN event_type = 'view' THEN 'minor' ELSE 'patch' END AS kind FROM events")
+def subjects_of_rows(spark, d):
+    kind = F.when(F.col("event_type") == "view", "feat").otherwise(F.col("event_type"))
+    subject = F.concat(kind, F.when(F.col("user_id") % 2 == 0, "(part)").otherwise(""), F.when(F.col("event_id") % 5 == 0, "!").otherwise(""), F.lit(": work"), F.when(F.col("user_id") % 6 == 0, "\n\nBREAKING CHANGE: x").otherwise(""))
+    return table(spark, d, "events").select("event_id", values.commit_kind(subject).alias("kind"))
+
+
+@query("""WITH t AS (SELECT event_id, ['ok', 'fallback', 'detect', 'failed', 'inadmissible', NULL][1 + event_id % 6] AS status, (user_id % 4)::INT AS rows, (event_id % 5)::INT AS cols, (user_id * 3)::INT AS cells FROM events)
+SELECT event_id, round(least(1, greatest(0, CASE coalesce(status, 'failed') WHEN 'ok' THEN 0.85 WHEN 'inadmissible' THEN 0.1 WHEN 'failed' THEN 0.2 ELSE 0.6 END + 0.25::DOUBLE * least(cells / 200.0::DOUBLE, 1) + CASE WHEN least(rows, cols) >= 2 THEN 0.25 WHEN least(rows, cols) >= 1 THEN 0.1 ELSE 0 END))::DOUBLE, 9) AS confidence FROM t""")
+def tables_of_rows(spark, d):
+    status = F.get(F.array(*map(F.lit, ("ok", "fallback", "detect", "failed", "inadmissible", None))), (F.col("event_id") % 6).cast("int"))
+    e = table(spark, d, "events").select("event_id", status.alias("status"), (F.col("user_id") % 4).cast("int").alias("r"), (F.col("event_id") % 5).cast("int").alias("c"), (F.col("user_id") * 3).cast("int").alias("n"))
+    return e.select("event_id", F.round(layout.table_confidence(F.col("status"), F.col("r"), F.col("c"), F.col("n")).cast("double"), 9).alias("confidence"))
+
+
+@query("""WITH p AS (SELECT page_id, page_id % 2 = 0 AS o_req, page_id % 3 = 0 AS n_req, page_id % 7 <> 0 AS n_there, page_id % 5 AS k FROM pages)
+SELECT 'p' || page_id AS property, unnest(list_filter([CASE WHEN o_req AND NOT (n_req AND n_there) THEN 'required_removed' END, CASE WHEN n_req AND n_there AND NOT o_req THEN 'required_added' END, CASE WHEN NOT n_there THEN 'property_removed' END,
+  CASE WHEN n_there AND k = 1 THEN 'type_narrowed' END, CASE WHEN n_there AND k = 2 THEN 'enum_shrunk' END], lambda x: x IS NOT NULL)) AS kind FROM p""")
+def property_diff(spark, d):
+    p = table(spark, d, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("property"), "page_id", (F.col("page_id") % 5).alias("k"))
+    words = lambda when, more: F.when(when, F.array(F.lit("string"), F.lit("null"))).otherwise(F.array(F.lit("string"))) if more else F.array(F.lit("string"))
+    enum = lambda *v: F.when(F.col("k") == 2, F.array(*map(F.lit, v)))
+    old = p.select("property", words(F.col("k") == 1, True).alias("types"), enum("x", "y").alias("enum"), (F.col("page_id") % 2 == 0).alias("required"))
+    new = p.where("page_id % 7 <> 0").select("property", words(None, False).alias("types"), enum("x").alias("enum"), (F.col("page_id") % 3 == 0).alias("required"))
+    return contracts.compare(old, new)
