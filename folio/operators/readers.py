@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.constants import Profile
+from folio.functions import geometry as G
 from folio.functions import text as T
 from folio.functions.text import case
 
@@ -77,7 +78,8 @@ def source_kind(source: Column) -> Column:
 
 
 def text_density(chars: Column, width: Column, height: Column) -> Column:
-    return F.when((width > 0) & (height > 0), chars / (width * height)).otherwise(F.lit(0.0))
+    """Characters to the area of the page, to 6 digits."""
+    return F.when((chars > 0) & (width * height > 0), F.round(chars / (width * height), 6)).otherwise(F.lit(0.0))
 
 
 def page_flags(source: Column, conf: Column, words: Column, chars: Column, table_failed: Column, p: Profile = PROD) -> Column:
@@ -99,7 +101,7 @@ def rich_flags(given: Column, source: Column, ocr_conf: Column, ocr_words: Colum
             F.when((source_kind(source) == "text") & (chars < p.suspicious_chars), "suspicious_text_page"),
         )
     )
-    return F.array_distinct(F.concat(F.filter(F.transform(given, F.trim), lambda f: f != ""), own))
+    return F.array_distinct(F.concat(F.filter(F.transform(given, lambda f: F.trim(f)), lambda f: f != ""), own))
 
 
 def on_spine(pages: DataFrame, page_count: DataFrame, *others: DataFrame) -> DataFrame:
@@ -131,6 +133,34 @@ def page_stats(pages: DataFrame, p: Profile = PROD) -> DataFrame:
     )
 
 
+def page_report(pages: DataFrame, geometry: DataFrame, shares: DataFrame, zones: DataFrame, wide: DataFrame, fallback: str = "", p: Profile = PROD) -> DataFrame:
+    """All that is told of a page, one row per row of pages (doc_id, page, source, decision, chars, lang, locale, ocr_conf, ocr_words, tables_found, table_cells, has_table, time_ms,
+    skew_deg, noise_score, flags).
+
+    geometry (doc_id, page, width, height, rotation, images_count, graphics_objects_count), shares (language_share()), zones (doc_id, page, has_header_footer) and wide
+    (doc_id, page: pages of two columns) are met by page, each with a row per page at most; what is not known of a page is 0, false or, for shares, its language."""
+    num = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    whole = lambda c: F.coalesce(F.col(c).cast("int"), F.lit(0))
+    x = pages
+    for t in (geometry, shares, zones, wide.select("doc_id", "page", F.lit(True).alias("is_multi_column"))):
+        x = x.join(t, ["doc_id", "page"], "left")
+    given = F.coalesce(F.nullif("source", F.lit("")), F.nullif("decision", F.lit("")), F.lit("text"))
+    said = F.coalesce(F.nullif("decision", F.lit("")), given)
+    lang = lambda c: T.collapse_tokens(case((F.size(T.language_tokens(F.col(c))) > 0, T.language_tokens(F.col(c))), default=T.language_tokens(F.lit(fallback))))
+    x = x.withColumns({"lang": lang("lang"), "locale": lang("locale"), "source": source_kind(given), "decision": said, "is_multi_column": F.coalesce("is_multi_column", F.lit(False)), "__conf": F.bround(F.col("ocr_conf").cast("double"), 2)})
+    one = lambda tag: F.coalesce(F.col(tag), F.when(F.col("lang") == "de+en", 0.5).when(F.col("lang") == tag, 1.0).otherwise(0.0))
+    share = F.when(F.col("de").isNull() & F.col("en").isNull(), F.struct(one("de").alias("de"), one("en").alias("en"))).otherwise(F.struct(F.coalesce("de", F.lit(0.0)).alias("de"), F.coalesce("en", F.lit(0.0)).alias("en")))
+    return x.select(
+        "doc_id", "page", "source", whole("chars").alias("chars"), "lang", share.alias("lang_share"), F.coalesce("__conf", F.lit(0.0)).alias("ocr_conf"), whole("ocr_words").alias("ocr_words"),
+        whole("tables_found").alias("tables_found"), whole("table_cells").alias("table_cells"), rich_flags(F.col("flags"), F.col("source"), F.col("__conf"), F.col("ocr_words"), F.col("chars"), p).alias("flags"),
+        G.rotation(num("rotation")).alias("rotation_deg"), F.bround(num("skew_deg"), 2).alias("skew_deg"), "is_multi_column", F.when(F.col("is_multi_column"), 2).otherwise(1).alias("columns_count"),
+        F.struct(num("width").alias("width"), num("height").alias("height")).alias("page_size"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.bround(num("noise_score"), 3))).alias("noise_score"),
+        text_density(F.col("chars"), num("width"), num("height")).alias("text_density"), F.coalesce("has_header_footer", F.lit(False)).alias("has_header_footer"), (whole("images_count") > 0).alias("has_images"),
+        whole("images_count").alias("images_count"), whole("graphics_objects_count").alias("graphics_objects_count"), F.bround(num("time_ms"), 2).alias("time_ms"), "locale",
+        "decision", (F.coalesce("has_table", F.lit(False)) | (whole("tables_found") > 0)).alias("has_table"),
+    )
+
+
 # ---- blocks
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from folio import constants as K
 from folio.functions import detect, values
 from folio.functions import text as T
-from folio.operators import contracts, detection, layout, logs, metrics, records
+from folio.operators import contracts, detection, layout, logs, metrics, readers, records
 from folio.plans import chain, rules
 from folio.plans.registry import _SAMPLE, LINES, _hint, _lines, _locale, _metrics, _pages, _tokens, _words, query
 from folio.plans.views import LOGS, log_records, table
@@ -357,3 +357,35 @@ def property_diff(spark, d):
     old = p.select("property", words(F.col("k") == 1, True).alias("types"), enum("x", "y").alias("enum"), (F.col("page_id") % 2 == 0).alias("required"))
     new = p.where("page_id % 7 <> 0").select("property", words(None, False).alias("types"), enum("x").alias("enum"), (F.col("page_id") % 3 == 0).alias("required"))
     return contracts.compare(old, new)
+
+
+_REPORT = """x AS (SELECT conv_id AS doc_id, turn + 1 AS page, ['native', 'OCR', 'native+ocr', ''][1 + turn % 4] AS source, CASE WHEN turn % 3 = 0 THEN 'ocr-' || turn ELSE '' END AS decision, length(text) AS chars,
+  ['de', 'eng', 'mixed', 'fr', NULL][1 + (conv_id + turn) % 5] AS lang, CASE WHEN turn % 4 <> 3 THEN (40 + (conv_id * 7 + turn) % 60)::DOUBLE END AS conf, turn % 2 * 30 AS words, turn % 3 AS tables, conv_id % 9 * 100 AS rot,
+  turn % 5 > 0 AS geo, conv_id % 2 = 0 AS shared, (turn - 2) / 4::DOUBLE AS noise FROM conversations),
+y AS (SELECT *, CASE WHEN lang IN ('de') THEN 'de' WHEN lang = 'eng' THEN 'en' ELSE 'de+en' END AS l, CASE source WHEN 'native' THEN 'text' WHEN 'OCR' THEN 'ocr' WHEN 'native+ocr' THEN 'mixed' ELSE CASE WHEN turn_ocr THEN 'ocr' ELSE 'text' END END AS kind FROM (SELECT *, decision <> '' AS turn_ocr FROM x))"""
+
+
+@query(f"""WITH {_REPORT} SELECT doc_id, page, kind AS source, chars, l AS lang, round(CASE WHEN shared THEN 0.25 WHEN l = 'de+en' THEN 0.5 WHEN l = 'de' THEN 1 ELSE 0 END::DOUBLE, 4) AS de, round(CASE WHEN shared THEN 0.75 WHEN l = 'de+en' THEN 0.5 WHEN l = 'en' THEN 1 ELSE 0 END::DOUBLE, 4) AS en,
+coalesce(conf, 0)::DOUBLE AS ocr_conf, words::INT AS ocr_words, tables::INT AS tables_found, array_to_string(list_filter(['given', CASE WHEN conf < 70 THEN 'low_conf_page' END, CASE WHEN conf >= 70 AND words < 10 THEN 'low_text_page' END, CASE WHEN kind = 'text' AND chars < 200 THEN 'suspicious_text_page' END], lambda f: f IS NOT NULL), ',') AS flags,
+CASE WHEN geo THEN (round_even(rot / 90.0, 0) * 90)::INT % 360 ELSE 0 END::INT AS rotation_deg, doc_id % 3 = 0 AND page % 2 = 0 AS is_multi_column, CASE WHEN doc_id % 3 = 0 AND page % 2 = 0 THEN 2 ELSE 1 END AS columns_count,
+CASE WHEN geo THEN 600 ELSE 0 END::DOUBLE AS width, least(1, greatest(0, noise))::DOUBLE AS noise_score, CASE WHEN geo THEN round(chars / 480000.0::DOUBLE, 6) ELSE 0 END::DOUBLE AS text_density, doc_id % 5 = 0 AS has_header_footer, geo AND doc_id % 4 > 0 AS has_images,
+CASE WHEN decision <> '' THEN decision WHEN source <> '' THEN source ELSE 'text' END AS decision, tables > 0 AS has_table FROM y""")
+def page_report(spark, d):
+    c, turn, conv = table(spark, d, "conversations"), F.col("turn"), F.col("conv_id")
+    pick = lambda values, i: F.get(F.array(*map(F.lit, values)), i.cast("int"))
+    base = c.select(conv.alias("doc_id"), (turn + 1).alias("page"), "turn", F.length("text").alias("chars"))
+    doc, t = F.col("doc_id"), F.col("turn")
+    pages = base.withColumns({
+        "source": pick(("native", "OCR", "native+ocr", ""), t % 4), "decision": F.when(t % 3 == 0, F.concat(F.lit("ocr-"), t.cast("string"))).otherwise(""), "lang": pick(("de", "eng", "mixed", "fr", None), (doc + t) % 5),
+        "locale": F.lit("de"), "ocr_conf": F.when(t % 4 != 3, 40 + (doc * 7 + t) % 60), "ocr_words": t % 2 * 30, "tables_found": t % 3, "table_cells": F.lit(0), "has_table": F.lit(False), "time_ms": F.lit(1.234),
+        "skew_deg": F.lit(0.0), "noise_score": (t - 2) / 4, "flags": F.array(F.lit(" given "), F.lit("")),
+    }).drop("turn")
+    at = base.select("doc_id", "page", "turn")
+    geometry = at.where("turn % 5 > 0").select("doc_id", "page", F.lit(600).alias("width"), F.lit(800).alias("height"), (doc % 9 * 100).alias("rotation"), (doc % 4).alias("images_count"), F.lit(0).alias("graphics_objects_count"))
+    shares = at.where("doc_id % 2 = 0").select("doc_id", "page", F.lit(0.25).alias("de"), F.lit(0.75).alias("en"))
+    zones = at.select("doc_id", "page", (doc % 5 == 0).alias("has_header_footer"))
+    r = readers.page_report(pages, geometry, shares, zones, at.where("doc_id % 3 = 0 and page % 2 = 0"), "de,en")
+    return r.select(
+        "doc_id", "page", "source", "chars", "lang", "lang_share.de", "lang_share.en", "ocr_conf", "ocr_words", "tables_found", F.array_join("flags", ",").alias("flags"), "rotation_deg", "is_multi_column", "columns_count",
+        "page_size.width", "noise_score", "text_density", "has_header_footer", "has_images", "decision", "has_table",
+    )

@@ -372,7 +372,7 @@ def page_flags(spark, d):
 
 @query(f"""WITH {PAGES} SELECT doc_id, page, CASE source WHEN 'ocr' THEN 'ocr' ELSE 'text' END AS source, chars, hint AS lang, locale, CASE WHEN source = 'ocr' THEN conf ELSE 0 END::DOUBLE AS ocr_conf, words,
 array_to_string(list_filter([CASE WHEN source = 'ocr' AND conf < 70 THEN 'low_conf_page' END, CASE WHEN source = 'ocr' AND conf >= 70 AND words < 10 THEN 'low_text_page' END, CASE WHEN source <> 'ocr' AND chars < 200 THEN 'suspicious_text_page' END], lambda f: f IS NOT NULL), ',') AS flags,
-chars / (595.0::DOUBLE * 842.0::DOUBLE) AS text_density FROM q""")
+round(chars / (595.0::DOUBLE * 842.0::DOUBLE), 6) AS text_density FROM q""")
 def page_statistics(spark, d):
     return readers.page_stats(_pages(spark, d)).withColumn("flags", F.array_join("flags", ","))
 
