@@ -389,3 +389,30 @@ def page_report(spark, d):
         "doc_id", "page", "source", "chars", "lang", "lang_share.de", "lang_share.en", "ocr_conf", "ocr_words", "tables_found", F.array_join("flags", ",").alias("flags"), "rotation_deg", "is_multi_column", "columns_count",
         "page_size.width", "noise_score", "text_density", "has_header_footer", "has_images", "decision", "has_table",
     )
+
+
+_LEVELS = {series: {">": threshold, "<": threshold, "==": 1.0}[op] for series, op, threshold, _, _ in rules.ALERTS.values()}
+
+
+def _levels(spark, d):
+    """Every series of the alert rules, by hours and a label: a level around its threshold (0 and 1 for one that is or is not there)."""
+    e = table(spark, d, "events").select((F.ceil(F.unix_micros(F.col("ts").cast("timestamp")) / 1e6 / 3600) * 3600).cast("long").alias("t"), (F.col("user_id") % 3).cast("string").alias("labels"), "user_id")
+    h = e.groupBy("t", "labels").agg(((F.sum("user_id") % 10) / 5).alias("x"))
+    one = lambda s, level: F.struct(F.lit(s).alias("series"), (F.floor(F.col("x")).cast("double") if s == "up" else (F.col("x") - 0.9) if level == 0 else F.col("x") * level).alias("value"))
+    return h.select("t", "labels", F.explode(F.array(*[one(s, v) for s, v in _LEVELS.items()])).alias("s")).select("t", "labels", "s.*")
+
+
+_FIRED = "h AS (SELECT (ceil(epoch_us(ts) / 1e6 / 3600) * 3600)::BIGINT AS t, (user_id % 3)::VARCHAR AS labels, sum(user_id) % 10 / 5 AS x FROM events GROUP BY ALL), z AS (" + " UNION ALL ".join(
+    f"SELECT '{rule}' AS rule, '{sev}' AS severity, {hold} AS hold, labels, t FROM h WHERE " + ("floor(x) = 0" if series == "up" else f"x - 0.9 {op} 0" if threshold == 0 else f"x * {threshold}::DOUBLE {op} {threshold}::DOUBLE")
+    for rule, (series, op, threshold, hold, sev) in rules.ALERTS.items()
+) + "), i AS (SELECT *, t - 3600 * row_number() OVER (PARTITION BY rule, labels ORDER BY t) AS island FROM z), a AS (SELECT rule, severity, labels, min(t) AS begins, max(t) AS ends FROM i GROUP BY rule, severity, labels, island, hold HAVING max(t) - min(t) >= hold * 12)"
+
+
+@query(f"WITH {_FIRED} SELECT * FROM a")
+def alert_rules(spark, d):
+    return rules.fired(_levels(spark, d), 3600, 12)
+
+
+@query(f'WITH {_FIRED} SELECT rule, severity, labels, unnest(range(begins + 30, greatest(ends, begins + 30) + 1, 3600)) AS "at" FROM a')
+def alert_notifications(spark, d):
+    return rules.notified(rules.fired(_levels(spark, d), 3600, 12))

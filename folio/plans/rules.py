@@ -4,7 +4,7 @@ Every function gives the value for the `seconds` up to each step; RECORDED holds
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio import constants as K
@@ -45,3 +45,33 @@ def burns(validations: DataFrame, step: int = STEP, scale: int = 1) -> DataFrame
         x = x.select(F.lit(speed).alias("speed"), "t", (F.col("value") / BUDGET).alias("burn")).withColumn("firing", F.col("burn") > most)
         out = x if out is None else out.unionByName(x)
     return out
+
+
+# Rule -> (series, comparison, threshold, seconds for which it must hold, severity).
+ALERTS = {
+    "node_cpu_high": ("node_cpu_percent", ">", 90.0, 600, "warning"), "node_memory_high": ("node_memory_percent", ">", 90.0, 900, "warning"), "node_disk_high": ("node_disk_percent", ">", 90.0, 900, "warning"),
+    "target_down": ("up", "==", 0.0, 300, "critical"), "scrape_slow": ("scrape_seconds_average", ">", 2.0, 600, "warning"), "api_error_rate_high": ("api_error_share", ">", 0.05, 600, "warning"),
+    "api_latency_high": ("api_p95_ms", ">", 500.0, 600, "warning"), "ocr_latency_high": ("ocr_p95_ms", ">", 2000.0, 600, "warning"), "ocr_confidence_low": ("ocr_confidence_average", "<", 60.0, 600, "warning"),
+    "validation_latency_high": ("validation_p95_ms", ">", 500.0, 600, "warning"), "validation_fail_rate_high": ("validation_fail_rate", ">", 0.05, 600, "warning"), "phase_errors": ("phase_error_rate", ">", 0.0, 900, "critical"),
+    "slo_burn_fast": ("burn_fast", ">", 5.0, 600, "critical"), "slo_burn_slow": ("burn_slow", ">", 1.0, 3600, "warning"), "validation_latency_overall_high": ("validation_p95_ms_overall", ">", 2000.0, 600, "warning"),
+}
+
+
+def fired(series: DataFrame, step: int, scale: int = 1) -> DataFrame:
+    """(rule, severity, labels, begins, ends) of the stretches of evaluations, `step` seconds apart, at which a rule's condition held on series (series, labels, t, value) for
+    its time (lengthened by `scale`) at least. An absent evaluation ends a stretch. All rules go through one plan."""
+    spark = series.sparkSession
+    rules = spark.createDataFrame([(n, *r) for n, r in ALERTS.items()], "rule string, series string, op string, threshold double, hold long, severity string")
+    v, t = F.col("value"), F.col("threshold")
+    holds = F.when(F.col("op") == ">", v > t).when(F.col("op") == "<", v < t).otherwise(v == t)
+    w = Window.partitionBy("rule", "labels").orderBy("t")
+    x = series.join(F.broadcast(rules), "series").where(holds)  # as many rows as there are rules
+    x = x.withColumn("new", (F.coalesce(F.col("t") - F.lag("t").over(w), F.lit(step + 1)) > step).cast("int")).withColumn("island", F.sum("new").over(w))
+    g = x.groupBy("rule", "severity", "labels", "island").agg(F.min("t").alias("begins"), F.max("t").alias("ends"), F.first("hold").alias("hold"))
+    return g.where(F.col("ends") - F.col("begins") >= F.col("hold") * scale).select("rule", "severity", "labels", "begins", "ends")
+
+
+def notified(alerts: DataFrame, wait: int = 30, repeat: int = 3600) -> DataFrame:
+    """(rule, severity, labels, at): when word goes out on fired alerts, one group per rule and labels: `wait` seconds after a stretch begins, and again every `repeat` seconds while it lasts."""
+    first = F.col("begins") + wait
+    return alerts.select("rule", "severity", "labels", F.explode(F.when(F.col("ends") >= first, F.sequence(first, F.col("ends"), F.lit(repeat).cast("long"))).otherwise(F.array(first))).alias("at"))
