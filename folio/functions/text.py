@@ -24,9 +24,14 @@ def _case(*pairs: tuple[Column, object], default: object = None) -> Column:
 case = _case
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def words_ascii(text: Column) -> Column:
     """Lower-case tokens of the ASCII letters and digits; everything else separates."""
-    return F.filter(F.split(F.lower(F.regexp_replace(text, "[^A-Za-z0-9 ]", " ")), " +"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.regexp_replace(text, "[^A-Za-z0-9]+", " ")), " "), "")
 
 
 def language_hint_of(tokens: Column) -> Column:
@@ -37,9 +42,14 @@ def language_hint_of(tokens: Column) -> Column:
     month = lambda ws: F.arrays_overlap(tokens, known(ws)).cast("int")
     de = count(lambda w: w.isin(K.GERMAN_WORDS) | has_pair(w)) + month(K.GERMAN_MONTHS)
     en = count(lambda w: w.isin(K.ENGLISH_WORDS)) + month(K.ENGLISH_MONTHS)
-    return _case(
-        (tokens.isNull() | (F.size(tokens) == 0), UNKNOWN), ((de == 0) & (en == 0), UNKNOWN), ((de > 0) & (en > 0) & (F.abs(de - en) <= 1), MIXED), (de > en, "de"), default="en"
-    )
+
+    def decide(n: Column) -> Column:
+        d, e = n["de"], n["en"]
+        return _case(((d == 0) & (e == 0), UNKNOWN), ((d > 0) & (e > 0) & (F.abs(d - e) <= 1), MIXED), (d > e, "de"), default="en")
+
+    # The counts are bound once: written out, each branch would count again.
+    counts = F.struct(F.coalesce(de, F.lit(0)).alias("de"), F.coalesce(en, F.lit(0)).alias("en"))
+    return let(counts, decide)
 
 
 def language_hint(text: Column) -> Column:
@@ -50,7 +60,7 @@ def locale_hint(text: Column) -> Column:
     """de, en, mixed or unknown from the formats of dates and amounts."""
     t = F.coalesce(text, F.lit(""))
     de, en = t.rlike(K.GERMAN_DATE) | t.rlike(K.GERMAN_AMOUNT), t.rlike(K.ENGLISH_DATE) | t.rlike(K.ENGLISH_AMOUNT)
-    return _case((de & en, MIXED), (de, "de"), (en, "en"), default=UNKNOWN)
+    return let(F.struct(de.alias("de"), en.alias("en")), lambda f: _case((f["de"] & f["en"], MIXED), (f["de"], "de"), (f["en"], "en"), default=UNKNOWN))
 
 
 def merge_hints(a: Column, b: Column) -> Column:
@@ -130,8 +140,8 @@ def block_text(text: Column) -> Column:
 
 def upper_ratio(text: Column) -> Column:
     """Upper-case letters to letters; 0 without letters."""
-    letters = F.regexp_count(text, F.lit(r"\p{L}"))
-    return F.when(letters > 0, F.regexp_count(text, F.lit(r"\p{Lu}")) / letters).otherwise(F.lit(0.0))
+    upper = F.regexp_count(text, F.lit(r"\p{Lu}"))
+    return let(F.regexp_count(text, F.lit(r"\p{L}")), lambda n: F.when(n > 0, upper / n).otherwise(F.lit(0.0)))
 
 
 def is_upper(text: Column) -> Column:
@@ -141,9 +151,10 @@ def is_upper(text: Column) -> Column:
 def heading_like(text: Column, n_lines: Column, largest_font: Column | None = None, mean_font: Column | None = None) -> Column:
     """Few words, mostly in capitals, or a single short line with capitals, or a large font."""
     t = F.trim(F.coalesce(text, F.lit("")))
-    n, ratio = word_count(t), upper_ratio(t)
     large = F.lit(False) if largest_font is None else F.coalesce(largest_font >= F.greatest(F.lit(14.0), mean_font * 1.2), F.lit(False)) & (largest_font > 0)
-    return (t != "") & (n <= 12) & (((ratio >= 0.6) & (n <= 8)) | large | ((n_lines == 1) & (n <= 6) & (ratio >= 0.4)))
+    # Words are counted once, capitals only where there are few.
+    capitals = lambda n: let(upper_ratio(t), lambda r: ((r >= 0.6) & (n <= 8)) | large | ((n_lines == 1) & (n <= 6) & (r >= 0.4)))
+    return (t != "") & let(word_count(t), lambda n: (n <= 12) & capitals(n))
 
 
 def list_like(text: Column, compat: bool = False) -> Column:

@@ -47,6 +47,6 @@ def test_plans_push_down_and_stay_in_the_jvm(spark):
         if name not in ("log_repeats", "log_rate_limit", "nfc_digest"):
             assert "Python" not in plan(name) and "Pandas" not in plan(name) and "CartesianProduct" not in plan(name), name
     for name in ("language_share", "document_meta", "page_statistics", "document_summary", "document_language"):
-        assert plan(name).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0].count("[^A-Za-z0-9 ]") <= 2, name
+        assert plan(name).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0].count("[^A-Za-z0-9]+") <= 2, name
     assert "EqualTo(event_type,error)], ReadSchema: struct<user_id:bigint,event_type:string>" in plan("projection_peaks")
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan("language_hint")
