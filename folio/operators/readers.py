@@ -39,9 +39,12 @@ def turn_pages(turns: DataFrame) -> DataFrame:
 
 
 def native_confidence(text: Column, blocks: Column, words: Column) -> Column:
-    """0 for blank text; else 55 to 96 by blocks, words and characters, not rounded."""
-    grown = 55.0 + F.least(blocks, F.lit(8)) / 8.0 * 20.0 + F.least(words / 120.0, F.lit(1.0)) * 15.0 + F.least(F.length(text) / 1500.0, F.lit(1.0)) * 10.0
-    return F.when(F.trim(text) == "", 0.0).otherwise(F.least(grown, F.lit(96.0)))
+    """0 for blank text; else 55 to 96 by blocks (up to 20 for 8), words (15 for 120) and characters (10 for 1500), to two digits.
+
+    In whole 3000ths, so that ties (to the even digit) do not hang on binary fractions."""
+    parts = 165_000 + F.least(blocks, F.lit(8)) * 7_500 + F.least(words, F.lit(120)) * 375 + F.least(F.length(text), F.lit(1500)) * 20
+    cents = T.let(parts.cast("int"), lambda n: F.floor(n / 30) + ((n % 30 > 15) | ((n % 30 == 15) & (F.floor(n / 30) % 2 == 1))).cast("int"))
+    return F.when(F.trim(text) == "", 0.0).otherwise(F.least(cents / 100.0, F.lit(96.0)))
 
 
 def needs_overlay(text: Column, conf: Column, coverage: Column, images: Column, p: Profile = PROD) -> Column:
@@ -65,8 +68,8 @@ def page_decision(mode: Column, text: Column, conf: Column, words: Column, block
 
 
 def merge_texts(native: Column, ocr: Column, native_conf: Column, ocr_conf: Column) -> Column:
-    """struct(text, conf): a blank side loses; a side a quarter longer wins with the higher confidence; else the native text."""
-    said = lambda t, c: F.struct(t.alias("text"), c.alias("conf"))
+    """struct(text, conf): a blank side loses; a side a quarter longer wins with the higher confidence; else the native text. Confidences to two digits."""
+    said = lambda t, c: F.struct(t.alias("text"), F.bround(c, 2).alias("conf"))
     n, o, high = F.length(F.trim(native)), F.length(F.trim(ocr)), F.greatest(native_conf, ocr_conf)
     close = F.least(F.lit(99.0), F.greatest(native_conf, ocr_conf, (native_conf + ocr_conf) / 2))
     return case((n == 0, said(ocr, ocr_conf)), (o == 0, said(native, native_conf)), (o > n * 1.25, said(ocr, high)), (n > o * 1.25, said(native, high)), default=said(native, close))
@@ -214,17 +217,22 @@ def safe_average(value: Column) -> Column:
 
 
 def document_summary(pages: DataFrame, p: Profile = PROD, *more: Column) -> DataFrame:
-    """Roll-up of a document's pages: counts, confidences, decisions in page order, hints, flagged pages and whether it needs review; and `more` aggregates."""
+    """Roll-up of a document's pages: counts, confidences, decisions in page order, hints, flagged pages and whether it needs review (many flagged pages, or any warning,
+    if pages have a column `warnings`: how many); and `more` aggregates."""
     low = (F.col("conf") < p.low_conf) | (F.lower("source").contains("ocr") & (F.col("conf") < p.ocr_min_conf))
     ocr = F.lower("source").contains("ocr")
     x = with_hints(pages).withColumn("low", low)
     first_locale = F.min_by(F.when(~F.col("locale").isin("unknown", "mixed"), F.col("locale")), F.when(~F.col("locale").isin("unknown", "mixed"), F.col("page")))
+    if "warnings" in pages.columns:
+        more = (*more, F.coalesce(F.sum("warnings"), F.lit(0)).alias("__warnings"))
     out = x.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("page_count"), F.sum("words").alias("words"), F.sum("chars").alias("chars"), safe_average(F.col("conf")).alias("avg_conf"),
         F.coalesce(F.avg(F.when(ocr, F.col("conf"))), F.lit(0.0)).alias("avg_ocr_conf"), F.max(ocr).alias("has_ocr"), T.merged_hint(F.col("lang")).alias("lang_hint"),
         F.coalesce(first_locale, F.lit("unknown")).alias("locale"), F.sort_array(F.collect_list(F.struct("page", "source"))).alias("decisions"), F.sum(F.col("low").cast("int")).alias("low_pages"), *more,
     )
-    return out.withColumn("decisions", F.col("decisions.source")).withColumn("needs_review", F.col("low_pages") / F.col("page_count") >= p.review_ratio)
+    warned = F.col("__warnings") > 0 if "warnings" in pages.columns else F.lit(False)
+    review = (F.col("low_pages") / F.col("page_count") >= p.review_ratio) | warned
+    return out.withColumn("decisions", F.col("decisions.source")).withColumn("needs_review", review).drop("__warnings")
 
 
 def document_language(pages: DataFrame) -> DataFrame:

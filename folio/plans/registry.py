@@ -90,8 +90,8 @@ TOKENS = f"t AS (SELECT *, {_tokens('text')} AS toks FROM documents)"
 LINES = f"l AS (SELECT doc_id, unnest({_lines('text')}) AS line, unnest(range(len({_lines('text')}))) AS block FROM documents)"
 PAGES = f"""p AS (SELECT conv_id AS doc_id, (turn + 1)::INT AS page, CASE WHEN role = 'assistant' THEN 'ocr' ELSE 'native' END AS source, text, {_words('text')} AS words, length(text) AS chars,
   len({_lines('text')}) AS blocks, {_tokens('text')} AS toks FROM conversations),
-q AS (SELECT *, CASE WHEN trim(text) = '' THEN 0 ELSE least(55.0::DOUBLE + least(blocks, 8) / 8.0::DOUBLE * 20.0 + least(words / 120.0::DOUBLE, 1.0) * 15.0 + least(chars / 1500.0::DOUBLE, 1.0) * 10.0, 96.0) END AS conf,
-  {_hint('toks')} AS hint, {_locale('text')} AS locale FROM p)"""
+q AS (SELECT * EXCLUDE (n3), CASE WHEN trim(text) = '' THEN 0 ELSE least((n3 // 30 + (n3 % 30 > 15 OR (n3 % 30 = 15 AND n3 // 30 % 2 = 1))::INT) / 100.0::DOUBLE, 96.0) END AS conf,
+  {_hint('toks')} AS hint, {_locale('text')} AS locale FROM (SELECT *, 165000 + 7500 * least(blocks, 8) + 375 * least(words, 120) + 20 * least(chars, 1500) AS n3 FROM p))"""
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
