@@ -57,10 +57,27 @@ def every_nth(records: DataFrame, n: int, order: list[str], within: list[str] |
     return records.withColumn("__i", F.row_number().over(w)).where(F.col("__i") % max(1, n) == 0).drop("__i")
 
 
-def _greedy(records: DataFrame, keys: list[str], order: list[str], seconds: Column, step: Callable[[Any, float], tuple[bool, Any]]) -> DataFrame:
-    """Records that step(state, time) -> (keep, new state) keeps, key by key and in order; a key's state begins as None.
-
-    Partitions are sorted by key and time and read as a stream, so a task holds one batch and one state, however many rows a key has."""
+def _stretches(x: DataFrame, resets: Callable[[Column], Column], span: float) -> DataFrame:
+    """x (__k, __t) with __p: the time of the last record of its key, up to it, before which there was a gap that resets the state.
+
+    Keys are cut into buckets of `span` seconds; only one row per bucket goes through a window over a whole key, so no key is sorted in one task."""
+    x = x.withColumn("__b", F.coalesce(F.floor(F.col("__t") / span), F.lit(-1)))
+    bucket, key = Window.partitionBy("__k", "__b").orderBy("__t"), Window.partitionBy("__k").orderBy("__b")
+    ends = x.groupBy("__k", "__b").agg(F.max("__t").alias("e")).select("__k", "__b", F.lag("e").over(key).alias("__e"))
+    x = x.join(ends, ["__k", "__b"])
+    gap = F.col("__t") - F.coalesce(F.lag("__t").over(bucket), F.col("__e"))
+    x = x.withColumn("__g", F.when(F.coalesce(resets(gap), F.lit(True)), F.col("__t")))
+    carry = x.groupBy("__k", "__b").agg(F.max("__g").alias("g")).select("__k", "__b", F.max("g").over(key.rowsBetween(Window.unboundedPreceding, -1)).alias("__c"))
+    x = x.withColumn("__own", F.max("__g").over(bucket)).join(carry, ["__k", "__b"])
+    return x.withColumn("__p", F.coalesce("__own", "__c")).drop("__b", "__e", "__g", "__own", "__c")
+
+
+def _greedy(
+    records: DataFrame, keys: list[str], order: list[str], seconds: Column, step: Callable[[Any, float], tuple[bool, Any]], resets: Callable[[Column], Column], span: float = 3600.0
+) -> DataFrame:
+    """Records that step(state, time) -> (keep, new state) keeps, key by key and in order; a key's state begins as None, and a gap that `resets` begins it anew.
+
+    So each stretch between such gaps is dealt out by itself. Partitions are sorted by stretch and time and read as a stream: a task holds one batch and one state, however many rows a stretch has."""
     schema = records.schema
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -74,28 +91,29 @@ def _greedy(records: DataFrame, keys: list[str], order: list[str], seconds: Colu
                 marks.append(keep)
             yield b[marks].drop(columns=["__t", "__k"])
 
-    x = records.withColumns({"__t": seconds, "__k": F.to_json(F.struct(*keys))})
+    x = _stretches(records.withColumns({"__t": seconds, "__k": F.to_json(F.struct(*keys))}), resets, span)
+    x = x.withColumn("__k", F.concat_ws(" ", "__k", F.col("__p").cast("string"))).drop("__p").select(*records.columns, "__t", "__k")
     return x.repartition("__k").sortWithinPartitions("__k", *order).mapInPandas(run, schema)
 
 
-def drop_repeats(records: DataFrame, ttl: float, keys: list[str], seconds: Column, order: list[str]) -> DataFrame:
+def drop_repeats(records: DataFrame, ttl: float, keys: list[str], seconds: Column, order: list[str], span: float = 3600.0) -> DataFrame:
     """Drops a record if less than ttl seconds have passed since the last *kept* one of its key."""
 
     def step(last: float | None, t: float) -> tuple[bool, float]:
         keep = last is None or t - last >= ttl
         return keep, t if keep else last
 
-    return _greedy(records, keys, order, seconds, step)
+    return _greedy(records, keys, order, seconds, step, lambda gap: gap >= ttl, span)
 
 
-def limit_rate(records: DataFrame, window: float, most: int, keys: list[str], seconds: Column, order: list[str]) -> DataFrame:
+def limit_rate(records: DataFrame, window: float, most: int, keys: list[str], seconds: Column, order: list[str], span: float = 3600.0) -> DataFrame:
     """Keeps `most` records per window; a window opens with its first record, the next one once more than `window` seconds have passed."""
 
     def step(state: tuple[float, int] | None, t: float) -> tuple[bool, tuple[float, int]]:
         start, n = state if state and t - state[0] <= window else (t, 0)
         return n < most, (start, n + 1)
 
-    return _greedy(records, keys, order, seconds, step)
+    return _greedy(records, keys, order, seconds, step, lambda gap: gap > window, span)
 
 
 def latest(files: DataFrame, by: str = "modificationTime", path: str = "path", group: list[str] | None = None) -> DataFrame:

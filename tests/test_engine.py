@@ -219,3 +219,27 @@ def test_config(spark, monkeypatch):
         add(spark.range(-1, 2), 1)
     with pytest.raises(config.ContractError, match="VL-E002"):
         config.checked(None, {"required": ["y"]})(lambda df: df)(spark.range(1))
+
+
+def test_greedy_filters_over_buckets(spark):
+    """Against one pass over each key, with times that tie, gaps of every size and buckets smaller and larger than them; records without a time stay rows."""
+    import random
+
+    r = random.Random(6)
+    rows, t = [], 0.0
+    for i in range(600):
+        t += r.choice((0.0, 0.5, 1.0, 2.0, 2.5, 9.0))
+        rows.append((i, r.choice("ab"), t))
+    df = spark.createDataFrame(rows, "i int, k string, t double")
+    repeats, limited, last, window = [], [], {}, {}
+    for i, k, t in rows:
+        if k not in last or t - last[k] >= 2:
+            repeats.append(i)
+            last[k] = t
+        start, n = window[k] if k in window and t - window[k][0] <= 2 else (t, 0)
+        window[k] = (start, n + 1)
+        limited += [i] * (n < 2)
+    for span in (1.0, 7.0, 10_000.0):
+        whole = lambda name, *a: sorted(x.i for x in name(df, *a, ["k"], F.col("t"), ["t", "i"], span=span).collect())  # noqa: E731, B023
+        assert whole(logs.drop_repeats, 2) == repeats and whole(logs.limit_rate, 2, 2) == limited, span
+    assert logs.drop_repeats(spark.createDataFrame([(1, "a", None)], df.schema), 2, ["k"], F.col("t"), ["t", "i"]).count() == 1
