@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import bpe, fingerprint, jaccard, langid, mixing, pii, quality, suffix_dedup, topk, warc
+from folio.llm import audit, bpe, codes, cuckoo, fingerprint, jaccard, langid, mixing, pii, quality, suffix_dedup, topk, warc
 from folio.llm.common import table
 
 
@@ -65,10 +65,25 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (_fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cuckoo.duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (op1_mixing, op2_warc, op3_suffix_dedup, op4_topk, op5_ngram_jaccard, op6_language, op7_pii, op8_order_minhash, op9_bpe, op10_quality)
+    ops += (op11_exact_dedup, op12_filter_audit, op13_vector_codes)
     return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing.ORACLE, "op2_warc": warc.ORACLE, "op3_suffix_dedup": suffix_dedup.ORACLE, "op4_topk": topk.ORACLE, "op5_ngram_jaccard": jaccard.ORACLE, "op7_pii": pii.oracle()}
+    return {"op1_mixing": mixing.ORACLE, "op2_warc": warc.ORACLE, "op3_suffix_dedup": suffix_dedup.ORACLE, "op4_topk": topk.ORACLE, "op5_ngram_jaccard": jaccard.ORACLE, "op7_pii": pii.oracle()} | {
+        "op11_exact_dedup": cuckoo.ORACLE, "op12_filter_audit": audit.ORACLE, "op13_vector_codes": codes.oracle()
+    }

@@ -66,13 +66,22 @@ def scratch(spark: SparkSession):
             delete(spark, path)
 
 
+def registered(path: str) -> str:
+    """path, which scratch() deletes at its end."""
+    _written.get(threading.get_ident(), []).append(path)
+    return path
+
+
+def write(df: DataFrame, to: str) -> None:
+    with small_batches(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(to)
+
+
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     """Cut the lineage: write df once to the shared folder and read it back."""
     spark = df.sparkSession
-    to = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _written.get(threading.get_ident(), []).append(to)
-    with small_batches(spark):
-        df.write.option("compression", "zstd").parquet(to)
+    to = registered(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    write(df, to)
     return spark.read.schema(df.schema).parquet(to)
 
 
