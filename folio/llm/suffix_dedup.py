@@ -114,7 +114,7 @@ def context_order(texts: list[bytes], first: np.ndarray) -> tuple[np.ndarray, np
 # ---- the distributed parts
 
 
-def _runs(docs: DataFrame, width: int, gram: int, keep: str) -> DataFrame:
+def _runs(docs: DataFrame, width: int, gram: int) -> DataFrame:
     """A row per run: anchor, hot (1: not to be gathered, dealt out by text; 2: a mark for the others), ctx, th, ord, place (first window * 256 + windows - 1)."""
     schema = "anchor long, hot int, ctx long, th long, ord long, place long"
 
@@ -125,9 +125,9 @@ def _runs(docs: DataFrame, width: int, gram: int, keep: str) -> DataFrame:
         for whole in batches:
             for b in common.slices(whole, "t", 1 << 20):
                 th, order = np.array(b.column(0), np.int64), np.array(b.column(1), np.int64)
-                if keep == "none":  # copies of a text here need no rows of their own: their number is counted apart
-                    new = [i for i, x in enumerate(th.tolist()) if x not in seen and not seen.add(x)]
-                    b, th, order = b.take(pa.array(new, pa.int64())), th[new], order[new]
+                # Copies of a text here need no rows of their own: their number is counted apart.
+                new = [i for i, x in enumerate(th.tolist()) if x not in seen and not seen.add(x)]
+                b, th, order = b.take(pa.array(new, pa.int64())), th[new], order[new]
                 raw, off = common.flat_bytes(b.column(2))
                 if not len(raw):
                     continue
@@ -310,14 +310,15 @@ def removed(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, keep: str = "
     d = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     d = d.withColumn("ord", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)))
     long_enough = d.where(F.octet_length("text") >= width)
-    judged = common.materialize(_judged(_runs(long_enough, width, gram, keep)), "runs")
+    copies = d.groupBy("th").agg(F.count(F.lit(1)).alias("copies"), F.min("ord").alias("first"))
+    if keep == "first":  # of equal texts the first stands for all: later ones are removed whole
+        first = common.materialize(copies.select("th", F.col("first").alias("ord")), "firsts")
+        long_enough = long_enough.join(first, ["th", "ord"])
+    judged = common.materialize(_judged(_runs(long_enough, width, gram)), "runs")
 
     texts = common.zip_texts(d)
     contexts = common.materialize(_contexts(texts, judged, width), "contexts")
     gone = _matched(contexts.where(F.col("kind") == SHARED), width, keep).unionByName(_hot_windows(contexts.where(F.col("kind") == HOT), width, keep))
-    copies = d.groupBy("th").agg(F.count(F.lit(1)).alias("copies"), F.min("ord").alias("first"))
-    if keep == "first":  # what later copies of a whole text lose is not taken from its first
-        gone = gone.join(copies.where("copies > 1").select("th", "first"), "th", "left").where("first is null or first = ord").select("th", "place")
     stretches = gone.groupBy("th").agg(F.collect_list("place").alias("places"))
     each = texts.join(copies, "th").join(stretches, "th", "left").select("th", "z", "copies", "first", "places")
     fields = "th long, copies long, first long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text

@@ -130,3 +130,13 @@ def test_equal_windows_have_equal_anchors():
     anchor = {s: a - s for x, y, a in zip(lo, hi, at) for s in range(x, y + 1)}
     assert sorted(anchor) == [*range(50, 1801), *range(2000, 4801)]
     assert all(anchor[100 + i] == anchor[3000 + i] for i in range(201))
+
+
+def test_many_copies_keep_the_first(spark):
+    """Copies of one text are one row before anything is gathered."""
+    text = " ".join(f"word{i}" for i in range(60))
+    df = spark.range(20_000, numPartitions=4).selectExpr("id as doc_id", f"case when id < 5 then concat('own start ', id, ' {text}') else '{text}' end as text").repartition(4)
+    assert suffix_dedup._runs(df.selectExpr("doc_id as ord", "text", "xxhash64(text) as th"), 200, 64).groupBy("th", "ord").count().count() <= 4 * 6
+    got = suffix_dedup.removed(df, keep="first").groupBy("n_removed", "n_bytes").count().collect()
+    head = len("own start 0 ")
+    assert {(r.n_bytes - r.n_removed, r["count"]) for r in got} == {(len(text) + head, 1), (head - 1, 4), (0, 19_995)}
