@@ -20,7 +20,6 @@ ends the others go on in their proportion; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,7 +120,7 @@ def in_order(
     docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION, smoothing: float = SMOOTHING, key: str = "doc_id", source: str = "source"
 ) -> DataFrame:
     """The rows of docs in the order of their mix: partition after partition, each sorted. Written, the files hold the mix by name and row; a reader that
-    takes them as they come (Spark packs files by size) gets the order back with with_position()."""
+    takes them as they come (Spark packs files by size) gets the places back with with_position()."""
     mixed = interleave(docs, weights, block_rows, resolution, smoothing, key, source)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slots = docs.groupBy(source).agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("n")).agg(F.sum("n")).first()[0] or 1
@@ -129,16 +128,10 @@ def in_order(
     return dealt.select(*docs.columns)
 
 
-def with_position(docs: DataFrame, to: str = "position") -> DataFrame:
-    """docs with the column `to`, ascending with the mix: for rows read from files that hold in_order() the place in them (file number * 2**40 + row),
-    for other rows the one that interleave() gives."""
-    try:
-        place = docs.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    except AnalysisException:  # not read from files
-        mixed = interleave(docs)
-        return mixed.select(*[c for c in docs.columns if c != to], F.col("__position").cast("long").alias(to))
-    number = F.regexp_extract("__file", r"^part-(\d+)", 1).cast("long")
-    return place.withColumn(to, number * (1 << 40) + F.col("__row")).drop("__file", "__row")
+def with_position(docs: DataFrame, to: str = "position", **kw) -> DataFrame:
+    """docs with the column `to`, the place of each row in their mix. It follows from the rows alone, so rows of in_order() have it back however they were written, filtered or dealt out."""
+    mixed = interleave(docs, **kw)
+    return mixed.select(*[c for c in docs.columns if c != to], F.col("__position").cast("long").alias(to))
 
 
 ORACLE = f"""

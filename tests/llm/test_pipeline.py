@@ -64,6 +64,25 @@ def test_odd_rows(spark):
         assert f(spark, df.limit(0), DIR).collect() == []
 
 
+def test_positions_do_not_depend_on_files(spark, tmp_path):
+    """documents.parquet itself, filtered rows, files of unmixed rows that are named as Spark's, and rows dealt out anew."""
+    docs = common.table(spark, DIR, "documents").select(*ORDER)
+    docs.limit(150).repartition(3).write.parquet(str(tmp_path / "unmixed"))
+    unmixed = spark.read.parquet(str(tmp_path / "unmixed"))
+    tokens = dict(corpus_pipeline.STAGES)["tokens"]
+    for df in (docs, docs.where("doc_id % 3 <> 0"), unmixed, unmixed.repartition(5)):
+        got = tokens(spark, df, DIR).select("doc_id", "position").toPandas().sort_values("position")
+        assert got.position.is_unique and got.doc_id.tolist() == in_mix(spark, df.toPandas())
+
+
+def test_hot_rows_without_identifier(spark):
+    """Many repeated rows: without identifier and text, and with the same of both."""
+    n = 20_000
+    df = spark.range(n, numPartitions=4).selectExpr("cast(null as bigint) as doc_id", "case when id % 2 = 0 then 'the very same words in all of them' end as text", "'en' as lang", "'a' as source", "id as n_chars")
+    got = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, df, DIR)
+    assert [r.asDict() for r in got.groupBy("text").count().orderBy("text").collect()] == [{"text": None, "count": n // 2}, {"text": "the very same words in all of them", "count": 1}]
+
+
 def test_run(spark, tmp_path, monkeypatch):
     for module in (common, corpus_pipeline):
         monkeypatch.setattr(module, "shared_dir", lambda _: str(tmp_path))
