@@ -5,10 +5,11 @@ Records have ts (milliseconds or timestamp), level, logger, message, code, run_i
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from typing import Any
+from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,69 +52,148 @@ def redacted(records: DataFrame, salt: str = "") -> DataFrame:
     return records.withColumns({f.name: T.redact_value(f.name, F.col(f.name), salt) for f in records.schema if f.dataType.simpleString() == "string" or f.name in ("user_id", "file_id")})
 
 
-def every_nth(records: DataFrame, n: int, order: list[str], within: list[str] | None = None) -> DataFrame:
-    """Every n-th record in order, within each of the groups."""
-    w = Window.partitionBy(*(within or [])).orderBy(*order)
-    return records.withColumn("__i", F.row_number().over(w)).where(F.col("__i") % max(1, n) == 0).drop("__i")
-
-
-def _stretches(x: DataFrame, resets: Callable[[Column], Column], span: float) -> DataFrame:
-    """x (__k, __t) with __p: the time of the last record of its key, up to it, before which there was a gap that resets the state.
-
-    Keys are cut into buckets of `span` seconds; only one row per bucket goes through a window over a whole key, so no key is sorted in one task."""
-    x = x.withColumn("__b", F.coalesce(F.floor(F.col("__t") / span), F.lit(-1)))
-    bucket, key = Window.partitionBy("__k", "__b").orderBy("__t"), Window.partitionBy("__k").orderBy("__b")
-    ends = x.groupBy("__k", "__b").agg(F.max("__t").alias("e")).select("__k", "__b", F.lag("e").over(key).alias("__e"))
-    x = x.join(ends, ["__k", "__b"])
-    gap = F.col("__t") - F.coalesce(F.lag("__t").over(bucket), F.col("__e"))
-    x = x.withColumn("__g", F.when(F.coalesce(resets(gap), F.lit(True)), F.col("__t")))
-    carry = x.groupBy("__k", "__b").agg(F.max("__g").alias("g")).select("__k", "__b", F.max("g").over(key.rowsBetween(Window.unboundedPreceding, -1)).alias("__c"))
-    x = x.withColumn("__own", F.max("__g").over(bucket)).join(carry, ["__k", "__b"])
-    return x.withColumn("__p", F.coalesce("__own", "__c")).drop("__b", "__e", "__g", "__own", "__c")
-
-
-def _greedy(
-    records: DataFrame, keys: list[str], order: list[str], seconds: Column, step: Callable[[Any, float], tuple[bool, Any]], resets: Callable[[Column], Column], span: float = 3600.0
-) -> DataFrame:
-    """Records that step(state, time) -> (keep, new state) keeps, key by key and in order; a key's state begins as None, and a gap that `resets` begins it anew.
-
-    So each stretch between such gaps is dealt out by itself. Partitions are sorted by stretch and time and read as a stream: a task holds one batch and one state, however many rows a stretch has."""
-    schema = records.schema
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, state = None, None
-        for b in batches:
-            marks = []
-            for key, t in zip(b["__k"].to_numpy(), b["__t"].to_numpy()):
+def every_nth(records: DataFrame, n: int, order: list[str], within: list[str] | None = None, span: float = 3600.0) -> DataFrame:
+    """Every n-th record in order (the first column of it a time or a number), within each of the groups.
+
+    Groups are cut into buckets of `span` of order[0]; counts of the buckets before give each its first number, so no group is sorted as a whole. Spans that hold many
+    records are for the caller to shorten."""
+    within = within or []
+    kind = records.schema[order[0]].dataType.typeName()
+    at = F.unix_micros(F.col(order[0]).cast("timestamp")) / 1e6 if kind.startswith(("timestamp", "date")) else F.col(order[0]).cast("double")
+    x = records.withColumn("__b", F.coalesce(F.floor(at / span), F.lit(-(2**62))))
+    x = x.withColumns({f"__k{i}": F.col(c) for i, c in enumerate(within)})
+    keys = [f"__k{i}" for i in range(len(within))]
+    counts = x.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select(*[F.col(k).alias(f"{k}r") for k in keys], F.col("__b").alias("__br"), before.alias("__before"))
+    same = F.col("__b") == F.col("__br")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"{k}r"))
+    own = F.row_number().over(Window.partitionBy(*keys, "__b").orderBy(*order))
+    return x.withColumn("__i", own).join(counts, same).where((F.col("__i") + F.col("__before")) % max(1, n) == 0).select(*records.columns)
+
+
+#: Seconds of a bucket of a key's time, at least.
+SPAN = 3600.0
+
+
+def _opened(times: np.ndarray, width: int, touching: bool) -> np.ndarray:
+    """For each of the sorted times the first row that lies past the window it opens, else the number of rows."""
+    return np.searchsorted(times, times + width, "left" if touching else "right")
+
+
+def _windows(records: DataFrame, width: float, most: int, keys: list[str], seconds: Column, order: list[str], touching: bool, span: float | None) -> DataFrame:
+    """The first `most` records of each window of a key. A window opens with its first record, the next one with the first record more than (`touching`: at least) `width` seconds later; records without time stay.
+
+    Where windows open depends on all earlier ones, but only through one number: the time up to which the last one reaches. So each key's time is cut into buckets that are
+    dealt out apart. A bucket first tells what it would hand on for each time that could reach into it (few rows: windows soon agree, wherever the first one
+    opened); these are followed from bucket to bucket; then each bucket, knowing what reaches into it, marks its records as a stream. A steady key is spread over its buckets, and no task holds more than a bucket's times."""
+    us = int(round(width * 1e6))
+    span = int((span or max(SPAN, 8 * width)) * 1e6)
+    x = records.withColumns({"__t": F.round(seconds * 1e6).cast("long"), "__k": F.to_json(F.struct(*keys))})
+    timed = x.where("__t is not null").withColumn("__b", F.expr(f"cast(floor(__t / {span}) as bigint)")).repartition("__k", "__b")
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per bucket rows (k, b, upto, reach, n): if what reaches into it lies before `upto` (and not before that of the row before), it hands on `reach` and the n records of its last window; upto null: it holds no more than n records of the window before."""
+        now, held = None, []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if now is None:
+                return
+            t = np.concatenate(held)
+            step = _opened(t, us, touching)
+            last = np.where(step < len(t), step, np.arange(len(t)))
+            while not np.array_equal(further := last[last], last):
+                last = further
+            # What reaches in lies before the bucket's start and one window more.
+            first = np.unique(t[: np.searchsorted(t, now[1] * span + us, "right") + 1], return_index=True)[1]
+            change = np.append(np.flatnonzero(np.diff(last[first])), len(first) - 1)
+            upto, reach, n = t[first][change], t[last[first][change]] + us, len(t) - last[first][change]
+            rows = len(change) + 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([now[0]] * rows, pa.string()), pa.array([now[1]] * rows, pa.int64()), pa.array([*upto.tolist(), None], pa.int64()), pa.array([*reach.tolist(), None], pa.int64()), pa.array([*n.tolist(), len(t)], pa.int64())], names=["__k", "__b", "upto", "reach", "n"]
+            )
+
+        for batch in batches:
+            for key, part in _runs(batch, 2):
                 if key != now:
-                    now, state = key, None
-                keep, state = step(state, t)
-                marks.append(keep)
-            yield b[marks].drop(columns=["__t", "__k"])
-
-    x = _stretches(records.withColumns({"__t": seconds, "__k": F.to_json(F.struct(*keys))}), resets, span)
-    x = x.withColumn("__k", F.concat_ws(" ", "__k", F.col("__p").cast("string"))).drop("__p").select(*records.columns, "__t", "__k")
-    return x.repartition("__k").sortWithinPartitions("__k", *order).mapInPandas(run, schema)
-
-
-def drop_repeats(records: DataFrame, ttl: float, keys: list[str], seconds: Column, order: list[str], span: float = 3600.0) -> DataFrame:
+                    yield from close()
+                    now, held = key, []
+                held.append(np.array(part.column(2), np.int64))
+        yield from close()
+
+    def followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(k, b, reach, n) of what reaches into each bucket of a key, and how many records of that window came before it; buckets in order."""
+        now, state, after = None, None, None
+        for batch in batches:
+            keys_, buckets, reaches, counts = [], [], [], []
+            for k, b, upto, reach, n in zip(*(c.to_pylist() for c in batch.columns)):
+                if (k, b) != now:
+                    state = after if now and now[0] == k else (None, 0)
+                    now, done = (k, b), False
+                    keys_, buckets, reaches, counts = keys_ + [k], buckets + [b], reaches + [state[0]], counts + [state[1]]
+                if done:
+                    continue
+                if upto is None:
+                    after, done = (state[0], state[1] + n), True
+                elif state[0] is None or (state[0] <= upto if touching else state[0] < upto):
+                    after, done = (reach, n), True
+            yield pa.RecordBatch.from_arrays([pa.array(keys_, pa.string()), pa.array(buckets, pa.int64()), pa.array(reaches, pa.int64()), pa.array(counts, pa.int64())], names=["__k", "__b", "__reach", "__n"])
+
+    times = timed.select("__k", "__b", "__t").sortWithinPartitions("__k", "__b", "__t").mapInArrow(told, "__k string, __b long, upto long, reach long, n long")
+    chain = times.repartition("__k").sortWithinPartitions("__k", "__b", F.col("upto").asc_nulls_last()).mapInArrow(followed, "__k string, __b long, __reach long, __n long")
+    names = records.columns
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, reach, n = None, None, 0
+        for batch in batches:
+            keep = []
+            for key, part in _runs(batch, 2):
+                t = np.array(part.column(2), np.int64)
+                if key != now:
+                    now = key
+                    reach, n = (part.column(i)[0].as_py() for i in (3, 4))
+                nth, at = np.empty(len(t), np.int64), 0
+                # Records of the window that reaches in, then one window after the other.
+                while at < len(t):
+                    to = max(at, int(np.searchsorted(t, reach, "left" if touching else "right"))) if reach is not None else 0
+                    nth[at:to] = n + np.arange(to - at)
+                    n, at = n + to - at, to
+                    if at < len(t):
+                        reach, n = int(t[at]) + us, 0
+                        nth[at] = 0
+                        n, at = 1, at + 1
+                keep.append(nth < most)
+            if keep:
+                got = batch.filter(pa.array(np.concatenate(keep)))
+                yield pa.RecordBatch.from_arrays(got.columns[5:], names=names)
+
+    y = timed.join(chain, ["__k", "__b"]).sortWithinPartitions("__k", "__b", "__t", *order)
+    done = y.select("__k", "__b", "__t", "__reach", "__n", *names).mapInArrow(marked, records.schema)
+    return done.unionByName(x.where("__t is null").select(*names))
+
+
+def _runs(batch: pa.RecordBatch, keys: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """(values of the first `keys` columns, rows) of each run of rows that agree in them."""
+    if not batch.num_rows:
+        return
+    change = np.zeros(batch.num_rows - 1, bool)
+    for i in range(keys):
+        c = batch.column(i)
+        change |= np.array(pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)).fill_null(True), bool)
+    edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+    for lo, hi in zip(edges, edges[1:]):
+        yield tuple(batch.column(i)[lo].as_py() for i in range(keys)), batch.slice(lo, hi - lo)
+
+
+def drop_repeats(records: DataFrame, ttl: float, keys: list[str], seconds: Column, order: list[str], span: float | None = None) -> DataFrame:
     """Drops a record if less than ttl seconds have passed since the last *kept* one of its key."""
+    return _windows(records, ttl, 1, keys, seconds, order, True, span)
 
-    def step(last: float | None, t: float) -> tuple[bool, float]:
-        keep = last is None or t - last >= ttl
-        return keep, t if keep else last
-
-    return _greedy(records, keys, order, seconds, step, lambda gap: gap >= ttl, span)
 
-
-def limit_rate(records: DataFrame, window: float, most: int, keys: list[str], seconds: Column, order: list[str], span: float = 3600.0) -> DataFrame:
+def limit_rate(records: DataFrame, window: float, most: int, keys: list[str], seconds: Column, order: list[str], span: float | None = None) -> DataFrame:
     """Keeps `most` records per window; a window opens with its first record, the next one once more than `window` seconds have passed."""
-
-    def step(state: tuple[float, int] | None, t: float) -> tuple[bool, tuple[float, int]]:
-        start, n = state if state and t - state[0] <= window else (t, 0)
-        return n < most, (start, n + 1)
-
-    return _greedy(records, keys, order, seconds, step, lambda gap: gap > window, span)
+    return _windows(records, window, most, keys, seconds, order, False, span)
 
 
 def latest(files: DataFrame, by: str = "modificationTime", path: str = "path", group: list[str] | None = None) -> DataFrame:

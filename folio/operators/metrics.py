@@ -20,12 +20,28 @@ def event_rate(samples: DataFrame, width: str, seconds: int, labels: list[str])
     return bucketed(samples, width).groupBy("start", *labels).agg((F.count(F.lit(1)) / float(seconds)).alias("rate"))
 
 
+def _gain(value: Column, last: Column) -> Column:
+    """What a counter added since its last value: a lower value is a reset and counts whole."""
+    return F.when(last.isNull(), 0.0).when(value < last, value).otherwise(value - last).cast("double")
+
+
+def _steps(samples: DataFrame, labels: list[str], bucket: str, order: list[str]) -> DataFrame:
+    """A row per (labels, bucket) of counter samples: n, a, b (first and last of order[0]), added within, `across` (since the bucket before) and f, the first value.
+
+    Samples are sorted within their bucket only; the windows over labels hold a row per bucket."""
+    within = Window.partitionBy(*labels, bucket).orderBy(*order)
+    x = samples.withColumn("__gain", _gain(F.col("value"), F.lag("value").over(within)))
+    at = F.struct(*order)
+    g = x.groupBy(*labels, bucket).agg(
+        F.count(F.lit(1)).alias("n"), F.min(order[0]).alias("a"), F.max(order[0]).alias("b"), F.sum("__gain").alias("added"), F.min_by("value", at).alias("f"), F.max_by("value", at).alias("__l")
+    )
+    return g.withColumn("across", _gain(F.col("f"), F.lag("__l").over(Window.partitionBy(*labels).orderBy(bucket)))).drop("__l")
+
+
 def counter_increase(samples: DataFrame, labels: list[str], width: str, ts: str = "ts") -> DataFrame:
     """(start, labels, increase) of counters: a value below the last one is a reset and counts whole."""
-    w = Window.partitionBy(*labels).orderBy(ts)
-    last = F.lag("value").over(w)
-    added = F.when(last.isNull(), 0.0).when(F.col("value") < last, F.col("value")).otherwise(F.col("value") - last)
-    return bucketed(samples.withColumn("added", added), width, ts).groupBy("start", *labels).agg(F.sum("added").alias("increase"))
+    g = _steps(bucketed(samples, width, ts), labels, "start", [ts, "value"])
+    return g.select("start", *labels, (F.col("added") + F.col("across")).alias("increase"))
 
 
 def histogram(samples: DataFrame, bounds: tuple, labels: list[str], value: str = "value") -> DataFrame:
@@ -52,30 +68,32 @@ def rolling(steps: DataFrame, labels: list[str], seconds: int, step: int, *aggre
     return steps.select(*labels, "t", *[a(w) for a in aggregates])
 
 
-def on_grid(steps: DataFrame, labels: list[str], step: int) -> DataFrame:
-    """The rows of steps and an empty one for each t between the first and the last of its labels that has none."""
-    ends = steps.groupBy(*labels).agg(F.min("t").alias("a"), F.max("t").alias("b"))
-    return ends.select(*labels, F.explode(F.sequence("a", "b", F.lit(step))).alias("t")).join(steps, [*labels, "t"], "left")
+def on_grid(steps: DataFrame, labels: list[str], step: int, beyond: int = 0) -> DataFrame:
+    """The rows of steps and an empty one for each t between the first and the last of its labels (and `beyond` seconds more) that has none."""
+    ends = steps.groupBy(*labels).agg(F.min("t").alias("a"), (F.max("t") + beyond).alias("b"))
+    return ends.select(*labels, F.explode(F.sequence("a", "b", F.lit(step).cast("long"))).alias("t")).join(steps, [*labels, "t"], "left")
+
 
+def _in_steps(samples: DataFrame, step: int, ts: str) -> DataFrame:
+    """samples with __s (seconds) and t, the end of their step."""
+    s = samples.withColumn("__s", F.unix_micros(F.col(ts).cast("timestamp")) / 1e6)
+    return s.withColumn("t", (F.ceil(F.col("__s") / step) * step).cast("long"))
 
-def sliding_increase(samples: DataFrame, labels: list[str], seconds: int, step: int, ts: str = "ts") -> DataFrame:
-    """(labels, t, increase, rate) of a counter (ts, labels, value) over the `seconds` up to each t (whole multiples of `step`, which divides `seconds`).
+
+def sliding_increase(samples: DataFrame, labels: list[str], seconds: int, step: int, ts: str = "ts", beyond: int = 0) -> DataFrame:
+    """(labels, t, increase, rate) of a counter (ts, labels, value) over the `seconds` up to each t (whole multiples of `step`, which divides `seconds`), up to
+    `beyond` seconds after the last step that has samples.
 
     Within a window: what was added between its samples (a lower value is a reset and counts whole), stretched to the window's edges, but by no more than half a
-    mean gap where the edge is farther than 1.1 gaps, and not below a counter of 0. Windows of fewer than two samples have none. Samples are brought to steps
-    first, so what is sorted is a row per step, not per sample."""
-    own = Window.partitionBy(*labels).orderBy("__s", "value")
-    s = samples.select(*labels, F.col(ts).cast("timestamp").alias("__ts"), "value").withColumn("__s", F.unix_micros("__ts") / 1e6).drop("__ts")
-    last = F.lag("value").over(own)
-    s = s.withColumn("__added", F.when(last.isNull(), 0.0).when(F.col("value") < last, F.col("value")).otherwise(F.col("value") - last).cast("double"))
-    s = s.withColumn("t", (F.ceil(F.col("__s") / step) * step).cast("long"))
-    first = F.min_by(F.struct("__added", "value"), F.struct("__s", "value"))
-    steps = s.groupBy(*labels, "t").agg(F.count(F.lit(1)).alias("n"), F.sum("__added").alias("added"), F.min("__s").alias("a"), F.max("__s").alias("b"), first.alias("f"))
+    mean gap where the edge is farther than 1.1 gaps, and not below a counter of 0. Windows of fewer than two samples have none. Samples are sorted
+    within their step, and the windows over labels hold a row per step."""
+    s = _in_steps(samples.select(*labels, F.col(ts).alias("__ts"), "value"), step, "__ts").select(*labels, "t", "__s", "value")
+    steps = _steps(s, labels, "t", ["__s", "value"]).withColumns({"f": F.struct(F.col("across"), F.col("f").alias("value")), "added": F.col("added") + F.col("across")}).drop("across")
     r = rolling(
-        on_grid(steps, labels, step), labels, seconds, step, lambda w: F.sum("n").over(w).alias("n"), lambda w: F.sum("added").over(w).alias("added"), lambda w: F.min("a").over(w).alias("a"),
+        on_grid(steps, labels, step, beyond), labels, seconds, step, lambda w: F.sum("n").over(w).alias("n"), lambda w: F.sum("added").over(w).alias("added"), lambda w: F.min("a").over(w).alias("a"),
         lambda w: F.max("b").over(w).alias("b"), lambda w: F.first("f", ignorenulls=True).over(w).alias("f"),
     ).where("n >= 2 and b > a")
-    raw, between = F.col("added") - F.col("f.__added"), F.col("b") - F.col("a")
+    raw, between = F.col("added") - F.col("f.across"), F.col("b") - F.col("a")
     gap = between / (F.col("n") - 1)
     before, after = F.col("a") - (F.col("t") - seconds), F.col("t") - F.col("b")
     near = lambda d: F.when(d >= gap * 1.1, gap / 2).otherwise(d)
@@ -84,11 +102,10 @@ def sliding_increase(samples: DataFrame, labels: list[str], seconds: int, step:
     return r.select(*labels, "t", increase.alias("increase"), (increase / seconds).alias("rate"))
 
 
-def sliding_average(samples: DataFrame, labels: list[str], seconds: int, step: int, ts: str = "ts", value: str = "value") -> DataFrame:
+def sliding_average(samples: DataFrame, labels: list[str], seconds: int, step: int, ts: str = "ts", value: str = "value", beyond: int = 0) -> DataFrame:
     """(labels, t, average) of the samples in the `seconds` up to each t."""
-    s = samples.withColumn("t", (F.ceil(F.unix_micros(F.col(ts).cast("timestamp")) / 1e6 / step) * step).cast("long"))
-    steps = s.groupBy(*labels, "t").agg(F.count(value).alias("n"), F.sum(F.col(value).cast("double")).alias("v"))
-    r = rolling(on_grid(steps, labels, step), labels, seconds, step, lambda w: F.sum("n").over(w).alias("n"), lambda w: F.sum("v").over(w).alias("v"))
+    steps = _in_steps(samples, step, ts).groupBy(*labels, "t").agg(F.count(value).alias("n"), F.sum(F.col(value).cast("double")).alias("v"))
+    r = rolling(on_grid(steps, labels, step, beyond), labels, seconds, step, lambda w: F.sum("n").over(w).alias("n"), lambda w: F.sum("v").over(w).alias("v"))
     return r.where("n > 0").select(*labels, "t", (F.col("v") / F.col("n")).alias("average"))
 
 

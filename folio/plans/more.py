@@ -250,7 +250,7 @@ def _windowed(labels: str, ends: str) -> str:
 
 
 def _quantile_sql(rule: str, labels: str, q: float) -> str:
-    bounds = K.BUCKETS["api_ms"]
+    bounds = (5, 10, 20, 50, 100, 200, 500, 1000, 2000, 5000) if rule == "api_p95_ms" else (1, 2, 5, 10, 20, 50, 100, 200, 500, 1000, 2000, 5000)
     b = ", ".join(f"({float(x)}::DOUBLE, {float(lo)}::DOUBLE)" for x, lo in zip(bounds, (0, *bounds)))
     said = "concat_ws(',', " + labels + ")" if labels else "''"
     key = f"{labels}, " if labels else ""
