@@ -28,19 +28,34 @@ def media_type(path: Column) -> Column:
     return F.coalesce(F.try_element_at(table, extension(path)), F.lit(""))
 
 
+#: What detection recommends to the readers, beside the mode.
+LANGUAGES, IMAGE_DPI, IMAGE_PSM = "deu+eng", 320, 6
+
+
 def file_type(path: Column) -> Column:
-    """struct(file_type, ocr_recommended, confidence, mode): by suffix or media type; a PDF whose pages are not known counts as text (with page metrics: operators/detection.py)."""
+    """struct(file_type, ocr_recommended, confidence, mode, tables_mode, dpi, psm, ocr_lang): by suffix or media type; a PDF whose pages are not known counts as text (with page metrics: operators/detection.py)."""
     e, m = extension(path), media_type(path)
-    said = lambda t, ocr, c, mode: F.struct(F.lit(t).alias("file_type"), F.lit(ocr).alias("ocr_recommended"), F.lit(c).alias("confidence"), F.lit(mode).alias("mode"))
+    said = lambda t, ocr, c, mode, tables="detect", dpi=None, psm=None: F.struct(
+        F.lit(t).alias("file_type"), F.lit(ocr).alias("ocr_recommended"), F.lit(c).alias("confidence"), F.lit(mode).alias("mode"), F.lit(tables).alias("tables_mode"), F.lit(dpi).cast("int").alias("dpi"), F.lit(psm).cast("int").alias("psm"), F.lit(LANGUAGES).alias("ocr_lang")
+    )
+    text_like = m.startswith("text/") | m.contains("json") | m.contains("yaml") | m.contains("csv")
     return case(
         ((e == ".pdf") | (m == K.MEDIA[".pdf"]), said("pdf_text", False, 0.5, "native")),
         (e.isin(*K.DOCX) | (m == K.MEDIA[".docx"]), said("docx", False, 0.95, "native")),
-        (e.isin(*K.TEXT) | m.startswith("text/"), said("txt", False, 0.95, "native")),
-        (e.isin(*K.IMAGE) | m.startswith("image/"), said("image", True, 0.95, "ocr")),
-        default=said("unknown", False, 0.3, "native"),
+        (e.isin(*K.TEXT) | text_like, said("txt", False, 0.95, "native", "off")),
+        (e.isin(*K.IMAGE) | m.startswith("image/"), said("image", True, 0.95, "ocr", "detect", IMAGE_DPI, IMAGE_PSM)),
+        default=said("unknown", False, 0.3, "mixed"),
     )
 
 
+def guarded_type(path: Column, fault: Column) -> Column:
+    """file_type(), or for an item with a fault (else null) an unknown type of confidence 0; and its `error`."""
+    k = F.when(fault.isNull(), file_type(path))
+    unknown = {"file_type": "unknown", "ocr_recommended": False, "confidence": 0.0, "mode": "mixed"}
+    fields = ("file_type", "ocr_recommended", "confidence", "mode", "tables_mode", "dpi", "psm", "ocr_lang")
+    return F.struct(*[(F.coalesce(k[f], F.lit(unknown[f])) if f in unknown else k[f]).alias(f) for f in fields], F.concat(F.lit("detect_failed: "), fault).alias("error"))
+
+
 def page_vote(text_len: Column, words: Column, blocks: Column, images: Column, image_area: Column) -> Column:
     """struct(native_score, ocr_score, mode) of a page."""
     one = lambda c: c.cast("int")

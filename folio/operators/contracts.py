@@ -154,10 +154,14 @@ def compatible(breaks: DataFrame, old_version: str, new_version: str) -> DataFra
     return breaks.agg(F.count(F.lit(1)).alias("breaks")).withColumn("ok", (F.col("breaks") == 0) | major)
 
 
-def numbering_faults(migrations: DataFrame) -> DataFrame:
-    """The migrations (position, number) that do not exceed the one before."""
-    w = Window.orderBy("position")
-    return migrations.withColumn("before", F.lag("number").over(w)).where(F.col("number") <= F.col("before"))
+def numbering_faults(migrations: DataFrame, block: int = 100_000) -> DataFrame:
+    """The migrations (position, number) that do not exceed the one before. Positions are sorted in blocks of `block`; only the last of each block meets the others."""
+    x = migrations.withColumn("__b", F.expr(f"position div {block}"))
+    ends = x.groupBy("__b").agg(F.max_by("number", "position").alias("__l"))
+    ends = ends.select("__b", F.lag("__l").over(Window.orderBy("__b")).alias("__e"))
+    own = F.lag("number").over(Window.partitionBy("__b").orderBy("position"))
+    y = x.withColumn("__own", own).join(ends, "__b").withColumn("before", F.coalesce("__own", "__e"))
+    return y.where(F.col("number") <= F.col("before")).drop("__b", "__own", "__e")
 
 
 def version_below(tags: DataFrame, current: str) -> DataFrame:
@@ -170,3 +174,30 @@ def report(results: DataFrame, most_failing: float = 0.0) -> DataFrame:
     """One row of results (ok boolean): checks, failures and the gate."""
     r = results.agg(F.count(F.lit(1)).alias("checks"), F.count_if(~F.col("ok")).alias("fails"))
     return r.withColumn("passed", (F.col("checks") == 0) | (F.col("fails") / F.col("checks") <= most_failing))
+
+
+FIRST_ERRORS = 5
+
+
+def report_levels(results: DataFrame, most_failing: float = 0.0, first: int = FIRST_ERRORS) -> DataFrame:
+    """(level, phase, glob, checks, fails, passed, errors): results (phase, glob, file, error: null if fine) by phase and glob, by phase, and in all; errors are the
+    first `first` of the level by file, as `file: error`. The levels come from the counts of phase and glob in one rollup."""
+    bad = F.col("error").isNotNull()
+    counts = results.groupBy("phase", "glob").agg(F.count(F.lit(1)).alias("checks"), F.count_if(bad).alias("fails"))
+    nth = F.row_number().over(Window.partitionBy("phase", "glob").orderBy("file", "error"))
+    few = results.where(bad).withColumn("__n", nth).where(F.col("__n") <= first).groupBy("phase", "glob").agg(F.collect_list(F.struct("file", "error")).alias("e"))
+    both = counts.alias("c").join(few.alias("f"), F.col("c.phase").eqNullSafe(F.col("f.phase")) & F.col("c.glob").eqNullSafe(F.col("f.glob")), "left").select("c.*", F.coalesce("e", F.expr("array()")).alias("e"))
+    r = both.rollup("phase", "glob").agg(
+        F.grouping_id().alias("g"), F.sum("checks").alias("checks"), F.sum("fails").alias("fails"), F.slice(F.array_sort(F.flatten(F.collect_list("e"))), 1, first).alias("e")
+    )
+    level = T.case((F.col("g") == 0, "glob"), (F.col("g") == 1, "phase"), default="all")
+    errors = F.transform("e", lambda x: F.concat(x["file"].cast("string"), F.lit(": "), x["error"]))
+    return r.select(level.alias("level"), "phase", "glob", "checks", "fails", ((F.col("checks") == 0) | (F.col("fails") / F.col("checks") <= most_failing)).alias("passed"), errors.alias("errors"))
+
+
+def markdown(levels: DataFrame) -> DataFrame:
+    """(level, phase, glob, line): the rows of report_levels() as lines of a Markdown table; bars in a cell are escaped."""
+    cell = lambda c: F.replace(F.coalesce(c, F.lit("")), F.lit("|"), F.lit("\\|"))
+    share = F.when(F.col("checks") > 0, F.format_string("%.2f%%", 100.0 * F.col("fails") / F.col("checks"))).otherwise("-")
+    cells = [F.col("level"), cell(F.col("phase")), cell(F.col("glob")), F.col("checks").cast("string"), F.col("fails").cast("string"), share, F.when(F.col("passed"), "pass").otherwise("FAIL"), cell(F.array_join("errors", "; "))]
+    return levels.select("level", "phase", "glob", F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))

@@ -25,13 +25,22 @@ class Stages:
     unread: DataFrame
     items: DataFrame
     summary: DataFrame
+    failed: DataFrame
 
 
 def detected(files: DataFrame) -> DataFrame:
-    kind = detect.file_type(F.col("path"))
+    """Every item once. One without a path or that could not be opened (length null) stays, as unknown with confidence 0 and its error."""
+    fault = F.when(F.coalesce("path", F.lit("")) == "", "no path").when(F.col("length").isNull(), "cannot be opened")
+    kind = detect.guarded_type(F.col("path"), fault)
     return files.select("path", "length", detect.extension(F.col("path")).alias("ext"), detect.media_type(F.col("path")).alias("mime"), kind.alias("k")).select("path", "length", "ext", "mime", "k.*")
 
 
+def failed(found: DataFrame, read_faults: DataFrame) -> DataFrame:
+    """(path, stage, error): the items of a run that a stage could not handle, beside its results."""
+    a = found.where("error is not null").select("path", F.lit("detect").alias("stage"), "error")
+    return a.unionByName(read_faults.select("path", F.lit("read").alias("stage"), "error"))
+
+
 def encoded(files: DataFrame, policy: str = "lf") -> DataFrame:
     """Encoding of the text-like files, and where their normalised form belongs."""
     e = encoding.detect(F.col("content"))
@@ -44,8 +53,8 @@ def readers_items(found: DataFrame, normalized: DataFrame) -> DataFrame:
     n = normalized.select("path", "normalized_path")
     joined = found.join(n, "path", "left")
     return joined.select(
-        "path", F.coalesce("normalized_path", "path").alias("effective_path"), "file_type", detect.option(F.col("mode"), "off").alias("mode"),
-        detect.option(F.when(F.col("file_type") == "txt", "off").otherwise("detect"), "off", "none").alias("tables_mode"), "confidence",
+        "path", F.coalesce("normalized_path", "path").alias("effective_path"), "file_type", detect.option(F.col("mode"), "off").alias("mode"), detect.option(F.col("tables_mode"), "off", "none").alias("tables_mode"),
+        "dpi", "psm", F.col("ocr_lang").alias("lang"), "confidence", "error",
     )
 
 
@@ -74,5 +83,5 @@ def run(spark: SparkSession, inputs: list[str], run_id: str, profile: str = "pro
     pages = S.read_pages(files).withColumnRenamed("path", "doc_id")
     found, normalized, summaries = detected(files), encoded(files), readers.document_summary(pages, p)
     items = readers_items(found, normalized)
-    made = (found, normalized, pages, readers.page_stats(pages, p), summaries, S.unread(files), items, chain_summary(items, normalized, summaries))
+    made = (found, normalized, pages, readers.page_stats(pages, p), summaries, S.unread(files), items, chain_summary(items, normalized, summaries), failed(found, S.read_faults(files)))
     return Stages(*map(stamp, made))

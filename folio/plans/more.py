@@ -57,9 +57,9 @@ def page_blocks(spark, d):
     return records.page_blocks(p, b).select("doc_id", "page", "id", "text", "lang_hint", "locale_hint", "ocr_conf_avg", "reading_order_index")
 
 
-@query("SELECT doc_id, string_agg(code, ',' ORDER BY first_at, code) AS warnings FROM (SELECT conv_id AS doc_id, 'W' || ((turn * 7 + conv_id) % 5) AS code, min(turn) AS first_at FROM conversations WHERE turn % 3 <> 1 GROUP BY ALL) GROUP BY doc_id")
+@query("SELECT doc_id, string_agg(code, ',' ORDER BY first_at, code) AS warnings FROM (SELECT conv_id AS doc_id, 'W' || ((turn * 7 + conv_id) % 5) AS code, min(turn) AS first_at FROM conversations GROUP BY ALL) GROUP BY doc_id")
 def warnings(spark, d):
-    c = table(spark, d, "conversations").where("turn % 3 <> 1")
+    c = table(spark, d, "conversations")
     e = c.select(F.col("conv_id").alias("doc_id"), "turn", F.concat(F.lit("W"), ((F.col("turn") * 7 + F.col("conv_id")) % 5).cast("string")).alias("code"))
     return records.warnings(e, "turn").withColumn("warnings", F.array_join("warnings", ","))
 
@@ -147,12 +147,12 @@ def forbidden_paths(spark, d):
     return _files(spark, d).select("page_id", detect.forbidden(F.col("path")).alias("prefix")).where("prefix is not null")
 
 
-@query(f"""WITH {_FILES} SELECT path, CASE WHEN page_id % 4 = 0 AND page_id % 3 <> 0 THEN 'norm/' || page_id ELSE path END AS effective_path, ['txt', 'docx', 'image', 'unknown'][1 + page_id % 4] AS file_type, ['native', 'native', 'ocr', 'native'][1 + page_id % 4] AS mode,
-CASE WHEN page_id % 4 <> 0 THEN 'detect' END AS tables_mode FROM f""")
+@query(f"""WITH {_FILES} SELECT path, CASE WHEN page_id % 4 = 0 AND page_id % 3 <> 0 THEN 'norm/' || page_id ELSE path END AS effective_path, ['txt', 'docx', 'image', 'unknown'][1 + page_id % 4] AS file_type, ['native', 'native', 'ocr', 'mixed'][1 + page_id % 4] AS mode,
+CASE WHEN page_id % 4 <> 0 THEN 'detect' END AS tables_mode, CASE WHEN page_id % 4 = 2 THEN 320 END::INT AS dpi, CASE WHEN page_id % 4 = 2 THEN 6 END::INT AS psm, 'deu+eng' AS lang FROM f""")
 def readers_items(spark, d):
     f = _files(spark, d)
     normalized = f.where("page_id % 4 = 0 and page_id % 3 <> 0").select("path", F.concat(F.lit("norm/"), F.col("page_id").cast("string")).alias("normalized_path"))
-    return chain.readers_items(chain.detected(f), normalized).select("path", "effective_path", "file_type", "mode", "tables_mode")
+    return chain.readers_items(chain.detected(f), normalized).select("path", "effective_path", "file_type", "mode", "tables_mode", "dpi", "psm", "lang")
 
 
 @query("""WITH o AS (SELECT page_id AS name, CASE page_id % 3 WHEN 0 THEN true WHEN 2 THEN false END AS a FROM pages), n AS (SELECT page_id AS name, CASE WHEN page_id % 2 = 0 THEN false END AS b FROM pages WHERE page_id % 11 <> 0)

@@ -52,23 +52,35 @@ def docx_text(content: bytes) -> str:
     return "\n".join(parts)
 
 
-def docx_pages(files: DataFrame) -> DataFrame:
-    """One page per DOCX file, confidence 90; a file that cannot be read gives an empty page of confidence 0."""
+def _docx(files: DataFrame) -> DataFrame:
+    """(path, text, error) of each DOCX file: a file that cannot be read has its error and an empty text, and stops nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
+            out, errors = [], []
             for c in b.column(1).to_pylist():
                 try:
                     out.append(docx_text(c))
-                except (zipfile.BadZipFile, KeyError, ElementTree.ParseError, AttributeError):
+                    errors.append(None)
+                except Exception as e:  # whatever a broken file does to its readers is that file's own
                     out.append("")
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["path", "text"])
+                    errors.append(f"{type(e).__name__}: {e}")
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string()), pa.array(errors, pa.string())], names=["path", "text", "error"])
+
+    return files.select("path", "content").mapInArrow(run, "path string, text string, error string")
+
 
-    x = files.select("path", "content").mapInArrow(run, "path string, text string")
+def docx_pages(files: DataFrame) -> DataFrame:
+    """One page per DOCX file, confidence 90; a file that cannot be read gives an empty page of confidence 0 (its error: read_faults())."""
+    x = _docx(files)
     return x.select("path", F.lit(1).alias("page"), F.lit("native").alias("source"), "text", F.when(F.col("text") != "", 90.0).otherwise(0.0).alias("conf"), T.word_count(F.col("text")).alias("words"), F.length("text").alias("chars"))
 
 
+def read_faults(files: DataFrame) -> DataFrame:
+    """(path, error) of the files that their reader could not read."""
+    return _docx(files.where(detect.file_type(F.col("path"))["file_type"] == "docx")).where("error is not null").select("path", "error")
+
+
 #: kind -> function of (files with path and content) giving PAGES; readers of PDF pages and images register here.
 READERS: dict[str, Callable[[DataFrame], DataFrame]] = {"txt": text_pages, "docx": docx_pages}
 
