@@ -8,6 +8,7 @@ from folio.operators import contracts, nested
 from folio.plans import chain
 from folio.plans.registry import query
 from folio.plans.views import table
+from folio.sources import files
 
 
 def _schemas(spark, d):
@@ -80,3 +81,17 @@ def report_levels(spark, d):
   CASE WHEN passed THEN 'pass' ELSE 'FAIL' END || ' | ' || replace(errors, '|', '\\|') || ' |' AS line FROM v""")
 def report_markdown(spark, d):
     return contracts.markdown(contracts.report_levels(_results(spark, d), 0.145))
+
+
+@query(r"""WITH w AS (SELECT conv_id, turn, unnest(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w, generate_subscripts(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'), 1) AS i FROM conversations),
+c AS (SELECT *, (length(w) * 37 + i * 11 + turn) % 110 - 10 AS conf FROM w)
+SELECT t.conv_id, t.turn, coalesce(string_agg(w, CASE WHEN i % 7 = 1 THEN chr(10) ELSE ' ' END ORDER BY i), '') AS text, round((sum(conf) FILTER (WHERE conf >= 0))::DOUBLE / count(*) FILTER (WHERE conf >= 0), 2) AS avg_conf, count(w) AS words
+FROM (SELECT DISTINCT conv_id, turn FROM conversations) t LEFT JOIN c USING (conv_id, turn) GROUP BY t.conv_id, t.turn""".replace("string_agg(w, CASE WHEN i % 7 = 1 THEN chr(10) ELSE ' ' END ORDER BY i)", "ltrim(string_agg(CASE WHEN i % 7 = 1 THEN chr(10) ELSE ' ' END || w, '' ORDER BY i), chr(10))"))
+def ocr_tsv(spark, d):
+    """Dumps of all turns: a word per row, seven words a line, confidences from -10."""
+    c = table(spark, d, "conversations").select("conv_id", "turn", F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda x: x != "").alias("w"))
+    conf = lambda x, i: (F.length(x) * 37 + (i + 1) * 11 + F.col("turn")) % 110 - 10
+    row = lambda x, i: F.concat_ws("\t", F.lit("5\t1\t1\t1"), F.floor(i / 7).cast("string"), (i % 7 + 1).cast("string"), F.lit("0\t0\t9\t9"), conf(x, i).cast("string"), x)
+    head = F.lit("level\tpage_num\tblock_num\tpar_num\tline_num\tword_num\tleft\ttop\twidth\theight\tconf\ttext")
+    tsv = F.concat_ws("\n", head, F.lit("1\t1\t0\t0\t0\t0\t0\t0\t600\t800\t-1\t"), F.array_join(F.transform("w", row), "\n"), F.lit("too\tshort"), F.lit(""))
+    return files.ocr_pages(c.select("conv_id", "turn", tsv.alias("tsv"))).select("conv_id", "turn", "text", "avg_conf", "words")

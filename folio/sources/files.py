@@ -105,6 +105,32 @@ def unread(files: DataFrame) -> DataFrame:
     return typed.where(~F.col("kind").isin(list(READERS))).withColumn("reason", F.concat(F.lit("no_reader:"), F.col("kind")))
 
 
+def ocr_words(dumps: DataFrame) -> DataFrame:
+    """A row per word of the dumps of an OCR engine (columns of dumps but tsv, which is text: a heading and rows of twelve cells parted by tabs): line (of the dump), block, par, row, word, conf, text.
+
+    Blank rows and rows of fewer than eleven cells are none; a confidence that is no number is null."""
+    keys = [c for c in dumps.columns if c != "tsv"]
+    lines = F.slice(F.split(F.coalesce("tsv", F.lit("")), r"\r\n|\n|\r"), 2, 2**31 - 1)
+    x = dumps.select(*keys, F.posexplode(lines).alias("line", "__row")).where("trim(__row) <> ''").withColumn("__c", F.split("__row", "\t")).where(F.size("__c") > 10)
+    number = lambda i: F.get("__c", F.lit(i)).try_cast("int")
+    conf = F.trim(F.get("__c", F.lit(10))).try_cast("double")
+    return x.select(*keys, "line", number(2).alias("block"), number(3).alias("par"), number(4).alias("row"), number(5).alias("word"), F.when(~F.isnan(conf), conf).alias("conf"), F.coalesce(F.get("__c", F.lit(11)), F.lit("")).alias("text"))
+
+
+def ocr_pages(dumps: DataFrame) -> DataFrame:
+    """(columns of dumps but tsv, text, avg_conf, words): the words of a page, row by row, and the mean of the confidences that are not negative (two digits; null if there are none)."""
+    keys = [c for c in dumps.columns if c != "tsv"]
+    said = F.col("text") != ""
+    rows = ocr_words(dumps).groupBy(*keys, "block", "par", "row").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(said, F.struct("line", "text")))), lambda w: w["text"]), " ").alias("text"), F.min("line").alias("line"),
+        F.sum(F.when(F.col("conf") >= 0, F.col("conf"))).alias("conf"), F.count_if(F.col("conf") >= 0).alias("n"), F.count_if(said).alias("words"),
+    )
+    lines = F.array_sort(F.collect_list(F.when(F.col("text") != "", F.struct("line", "text"))))
+    pages = rows.groupBy(*keys).agg(F.array_join(F.transform(lines, lambda r: r["text"]), "\n").alias("text"), F.round(F.try_divide(F.sum("conf"), F.sum("n")), 2).alias("avg_conf"), F.sum("words").alias("words"))
+    none = dumps.select(*keys).join(pages.select(*keys), keys, "left_anti").withColumns({"text": F.lit(""), "avg_conf": F.lit(None).cast("double"), "words": F.lit(0).cast("long")})
+    return pages.unionByName(none)
+
+
 def json_lines(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """Objects of JSON lines of a given schema; blank and broken lines are left out."""
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
