@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from folio.constants import PROFILES, Profile
 from folio.functions import detect, encoding
-from folio.operators import readers
+from folio.operators import charset, readers
 from folio.sources import files as S
 
 
@@ -48,6 +48,17 @@ def encoded(files: DataFrame, policy: str = "lf") -> DataFrame:
     return text_like.select("path", e.alias("e"), encoding.normalized_path(F.col("path")).alias("normalized_path")).select("path", "e.*", "normalized_path")
 
 
+def normalised(files: DataFrame, policy: str = "lf", model: dict | None = None) -> DataFrame:
+    """files whose text files hold their normalised form: UTF-8 without a mark, newlines by the policy. With a `model` (charset.fit) their encodings are told by it, else by encoding.detect()."""
+    kind = detect.file_type(F.col("path"))["file_type"]
+    if model is None:
+        text = encoding.decode(F.col("content"), encoding.detect(F.col("content"))["encoding"], policy)
+        return files.withColumn("content", F.when(kind == "txt", text.cast("binary")).otherwise(F.col("content")))
+    told = charset.detect(F.when(kind == "txt", F.col("content")), model, files.sparkSession)
+    x = charset.decoded(files.withColumn("__e", told["encoding"]), "content", "__e")
+    return x.withColumn("content", F.when(F.col("text").isNotNull(), encoding.newlines(F.col("text"), policy).cast("binary")).otherwise(F.col("content"))).select(*files.columns)
+
+
 def readers_items(found: DataFrame, normalized: DataFrame) -> DataFrame:
     """What the readers get: each detected file once, under its normalised path if it has one, with the options that detection recommends."""
     n = normalized.select("path", "normalized_path")
@@ -75,12 +86,12 @@ def encoding_stats(items: DataFrame) -> DataFrame:
     return items.agg(F.count(F.lit(1)).alias("total_items"), F.count_if(F.col("encoding").isNotNull()).alias("normalized"), F.count_if("bom").alias("with_bom"), F.count_if("is_utf8").alias("utf8_native"))
 
 
-def run(spark: SparkSession, inputs: list[str], run_id: str, profile: str = "prod") -> Stages:
-    """All stages over files, folders or globs; every table carries the run's id."""
+def run(spark: SparkSession, inputs: list[str], run_id: str, profile: str = "prod", model: dict | None = None) -> Stages:
+    """All stages over files, folders or globs; every table carries the run's id. Readers get the normalised text; `model` tells encodings other than UTF-8 (else Latin-1 is taken)."""
     p: Profile = PROFILES[profile]
     files = S.binary(spark, inputs)
     stamp = lambda df: df.withColumn("run_id", F.lit(run_id))
-    pages = S.read_pages(files).withColumnRenamed("path", "doc_id")
+    pages = S.read_pages(normalised(files, model=model)).withColumnRenamed("path", "doc_id")
     found, normalized, summaries = detected(files), encoded(files), readers.document_summary(pages, p)
     items = readers_items(found, normalized)
     made = (found, normalized, pages, readers.page_stats(pages, p), summaries, S.unread(files), items, chain_summary(items, normalized, summaries), failed(found, S.read_faults(files)))
