@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from folio.operators import charset
@@ -14,11 +15,15 @@ from folio.plans.views import table
 SIX = ("utf-8", "cp1252", "cp850", "mac-roman", "utf-16-le", "utf-32-be")
 
 
-@F.arrow_udf("binary")
-def written(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+def written(text: Column, encoding: Column) -> Column:
     """The text in an encoding; characters that it lacks become question marks."""
-    for texts, names in batches:
-        yield pa.array([t.encode(n, "replace") for t, n in zip(texts.to_pylist(), names.to_pylist())], pa.binary())
+
+    @F.arrow_udf("binary")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, names in batches:
+            yield pa.array([t.encode(n, "replace") for t, n in zip(texts.to_pylist(), names.to_pylist())], pa.binary())
+
+    return run(text, encoding)
 
 
 @query()
