@@ -90,7 +90,7 @@ def _windows(records: DataFrame, width: float, most: int, keys: list[str], secon
     opened); these are followed from bucket to bucket; then each bucket, knowing what reaches into it, marks its records as a stream. A steady key is spread over its buckets, and no task holds more than a bucket's times."""
     us = int(round(width * 1e6))
     span = int((span or max(SPAN, 8 * width)) * 1e6)
-    x = records.withColumns({"__t": F.round(seconds * 1e6).cast("long"), "__k": F.to_json(F.struct(*keys))})
+    x = records.withColumns({"__t": F.round(seconds * 1e6).cast("long"), "__k": F.to_json(F.struct(*keys)) if keys else F.lit("")})
     timed = x.where("__t is not null").withColumn("__b", F.expr(f"cast(floor(__t / {span}) as bigint)")).repartition("__k", "__b")
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,6 +196,35 @@ def limit_rate(records: DataFrame, window: float, most: int, keys: list[str], se
     return _windows(records, window, most, keys, seconds, order, False, span)
 
 
+# What each handler does with a record, in order; the least level it takes; the loggers that have to say more; and the filters' settings (seconds, records).
+HANDLERS = {"console": ("context", "redaction", "duplicate", "sampling", "ratelimit"), "json_file": ("context", "redaction", "duplicate"), "json_file_daily": ("context", "redaction", "duplicate")}
+LEVELS = {"DEBUG": 10, "INFO": 20, "WARNING": 30, "ERROR": 40, "CRITICAL": 50}
+LEAST, QUIET = "INFO", {"uvicorn.access": "WARNING", "PIL": "WARNING", "pdfminer": "WARNING"}
+TTL, EVERY, WINDOW, MOST = 2.0, 10, 10.0, 50
+
+
+def handled(
+    records: DataFrame, handler: str, seconds: Column, order: list[str], context: dict[str, str] | None = None, salt: str = "", ttl: float = TTL, every: int = EVERY, window: float = WINDOW, most: int = MOST
+) -> DataFrame:
+    """What a handler writes of records (level, logger, message, code and more), which have `order` (its first column a time): those of its level and of their logger's, with the context, redacted, and
+    thinned by its filters one after the other. A filter sees only what the ones before it let through; duplicates are told by logger, level, message and code, samples and rates by the handler's whole stream."""
+    rank = F.coalesce(F.try_element_at(F.create_map(*[x for n, v in LEVELS.items() for x in (F.lit(n), F.lit(v))]), F.upper("level")), F.lit(0))
+    least = F.coalesce(F.try_element_at(F.create_map(*[x for n, v in QUIET.items() for x in (F.lit(n), F.lit(LEVELS[v]))]), F.col("logger")), F.lit(0))
+    x = records.where((rank >= LEVELS[LEAST]) & (rank >= least)).withColumn("__at", seconds)
+    for name in HANDLERS[handler]:
+        if name == "context":
+            x = with_context(x, context or {})
+        elif name == "redaction":
+            x = redacted(x, salt)
+        elif name == "duplicate":
+            x = drop_repeats(x, ttl, ["logger", "level", "message", "code"], F.col("__at"), order)
+        elif name == "sampling":
+            x = every_nth(x, every, order)
+        else:
+            x = limit_rate(x, window, most, [], F.col("__at"), order)
+    return x.drop("__at")
+
+
 def latest(files: DataFrame, by: str = "modificationTime", path: str = "path", group: list[str] | None = None) -> DataFrame:
     """The path of the newest file of each group."""
     return files.groupBy(*(group or [])).agg(F.max_by(path, by).alias("path"))

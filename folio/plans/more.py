@@ -205,6 +205,29 @@ def log_counts(spark, d):
     return logs.count_over_time(logs.lines_with(r, "(?i)ERR"), "6 hours", ["logger"]).select("start", "logger", "n")
 
 
+_DUPLICATES = f"""{LOGS}, o AS (SELECT event_id, level, logger, message, coalesce(code, '') AS code, epoch_us(ts) / 1e6::DOUBLE AS t, row_number() OVER (PARTITION BY logger, level, message, coalesce(code, '') ORDER BY ts, event_id) AS r FROM logs),
+k AS (SELECT *, t AS last, true AS kept FROM o WHERE r = 1 UNION ALL SELECT o.*, CASE WHEN o.t - k.last >= 1800 THEN o.t ELSE k.last END, o.t - k.last >= 1800 FROM k JOIN o ON o.logger = k.logger AND o.level = k.level AND o.message = k.message AND o.code = k.code AND o.r = k.r + 1),
+w AS (SELECT event_id, t FROM k WHERE kept)"""
+
+
+def _handled(spark, d, handler):
+    r = log_records(table(spark, d, "events")).select("event_id", "ts", "level", "logger", "message", "code", "run_id")
+    seconds = (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).cast("double")
+    return logs.handled(r, handler, seconds, ["ts", "event_id"], {"trace_id": "t1"}, ttl=1800, every=2, window=7200, most=3).select("event_id", "trace_id")
+
+
+@query(f"WITH RECURSIVE {_DUPLICATES} SELECT event_id, 't1' AS trace_id FROM w")
+def handler_file(spark, d):
+    return _handled(spark, d, "json_file")
+
+
+@query(f"""WITH RECURSIVE {_DUPLICATES}, s AS (SELECT event_id, t, row_number() OVER (ORDER BY t, event_id) AS r FROM (SELECT *, row_number() OVER (ORDER BY t, event_id) AS i FROM w) WHERE i % 2 = 0),
+l AS (SELECT *, t AS start, 1 AS n FROM s WHERE r = 1 UNION ALL SELECT s.*, CASE WHEN s.t - l.start > 7200 THEN s.t ELSE l.start END, CASE WHEN s.t - l.start > 7200 THEN 1 ELSE l.n + 1 END FROM l JOIN s ON s.r = l.r + 1)
+SELECT event_id, 't1' AS trace_id FROM l WHERE n <= 3""")
+def handler_console(spark, d):
+    return _handled(spark, d, "console")
+
+
 _COUNTERS = "c AS (SELECT user_id % 50 AS u, epoch_us(ts) / 1e6 AS s, (row_number() OVER (PARTITION BY user_id % 50 ORDER BY ts, event_id) % 40)::DOUBLE AS v FROM events)"
 _STEP, _RANGE = 3600, 21600
 _GRID = f"g AS (SELECT u, unnest(range((ceil(min(s) / {_STEP}) * {_STEP})::BIGINT, (ceil(max(s) / {_STEP}) * {_STEP})::BIGINT + 1, {_STEP})) AS t FROM c GROUP BY u), m AS (SELECT g.u, g.t, c.s, c.v FROM g JOIN c ON c.u = g.u AND c.s > g.t - {_RANGE} AND c.s <= g.t)"
