@@ -29,7 +29,7 @@ def media_type(path: Column) -> Column:
 
 
 #: What detection recommends to the readers, beside the mode.
-LANGUAGES, IMAGE_DPI, IMAGE_PSM = "deu+eng", 320, 6
+LANGUAGES, IMAGE_DPI, IMAGE_PSM, PDF_DPI = "deu+eng", 320, 6, 200
 
 
 def file_type(path: Column) -> Column:

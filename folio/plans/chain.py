@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from folio.constants import PROFILES, Profile
 from folio.functions import detect, encoding
-from folio.operators import charset, readers
+from folio.operators import charset, detection, readers
 from folio.sources import files as S
+from folio.sources import pdf
 
 
 @dataclass(frozen=True)
@@ -35,6 +36,17 @@ def detected(files: DataFrame) -> DataFrame:
     return files.select("path", "length", detect.extension(F.col("path")).alias("ext"), detect.media_type(F.col("path")).alias("mime"), kind.alias("k")).select("path", "length", "ext", "mime", "k.*")
 
 
+def typed_pdfs(found: DataFrame, metrics: DataFrame) -> DataFrame:
+    """detected() items whose PDFs have the type, mode, resolution and confidence that their pages (operators/detection.py, doc_id is the path) vote for; a PDF without pages stays text, with confidence 0."""
+    t = detection.pdf_types(metrics).select(F.col("doc_id").alias("path"), F.struct("file_type", "ocr_recommended", "confidence", "mode", "dpi").alias("__t"))
+    is_pdf = F.col("file_type") == "pdf_text"
+    of = lambda c: F.when(is_pdf & F.col("__t").isNotNull(), F.col("__t")[c]).otherwise(F.col(c))
+    x = found.join(t, "path", "left")
+    said = {c: of(c) for c in ("file_type", "ocr_recommended", "mode")} | {"confidence": F.when(is_pdf, F.coalesce(F.col("__t.confidence"), F.lit(0.0))).otherwise(F.col("confidence"))}
+    said |= {"dpi": F.when(is_pdf, F.coalesce(F.col("__t.dpi"), F.lit(detect.PDF_DPI))).otherwise(F.col("dpi")), "psm": F.when(is_pdf, F.lit(detect.IMAGE_PSM)).otherwise(F.col("psm"))}
+    return x.withColumns(said).select(*found.columns)
+
+
 def failed(found: DataFrame, read_faults: DataFrame) -> DataFrame:
     """(path, stage, error): the items of a run that a stage could not handle, beside its results."""
     a = found.where("error is not null").select("path", F.lit("detect").alias("stage"), "error")
@@ -87,12 +99,14 @@ def encoding_stats(items: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, inputs: list[str], run_id: str, profile: str = "prod", model: dict | None = None) -> Stages:
-    """All stages over files, folders or globs; every table carries the run's id. Readers get the normalised text; `model` tells encodings other than UTF-8 (else Latin-1 is taken)."""
+    """All stages over files, folders or globs; every table carries the run's id. The pages of PDFs say what type they are; scanned ones are also in `unread`, as their images need OCR. Readers get the normalised text; `model` tells encodings other than UTF-8 (else Latin-1 is taken)."""
     p: Profile = PROFILES[profile]
     files = S.binary(spark, inputs)
     stamp = lambda df: df.withColumn("run_id", F.lit(run_id))
     pages = S.read_pages(normalised(files, model=model)).withColumnRenamed("path", "doc_id")
-    found, normalized, summaries = detected(files), encoded(files), readers.document_summary(pages, p)
+    pdfs = files.where(detect.file_type(F.col("path"))["file_type"] == "pdf_text")
+    found, normalized, summaries = typed_pdfs(detected(files), pdf.metrics(pdfs)), encoded(files), readers.document_summary(pages, p)
+    scanned = found.where("file_type = 'pdf_scanned'").select("path", F.col("file_type").alias("kind"), F.lit("no_reader:ocr").alias("reason"))
     items = readers_items(found, normalized)
-    made = (found, normalized, pages, readers.page_stats(pages, p), summaries, S.unread(files), items, chain_summary(items, normalized, summaries), failed(found, S.read_faults(files)))
+    made = (found, normalized, pages, readers.page_stats(pages, p), summaries, S.unread(files).unionByName(scanned), items, chain_summary(items, normalized, summaries), failed(found, S.read_faults(files)))
     return Stages(*map(stamp, made))

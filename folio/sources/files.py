@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from folio.functions import detect, encoding
 from folio.functions import text as T
+from folio.sources import pdf
 
 PAGES = "path string, page int, source string, text string, conf double, words int, chars int"
 WORD = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
@@ -77,12 +78,13 @@ def docx_pages(files: DataFrame) -> DataFrame:
 
 
 def read_faults(files: DataFrame) -> DataFrame:
-    """(path, error) of the files that their reader could not read."""
-    return _docx(files.where(detect.file_type(F.col("path"))["file_type"] == "docx")).where("error is not null").select("path", "error")
+    """(path, error) of the files that their reader could not read, or not every page of."""
+    typed = files.withColumn("kind", detect.file_type(F.col("path"))["file_type"])
+    return _docx(typed.where("kind = 'docx'")).where("error is not null").select("path", "error").unionByName(pdf.faults(typed.where("kind = 'pdf_text'")))
 
 
-#: kind -> function of (files with path and content) giving PAGES; readers of PDF pages and images register here.
-READERS: dict[str, Callable[[DataFrame], DataFrame]] = {"txt": text_pages, "docx": docx_pages}
+#: kind -> function of (files with path and content) giving PAGES; readers of images register here.
+READERS: dict[str, Callable[[DataFrame], DataFrame]] = {"txt": text_pages, "docx": docx_pages, "pdf_text": pdf.pages}
 
 
 def register(kind: str, reader: Callable[[DataFrame], DataFrame]) -> None:

@@ -12,7 +12,7 @@ from folio.constants import PROFILES
 from folio.functions import encoding, geometry
 from folio.functions import text as T
 from folio.operators import contracts, logs, metrics, readers
-from folio.plans import chain, config
+from folio.plans import chain, config, pdfs
 from folio.sources import files, sinks
 from folio.streaming import filters
 
@@ -137,14 +137,21 @@ def test_chain_over_files(spark, tmp_path):
     (src / "a.txt").write_bytes("The date and the page.\r\nGrüße".encode("latin-1"))
     (src / "b.docx").write_bytes(docx(["Hello ", " "], [["x", " y "], ["", ""]]))
     (src / "c.pdf").write_bytes(b"%PDF")
+    (src / "e.pdf").write_bytes(pdfs.document([{"lines": ["The page"], "areas": []}, {"lines": [], "areas": [90]}], 1))
+    (src / "f.pdf").write_bytes(pdfs.document([{"lines": [], "areas": [100]}], 2))
     (src / "d.docx").write_bytes(b"broken")
     got = chain.run(spark, [str(src)], "20250101T120000-deadbeef")
     name = lambda p: p.rsplit("/", 1)[1]
-    assert {name(r.path): r.file_type for r in got.detected.collect()} == {"a.txt": "txt", "b.docx": "docx", "c.pdf": "pdf_text", "d.docx": "docx"}
-    assert {name(r.doc_id): (r.text, r.conf) for r in got.pages.collect()} == {"a.txt": ("The date and the page.\nGrüße", 92.0), "b.docx": ("Hello\nx | y", 90.0), "d.docx": ("", 0.0)}
-    assert [(name(r.path), r.reason) for r in got.unread.collect()] == [("c.pdf", "no_reader:pdf_text")]
+    assert {name(r.path): r.file_type for r in got.detected.collect()} == {"a.txt": "txt", "b.docx": "docx", "c.pdf": "pdf_text", "d.docx": "docx", "e.pdf": "pdf_scanned", "f.pdf": "pdf_scanned"}
+    assert {(name(r.doc_id), r.page): (r.text, r.conf) for r in got.pages.collect()} == {
+        ("a.txt", 1): ("The date and the page.\nGrüße", 92.0), ("b.docx", 1): ("Hello\nx | y", 90.0), ("c.pdf", 1): ("", 0.0), ("d.docx", 1): ("", 0.0),
+        ("e.pdf", 1): ("The page", 80.0), ("e.pdf", 2): ("", 0.0), ("f.pdf", 1): ("", 0.0),
+    }
+    assert {(name(r.path), r.reason) for r in got.unread.collect()} == {("e.pdf", "no_reader:ocr"), ("f.pdf", "no_reader:ocr")}
+    assert {(name(r.path), r.stage) for r in got.failed.collect()} == {("c.pdf", "read"), ("d.docx", "read")}
+    assert {name(r.path): (r.mode, r.dpi, r.confidence) for r in got.items.collect() if r.path.endswith("pdf")} == {"c.pdf": ("native", 200, 0.0), "e.pdf": ("ocr", 320, 0.9), "f.pdf": ("ocr", 320, 0.9)}
     assert {name(r.path): r.encoding for r in got.encoded.collect()}["a.txt"] == "iso-8859-1"
-    assert {name(r.doc_id): r.needs_review for r in got.summaries.collect()} == {"a.txt": False, "b.docx": False, "d.docx": True}
+    assert {name(r.doc_id): r.needs_review for r in got.summaries.collect()} == {"a.txt": False, "b.docx": False, "c.pdf": True, "d.docx": True, "e.pdf": True, "f.pdf": True}
     with pytest.raises(ValueError):
         files.binary(spark, [])
 
