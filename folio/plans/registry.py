@@ -30,13 +30,13 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    from folio.plans import alerts, charsets, documents, more, pdfs, rows  # noqa: F401
+    from folio.plans import alerts, charsets, documents, more, pdfs, rasters, rows  # noqa: F401
 
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from folio.plans import alerts, charsets, documents, more, pdfs, rows  # noqa: F401
+    from folio.plans import alerts, charsets, documents, more, pdfs, rasters, rows  # noqa: F401
 
     return dict(_ORACLE)
 

@@ -54,7 +54,7 @@ def test_plans_push_down_and_stay_in_the_jvm(spark):
         return registry.queries()[name](spark, DIR)._jdf.queryExecution().toString()
 
     for name in registry.queries():
-        if name not in ("log_repeats", "log_rate_limit", "nfc_digest", "charset_detect", "pdf_pages", "pdf_file_types", "handler_file", "handler_console"):
+        if name not in ("log_repeats", "log_rate_limit", "nfc_digest", "charset_detect", "pdf_pages", "pdf_file_types", "pixel_grids", "raster_steps", "handler_file", "handler_console"):
             found = plan(name)
             assert "Python" not in found and "Pandas" not in found and "CartesianProduct" not in found, name
     for name in ("language_share", "document_meta", "page_statistics", "document_summary", "document_language"):
