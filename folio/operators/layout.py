@@ -79,9 +79,9 @@ def cells_per_page(tables: DataFrame) -> DataFrame:
 
 
 def peaks(profile: DataFrame, gap: int, key: str = "line") -> DataFrame:
-    """Centres of the groups of places i of profile (key, i, value) whose value reaches a tenth of the largest (5 at least); places at most `gap` apart are one group."""
+    """Centres of the groups of places i of profile (key, i, value) whose value is above a whole-number tenth of the largest (and above 5); places at most `gap` apart are one group."""
     most = Window.partitionBy(key)
-    hit = profile.withColumn("t", F.greatest(F.lit(5.0), F.max("value").over(most) * 0.1)).where("value >= t")
+    hit = profile.withColumn("t", F.greatest(F.lit(5.0), F.floor(F.max("value").over(most) * 0.1).cast("double"))).where("value > t")
     w = Window.partitionBy(key).orderBy("i")
     island = hit.withColumn("new", (F.coalesce(F.col("i") - F.lag("i").over(w), F.lit(gap + 1)) > gap).cast("int")).withColumn("island", F.sum("new").over(w))
     return island.groupBy(key, "island").agg(F.floor(F.avg("i")).cast("int").alias("centre"), F.count(F.lit(1)).alias("places"))

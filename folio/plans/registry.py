@@ -425,7 +425,7 @@ def words_off_blocks(spark, d):
 _PROFILE = "p AS (SELECT user_id % 5 AS line, user_id // 20 * 50 + user_id % 20 AS i, count(*) FILTER (WHERE event_type = 'error')::DOUBLE AS value FROM events GROUP BY user_id)"
 
 
-@query(f"""WITH {_PROFILE}, h AS (SELECT * FROM (SELECT *, greatest(5.0, max(value) OVER (PARTITION BY line) * 0.1) AS t FROM p) WHERE value >= t), n AS (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY line ORDER BY i) <= 10 THEN 0 ELSE 1 END AS fresh FROM h),
+@query(f"""WITH {_PROFILE}, h AS (SELECT * FROM (SELECT *, greatest(5.0, floor(max(value) OVER (PARTITION BY line) * 0.1)) AS t FROM p) WHERE value > t), n AS (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY line ORDER BY i) <= 10 THEN 0 ELSE 1 END AS fresh FROM h),
 g AS (SELECT *, sum(fresh) OVER (PARTITION BY line ORDER BY i) AS island FROM n) SELECT line, floor(avg(i))::INT AS centre, count(*) AS places FROM g GROUP BY line, island""")
 def projection_peaks(spark, d):
     e = table(spark, d, "events")
