@@ -180,3 +180,17 @@ def bands(value: Column, warn: float, critical: float, high_is_bad: bool = True)
     """ok, warn or critical."""
     worse = (lambda t: value > t) if high_is_bad else (lambda t: value < t)
     return F.when(worse(critical), "critical").when(worse(warn), "warn").otherwise("ok")
+
+
+def exposition(samples: DataFrame, name: str, labels: list[str], value: str) -> DataFrame:
+    """samples with the `line` that scrapers read: name{label="value",...} value. Labels that are null are left out, an endless bound is +Inf, a null value NaN."""
+
+    def said(c: str) -> Column:
+        number = dict(samples.dtypes)[c] in ("double", "float")
+        whole = F.col(c) == F.floor(F.col(c).cast("double"))
+        text = F.when(F.col(c) == float("inf"), "+Inf").when(whole, F.col(c).cast("long").cast("string")).otherwise(F.col(c).cast("string")) if number else F.col(c).cast("string")
+        return F.replace(F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit("\n"), F.lit("\\n"))
+
+    pairs = F.array_join(F.array_compact(F.array(*[F.concat(F.lit(f'{c}="'), said(c), F.lit('"')) for c in labels]).cast("array<string>")), ",")
+    held = F.when(pairs != "", F.concat(F.lit("{"), pairs, F.lit("}"))).otherwise("")
+    return samples.withColumn("line", F.concat(F.lit(name), held, F.lit(" "), F.coalesce(said(value), F.lit("NaN"))))

@@ -185,6 +185,12 @@ def processed_documents(spark, d):
     return metrics.histogram(x, _BYTES, ["type"])
 
 
+@query(f"""SELECT 'documents_bytes_bucket{{' || CASE WHEN lang IS NULL THEN '' ELSE 'type="' || lang || '",' END || 'le="' || CASE WHEN isinf(le) THEN '+Inf' ELSE le::BIGINT::VARCHAR END || '"}} ' || count(*) FILTER (WHERE octet_length(encode(text)) <= le) AS line
+FROM documents CROSS JOIN (SELECT unnest([{', '.join(map(str, _BYTES))}, 'inf'::DOUBLE]::DOUBLE[]) AS le) GROUP BY lang, le""")
+def metric_lines(spark, d):
+    return metrics.exposition(processed_documents(spark, d), "documents_bytes_bucket", ["type", "le"], "n").select("line")
+
+
 # ---- logs and metrics
 
 
