@@ -203,14 +203,19 @@ LEAST, QUIET = "INFO", {"uvicorn.access": "WARNING", "PIL": "WARNING", "pdfminer
 TTL, EVERY, WINDOW, MOST = 2.0, 10, 10.0, 50
 
 
+def admitted(records: DataFrame) -> DataFrame:
+    """Records of the least level, and of the level that their logger asks for."""
+    rank = F.coalesce(F.try_element_at(F.create_map(*[x for n, v in LEVELS.items() for x in (F.lit(n), F.lit(v))]), F.upper("level")), F.lit(0))
+    least = F.coalesce(F.try_element_at(F.create_map(*[x for n, v in QUIET.items() for x in (F.lit(n), F.lit(LEVELS[v]))]), F.col("logger")), F.lit(0))
+    return records.where((rank >= LEVELS[LEAST]) & (rank >= least))
+
+
 def handled(
     records: DataFrame, handler: str, seconds: Column, order: list[str], context: dict[str, str] | None = None, salt: str = "", ttl: float = TTL, every: int = EVERY, window: float = WINDOW, most: int = MOST
 ) -> DataFrame:
     """What a handler writes of records (level, logger, message, code and more), which have `order` (its first column a time): those of its level and of their logger's, with the context, redacted, and
     thinned by its filters one after the other. A filter sees only what the ones before it let through; duplicates are told by logger, level, message and code, samples and rates by the handler's whole stream."""
-    rank = F.coalesce(F.try_element_at(F.create_map(*[x for n, v in LEVELS.items() for x in (F.lit(n), F.lit(v))]), F.upper("level")), F.lit(0))
-    least = F.coalesce(F.try_element_at(F.create_map(*[x for n, v in QUIET.items() for x in (F.lit(n), F.lit(LEVELS[v]))]), F.col("logger")), F.lit(0))
-    x = records.where((rank >= LEVELS[LEAST]) & (rank >= least)).withColumn("__at", seconds)
+    x = admitted(records).withColumn("__at", seconds)
     for name in HANDLERS[handler]:
         if name == "context":
             x = with_context(x, context or {})

@@ -10,7 +10,7 @@ import sys
 for name in sys.argv[1:]:
     sys.modules[name] = None
 import __spark_entry__ as e
-print(len(e.queries()), len(e.oracle_sql()), len([n for n in e.queries() if n.startswith("op") and n[2].isdigit() or n == "pipeline"]))
+print(len(e.queries()), len(e.oracle_sql()), len(set(e.queries()) - set(e.oracle_sql()) - {"charset_detect", "raster_steps"}), len([n for n in e.queries() if n.startswith("op") and n[2].isdigit() or n == "pipeline"]))
 """
 
 
@@ -21,5 +21,5 @@ def counts(*blocked):
 
 def test_engine_queries_need_no_other_library():
     for blocked in ("zstandard", "public_tokenizers", "folio.llm"):
-        n, sql, ops = counts(blocked)
-        assert n == sql > 80 and ops == 0, blocked
+        n, sql, plain, ops = counts(blocked)
+        assert n == sql + 2 > 80 and plain == ops == 0, blocked  # the two are compared with plain versions
