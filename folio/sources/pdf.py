@@ -1,9 +1,9 @@
 """PDF files as rows: objects of a file, the pages that name them, and the text and figures of each page.
 
-    scan()      a task finds the objects of its files and walks their page trees: a row per page, per content stream (as packed as it was) and per font
-    filled()    pages meet their streams and fonts in one shuffle by file and page, so the pages of a long file are read by many tasks
+    scan()      finds the objects of a file and walks its page tree: a row per page, with its streams (as packed as they were) and its fonts
     read()      unpacks a page's streams and runs their text operators in order
 
+Each file is scanned once, and nothing is shuffled: a page's row holds all that it needs. Few pages at a time are in memory beside their file.
 Not read: encrypted files (a fault), text inside forms and annotations, fonts without a character map whose codes are no single bytes (each code is U+FFFD).
 A file lies in one row, as binaryFile reads it. A file that cannot be read is one empty page and a row of faults(); it stops nothing."""
 
@@ -40,14 +40,15 @@ ACCENTS = {"grave": "̀", "acute": "́", "circumflex": "̂", "tilde": "̃", "die
 SIGNS = {"space": " ", "hyphen": "-", "period": ".", "comma": ",", "colon": ":", "semicolon": ";", "quotesingle": "'", "quotedbl": '"', "germandbls": "ß", "endash": "–", "emdash": "—", "bullet": "•", "Euro": "€", "fi": "fi", "fl": "fl", "quoteleft": "‘", "quoteright": "’", "parenleft": "(", "parenright": ")", "slash": "/"}
 DIGITS = "zero one two three four five six seven eight nine".split()
 
-ROWS = pa.schema([
-    ("path", pa.string()), ("kind", pa.string()), ("number", pa.int64()), ("page", pa.int32()), ("contents", pa.list_(pa.int64())), ("fonts", pa.list_(pa.struct([("name", pa.string()), ("number", pa.int64())]))),
-    ("images", pa.list_(pa.string())), ("area", pa.float64()), ("filters", pa.list_(pa.string())), ("data", pa.binary()), ("wide", pa.bool_()), ("base", pa.string()), ("glyphs", pa.map_(pa.int32(), pa.string())), ("error", pa.string()),
-])
+STREAM_ROW = pa.struct([("filters", pa.list_(pa.string())), ("data", pa.binary())])
+FONT_ROW = pa.struct([("name", pa.string()), ("wide", pa.bool_()), ("base", pa.string()), ("glyphs", pa.map_(pa.int32(), pa.string())), ("filters", pa.list_(pa.string())), ("data", pa.binary())])
+ROWS = pa.schema([("path", pa.string()), ("page", pa.int32()), ("streams", pa.list_(STREAM_ROW)), ("fonts", pa.list_(FONT_ROW)), ("images", pa.list_(pa.string())), ("area", pa.float64()), ("error", pa.string())])
 ROWS_DDL = (
-    "path string, kind string, number long, page int, contents array<long>, fonts array<struct<name string, number long>>, images array<string>, area double, filters array<string>, data binary, wide boolean, base string, "
-    "glyphs map<int,string>, error string"
+    "path string, page int, streams array<struct<filters: array<string>, data: binary>>, fonts array<struct<name: string, wide: boolean, base: string, glyphs: map<int,string>, filters: array<string>, data: binary>>, "
+    "images array<string>, area double, error string"
 )
+#: Pages of a file that are handed on together.
+AT_ONCE = 64
 
 
 class Name(str):
@@ -185,7 +186,7 @@ def _glyph(name: str) -> str:
 
 
 def scan(path: str, content: bytes) -> Iterator[dict]:
-    """The rows of a file; one that cannot be read is a row of kind fault."""
+    """A row per page of a file; one that cannot be read is an error."""
     found, trailer = objects(content or b"")
 
     def of(x: object) -> object:
@@ -201,7 +202,24 @@ def scan(path: str, content: bytes) -> Iterator[dict]:
     root = entries(trailer.get("Root")) or next((v for v, _ in reversed(found.values()) if isinstance(v, dict) and v.get("Type") == "Catalog"), {})
     if not entries(root.get("Pages")):
         raise ValueError("no pages")
-    page, streams, fonts, seen = 0, set(), {}, set()
+    page, fonts, seen = 0, {}, set()
+
+    def packed(x: object) -> dict | None:
+        value, data = found.get(int(x), (None, None)) if isinstance(x, Ref) else (None, None)
+        return None if data is None else {"filters": _filters(value), "data": data}
+
+    def described(font: dict) -> dict:
+        encoding = of(font.get("Encoding"))
+        glyphs, code = {}, 0
+        for x in (of(encoding.get("Differences")) or []) if isinstance(encoding, dict) else []:
+            if isinstance(x, Name):
+                glyphs[code] = _glyph(x)
+                code += 1
+            elif type(x) is int:
+                code = x
+        base = encoding.get("BaseEncoding") if isinstance(encoding, dict) else encoding
+        return {"wide": font.get("Subtype") == "Type0", "base": ENCODINGS.get(base, "cp1252"), "glyphs": list(glyphs.items())} | (packed(font.get("ToUnicode")) or {"filters": [], "data": None})
+
     todo = [(root["Pages"], {}, [0, 0, 612, 792])]
     while todo:
         ref, resources, box = todo.pop()
@@ -219,63 +237,41 @@ def scan(path: str, content: bytes) -> Iterator[dict]:
         page += 1
         given = node.get("Contents")
         listed = of(given)
-        refs = [int(x) for x in (listed if isinstance(listed, list) else [given]) if isinstance(x, Ref)]
-        streams.update(refs)
-        named = []
+        streams = [packed(x) for x in (listed if isinstance(listed, list) else [given])]
+        dressed = []
         for name, font in entries(resources.get("Font")).items():
-            number = int(font) if isinstance(font, Ref) else -1 - len(fonts)
-            fonts.setdefault(number, entries(font))
-            named.append({"name": str(name), "number": number})
+            if not isinstance(font, Ref):
+                dressed.append({"name": str(name)} | described(entries(font)))
+                continue
+            if int(font) not in fonts:
+                fonts[int(font)] = described(entries(font))
+            dressed.append({"name": str(name)} | fonts[int(font)])
         images = [str(n) for n, x in entries(resources.get("XObject")).items() if entries(x).get("Subtype") == "Image"]
-        yield {"path": path, "kind": "page", "page": page, "contents": refs, "fonts": named, "images": images, "area": abs((box[2] - box[0]) * (box[3] - box[1])) * 1.0}
-    for number in sorted(streams):
-        value, data = found.get(number, (None, None))
-        if data is not None:
-            yield {"path": path, "kind": "stream", "number": number, "filters": _filters(value), "data": data}
-    for number, font in fonts.items():
-        encoding = of(font.get("Encoding"))
-        glyphs, code = {}, 0
-        for x in (of(encoding.get("Differences")) or []) if isinstance(encoding, dict) else []:
-            if isinstance(x, Name):
-                glyphs[code] = _glyph(x)
-                code += 1
-            elif type(x) is int:
-                code = x
-        base = encoding.get("BaseEncoding") if isinstance(encoding, dict) else encoding
-        value, data = found.get(int(font["ToUnicode"]), (None, None)) if isinstance(font.get("ToUnicode"), Ref) else (None, None)
-        yield {"path": path, "kind": "font", "number": number, "wide": font.get("Subtype") == "Type0", "base": ENCODINGS.get(base, "cp1252"), "glyphs": list(glyphs.items()), "filters": _filters(value) if data else [], "data": data}
+        yield {"path": path, "page": page, "streams": [x for x in streams if x], "fonts": dressed, "images": images, "area": abs((box[2] - box[0]) * (box[3] - box[1])) * 1.0}
 
 
 def scanned(files: DataFrame) -> DataFrame:
-    """The rows of all files (path, content). A file that fails has only its row of kind fault."""
+    """The pages of all files (path, content). A file that fails has one empty page with its error, after the pages found before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, content in zip(b.column(0), b.column(1)):
+                rows, page = [], 0
                 try:
-                    rows = list(scan(path.as_py(), content.as_py()))
+                    for r in scan(path.as_py(), content.as_py()):
+                        rows.append(r)
+                        page = r["page"]
+                        if len(rows) == AT_ONCE:
+                            yield pa.RecordBatch.from_pylist(rows, schema=ROWS)
+                            rows = []
                 except Exception as e:  # whatever a broken file does to its readers is that file's own
-                    rows = [{"path": path.as_py(), "kind": "fault", "error": f"{type(e).__name__}: {e}"}]
-                for i in range(0, len(rows), 1000):
-                    yield pa.RecordBatch.from_pylist(rows[i : i + 1000], schema=ROWS)
+                    rows.append({"path": path.as_py(), "page": page + 1, "streams": [], "fonts": [], "images": [], "area": 0.0, "error": f"{type(e).__name__}: {e}"})
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema=ROWS)
 
     return files.select("path", "content").mapInArrow(run, ROWS_DDL)
 
 
-def filled(rows: DataFrame) -> DataFrame:
-    """(path, page, images, area, streams, fonts) of each page: its streams in their order, and its fonts by the names that it gives them."""
-    pages = rows.where("kind = 'page'")
-    stream, font = "struct<pos:int,filters:array<string>,data:binary>", "struct<name:string,wide:boolean,base:string,glyphs:map<int,string>,filters:array<string>,data:binary>"
-    none = lambda kind: F.lit(None).cast(kind)
-    own = pages.select("path", "page", F.struct("images", "area").alias("own"), none(stream).alias("stream"), none(font).alias("font"))
-    wanted = pages.select("path", "page", F.posexplode("contents").alias("pos", "number")).join(rows.where("kind = 'stream'").select("path", "number", "filters", "data"), ["path", "number"])
-    dressed = pages.select("path", "page", F.explode("fonts").alias("f")).select("path", "page", "f.name", "f.number").join(rows.where("kind = 'font'").select("path", "number", "wide", "base", "glyphs", "filters", "data"), ["path", "number"])
-    parts = own.unionByName(wanted.select("path", "page", F.struct("pos", "filters", "data").alias("stream")), allowMissingColumns=True)
-    parts = parts.unionByName(dressed.select("path", "page", F.struct("name", "wide", "base", "glyphs", "filters", "data").alias("font")), allowMissingColumns=True)
-    g = parts.groupBy("path", "page").agg(F.max("own").alias("own"), F.collect_list("stream").alias("streams"), F.collect_list("font").alias("fonts"))
-    return g.select("path", "page", "own.images", "own.area", "streams", "fonts")
-
-
 def character_map(data: bytes) -> tuple[dict[bytes, str], list[int]]:
     """(code -> text, the lengths of codes) of a font's map to Unicode."""
     codes: dict[bytes, str] = {}
@@ -405,7 +401,7 @@ def read(streams: Column, fonts: Column, images: Column, area: Column) -> Column
 
     def one(streams: list[dict], fonts: list[dict], images: list[str], area: float) -> dict:
         try:
-            data = b"\n".join(unpacked(s["data"], s["filters"]) for s in sorted(streams, key=lambda s: s["pos"]))
+            data = b"\n".join(unpacked(s["data"], s["filters"]) for s in streams)
             text, blocks, covered = interpreted(data, {f["name"]: _Font(f) for f in fonts}, set(images))
             return {"text": text, "blocks": blocks, "images": len(images), "image_area": min(1.0, covered / area) if area else 0.0, "error": None}
         except Exception as e:  # whatever a broken page does to its readers is that page's own
@@ -421,9 +417,8 @@ def read(streams: Column, fonts: Column, images: Column, area: Column) -> Column
 
 def read_pages(files: DataFrame) -> DataFrame:
     """(path, page from 1, text, blocks, images, image_area, error) of the pages of PDF files; one that cannot be read is one empty page with its error."""
-    rows = scanned(files)
-    x = filled(rows).select("path", "page", read(F.col("streams"), F.col("fonts"), F.col("images"), F.col("area")).alias("r")).select("path", "page", "r.*")
-    return x.unionByName(rows.where("kind = 'fault'").select("path", F.lit(1).alias("page"), F.lit("").alias("text"), F.lit(0).alias("blocks"), F.lit(0).alias("images"), F.lit(0.0).alias("image_area"), "error"))
+    x = scanned(files).withColumn("r", read(F.col("streams"), F.col("fonts"), F.col("images"), F.col("area")))
+    return x.select("path", "page", "r.text", "r.blocks", "r.images", "r.image_area", F.coalesce("error", "r.error").alias("error"))
 
 
 def pages(files: DataFrame) -> DataFrame:
