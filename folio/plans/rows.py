@@ -35,13 +35,17 @@ def parameters(spark, d):
     return table(spark, d, "events").select(F.col("event_id").alias("id"), mode.alias("mode"), detect.tables_mode(_pick("user_id div 3 % 4", "light", "full", "off", None)).alias("tables_mode"), dpi.cast("long").alias("dpi"))
 
 
-@query("""WITH t AS (SELECT event_id AS id, user_id % 4 AS rows, event_id % 5 AS cols, user_id // 4 % 3 AS h, event_id // 5 % 2 AS v, ['ocr', 'pdf', NULL][1 + event_id // 10 % 3] AS tool FROM events)
-SELECT id, CASE WHEN h + v > 0 AND cols >= 3 AND rows >= 2 THEN 'rulings,columns,grid' WHEN h + v > 0 AND cols >= 3 THEN 'rulings,columns' WHEN h + v > 0 AND cols >= 2 AND rows >= 2 THEN 'rulings,grid' WHEN h + v > 0 THEN 'rulings'
+@query("""WITH t AS (SELECT event_id AS id, ['ok', 'fallback', 'detect', 'failed', 'inadmissible', NULL][1 + event_id // 30 % 6] AS status, user_id % 4 AS rows, event_id % 5 AS cols, event_id * 7 % 901 AS cells, user_id // 4 % 3 AS h, event_id // 5 % 2 AS v, ['ocr', 'pdf', NULL][1 + event_id // 10 % 3] AS tool FROM events)
+SELECT id, status, rows, cols, least(1, greatest(0, CASE lower(coalesce(status, 'failed')) WHEN 'ok' THEN 0.85 WHEN 'fallback' THEN 0.6 WHEN 'detect' THEN 0.6 WHEN 'inadmissible' THEN 0.1 ELSE 0.2 END + 0.25::DOUBLE * least(cells / 200.0::DOUBLE, 1) + CASE WHEN rows >= 2 AND cols >= 2 THEN 0.25 WHEN rows >= 1 AND cols >= 1 THEN 0.1 ELSE 0 END))::DOUBLE AS confidence,
+  CASE WHEN h + v > 0 AND cols >= 3 AND rows >= 2 THEN 'rulings,columns,grid' WHEN h + v > 0 AND cols >= 3 THEN 'rulings,columns' WHEN h + v > 0 AND cols >= 2 AND rows >= 2 THEN 'rulings,grid' WHEN h + v > 0 THEN 'rulings'
   WHEN cols >= 3 AND rows >= 2 THEN 'columns,grid' WHEN cols >= 3 THEN 'columns' WHEN cols >= 2 AND rows >= 2 THEN 'grid' ELSE 'layout' END AS cues, CASE WHEN coalesce(tool, '') <> 'ocr' AND h + v > 0 THEN 'morph' ELSE 'text-alignment' END AS method FROM t""")
 def table_candidates(spark, d):
     c = F.col
-    t = table(spark, d, "events").selectExpr("event_id as id", "user_id % 4 as rows", "event_id % 5 as cols", "user_id div 4 % 3 as h", "event_id div 5 % 2 as v", "get(array('ocr', 'pdf', null), cast(event_id div 10 % 3 as int)) as tool")
-    return t.select("id", F.array_join(layout.table_cues(c("rows"), c("cols"), c("h"), c("v")), ",").alias("cues"), layout.table_method(c("h"), c("v"), c("tool")).alias("method"))
+    given = _pick("event_id div 30 % 6", "ok", "fallback", "detect", "failed", "inadmissible", None).alias("status")
+    t = table(spark, d, "events").select("*", given)
+    t = t.selectExpr("event_id as id", "status", "user_id % 4 as rows", "event_id % 5 as cols", "event_id * 7 % 901 as cells", "user_id div 4 % 3 as h", "event_id div 5 % 2 as v", "get(array('ocr', 'pdf', null), cast(event_id div 10 % 3 as int)) as tool")
+    confidence = layout.table_confidence(c("status"), c("rows"), c("cols"), c("cells")).cast("double").alias("confidence")
+    return t.select("id", "status", "rows", "cols", confidence, F.array_join(layout.table_cues(c("rows"), c("cols"), c("h"), c("v")), ",").alias("cues"), layout.table_method(c("h"), c("v"), c("tool")).alias("method"))
 
 
 @query("""WITH b AS (SELECT event_id AS id, (event_id * 3 % 220 - 10)::DOUBLE AS w, (user_id * 5 % 90)::DOUBLE AS h, (event_id * 13 % 800)::DOUBLE AS y FROM events), v AS (SELECT id, w, h, w * h / 505750 AS r, (y + y + h) / 2 / 850 AS cy FROM b)

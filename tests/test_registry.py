@@ -61,3 +61,15 @@ def test_plans_push_down_and_stay_in_the_jvm(spark):
         assert plan(name).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0].count("[^A-Za-z0-9]+") <= 2, name
     assert "ReadSchema: struct<user_id:bigint,event_type:string>" in plan("projection_peaks")
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan("language_hint")
+
+
+def test_table_candidates_hold_all_that_is_told_of_a_table(spark):
+    """Of every event a table with its confidence, as the odd literals have it; not cues and method alone."""
+    df = registry.queries()["table_candidates"](spark, DIR)
+    rows = df.collect()
+    assert df.columns == ["id", *literal_queries.QUERIES["table_candidates"](spark, DIR).columns]
+    assert len(rows) == spark.read.parquet(f"{DIR}/events.parquet").count() and {r.status for r in rows} == {"ok", "fallback", "detect", "failed", "inadmissible", None}
+    base = {"ok": 0.85, "fallback": 0.6, "detect": 0.6, "inadmissible": 0.1}
+    for r in rows:
+        shape = 0.25 if min(r.rows, r.cols) >= 2 else 0.1 if min(r.rows, r.cols) >= 1 else 0
+        assert math.isclose(r.confidence, min(1, base.get(r.status, 0.2) + min(r.id * 7 % 901 / 200, 1) / 4 + shape), abs_tol=1e-12)
