@@ -6,8 +6,8 @@ All but the last return the columns of documents.
 1. quality: documents that the classifier scores under 0.5 go.
 2. near_duplicates: of each component of documents with Jaccard >= 0.8 of their five-word shingles one stays, that of the least doc_id.
 3. personal_data: each span found is replaced by its kind in brackets; n_chars follows.
-4. mixing: rows are put in the order of the Pfair mix of their sources; the files, by name, hold the mix.
-5. tokens: position (in the Pfair mix of the rows, whatever files they come from), n_tokens and ids (little-endian unsigned 32-bit) of each text by the public word BPE vocabulary.
+4. mixing: rows are put in the order of the Pfair mix of their sources; the files, by number and row, hold the mix.
+5. tokens: position (the place, from 0, that mixing gave; rows that did not come from it unchanged are mixed here), n_tokens and ids (little-endian unsigned 32-bit) of each text by the public word BPE vocabulary.
 """
 
 from __future__ import annotations

@@ -20,6 +20,10 @@ ends the others go on in their proportion; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import functools
+import operator
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,18 +96,17 @@ def schedule(tickets: DataFrame, block_rows: int) -> DataFrame:
 def interleave(
     docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION, smoothing: float = SMOOTHING, key: str = "doc_id", source: str = "source"
 ) -> DataFrame:
-    """docs with __block (of its source, from 0), __release, __deadline (slots), __slot (of the block) and __position (ascending with the mix)."""
+    """docs with __row (a hash of the row), __block (of its source, from 0), __release, __deadline (slots), __slot (of the block) and __position (ascending with the mix)."""
     s = F.when(F.col(source).isNull(), "n").otherwise(F.concat(F.lit("s"), F.col(source).cast("string")))
     h = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
     bucket = lambda h: F.conv(F.substring(h, 1, 3), 16, 10).cast("int")
-    named = docs.withColumns({"__s": s, "__h": h, "__b": bucket(h)})
+    named = docs.withColumns({"__s": s, "__h": h, "__b": bucket(h), "__row": F.xxhash64(*docs.columns)})
     counts = common.materialize(named.select(F.col("__s").alias("s"), F.col("__b").alias("b")).groupBy("s", "b").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
     before = counts.select("s", "b", F.coalesce(F.sum("n").over(Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     plan = common.materialize(schedule(_tickets(counts, weights, resolution, smoothing), block_rows), "mix-plan")
     size = plan.select(F.sum(F.expr("aggregate(patterns, 0, (a, x) -> a + size(x.slot))"))).first()[0] or 0
     plan = F.broadcast(plan) if size <= MOST_BROADCAST_SLOTS else plan
-    ties = [F.xxhash64(*[F.col(c) for c in docs.columns])]
-    w = Window.partitionBy("__s", "__b").orderBy("__h", key, *ties)
+    w = Window.partitionBy("__s", "__b").orderBy("__h", key, "__row")
     ranked = named.withColumn("__n", F.row_number().over(w) - 1)
     ranked = ranked.join(before.withColumnsRenamed({"s": "__s", "b": "__b"}), ["__s", "__b"])
     ranked = ranked.withColumn("__rank", F.col("__before") + F.col("__n")).withColumn("__block", F.expr(f"__rank div {block_rows}"))
@@ -113,25 +116,62 @@ def interleave(
     i = "[cast(__block % __m as int)]"
     x = x.withColumns({"__slot": F.expr(f"{start} __p.slot{i}"), "__release": F.expr(f"{start} __p.rel{i}"), "__deadline": F.expr(f"{start} __p.due{i}")})
     x = x.withColumn("__position", F.expr(f"__slot * {block_rows} + __rank % {block_rows}"))
-    return x.select(*docs.columns, "__block", "__release", "__deadline", "__slot", "__position")
+    return x.select(*docs.columns, "__row", "__block", "__release", "__deadline", "__slot", "__position")
 
 
-def in_order(
+def _dealt(
     docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION, smoothing: float = SMOOTHING, key: str = "doc_id", source: str = "source"
 ) -> DataFrame:
-    """The rows of docs in the order of their mix: partition after partition, each sorted. Written, the files hold the mix by name and row; a reader that
-    takes them as they come (Spark packs files by size) gets the places back with with_position()."""
+    """The rows of docs in the order of their mix, partition after partition, with __row (a hash of the row) and __at (number of the partition * 2**33 + place in it)."""
     mixed = interleave(docs, weights, block_rows, resolution, smoothing, key, source)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slots = docs.groupBy(source).agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("n")).agg(F.sum("n")).first()[0] or 1
     dealt = mixed.repartitionById(n, F.expr(f"cast(__slot * {n} div {slots} as int)")).sortWithinPartitions("__position")
-    return dealt.select(*docs.columns)
-
-
-def with_position(docs: DataFrame, to: str = "position", **kw) -> DataFrame:
-    """docs with the column `to`, the place of each row in their mix. It follows from the rows alone, so rows of in_order() have it back however they were written, filtered or dealt out."""
-    mixed = interleave(docs, **kw)
-    return mixed.select(*[c for c in docs.columns if c != to], F.col("__position").cast("long").alias(to))
+    return dealt.select(*docs.columns, "__row", F.monotonically_increasing_id().alias("__at"))
+
+
+def _summary(placed: DataFrame) -> tuple[list[int], dict[str, int]]:
+    """Of rows with __row and __at: the place at which each partition (or file) starts; the number of rows, and a hash of which row is at which place."""
+    each = placed.groupBy(F.shiftright("__at", 33).alias("part")).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("__at", "__row")).alias("hash"))
+    found = {r.part: r for r in each.collect() if r.part is not None}  # as many rows as partitions
+    starts = [0]
+    for k in range(max(found, default=0)):
+        starts.append(starts[-1] + (found[k].n if k in found else 0))
+    return starts, {"rows": sum(r.n for r in found.values()), "hash": functools.reduce(operator.xor, (r.hash for r in found.values()), 0)}
+
+
+def in_order(docs: DataFrame, *args, key: str = "doc_id", **kw) -> DataFrame:
+    """The rows of docs in the order of their mix (arguments as interleave() has them): partition after partition, each sorted. Written, the files hold the mix by number and row.
+    The metadata of the key's column, which Parquet keeps, say how many rows there are and, by a hash, which is where; with_position() knows such files by them."""
+    dealt = _dealt(docs, *args, key=key, **kw)
+    _, mix = _summary(dealt)
+    return dealt.select(*[F.col(c).alias(c, metadata={"mix": mix}) if c == key else F.col(c) for c in docs.columns])
+
+
+def _as_filed(docs: DataFrame, key: str) -> tuple[DataFrame, list[int]] | None:
+    """docs with __at and the starts of the files, if every row is in the file and at the place where in_order() had put it; else None."""
+    mix = docs.schema[key].metadata.get("mix")
+    if not mix:
+        return None
+    try:
+        number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).try_cast("long")
+        placed = docs.select("*", (F.shiftleft(number, 33) + F.col("_metadata.row_index")).alias("__at"))
+    except AnalysisException:  # not read from files
+        return None
+    starts, found = _summary(placed.select("__at", F.xxhash64(*docs.columns).alias("__row")))
+    return (placed, starts) if found == mix else None
+
+
+def with_position(docs: DataFrame, to: str = "position", key: str = "doc_id", **kw) -> DataFrame:
+    """docs with the column `to`, the place (from 0) of each row in the mix. Rows that lie in files as in_order() gave them keep the places that it gave, whatever its weights;
+    others, such as filtered, changed or rewritten ones, are mixed here."""
+    if filed := _as_filed(docs, key):
+        placed, starts = filed
+    else:
+        placed = _dealt(docs, key=key, **kw)
+        starts, _ = _summary(placed)
+    place = F.element_at(F.array(*[F.lit(x).cast("long") for x in starts]), F.shiftright("__at", 33).cast("int") + 1) + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.select(*[F.col(c).alias(c, metadata={}) if c == key else F.col(c) for c in docs.columns if c != to], place.alias(to))
 
 
 ORACLE = f"""

@@ -91,3 +91,34 @@ def test_run(spark, tmp_path, monkeypatch):
     assert [f.name.split("-")[0] for f in tmp_path.iterdir()] == ["pipeline"], "only the result is left"
     rows = got.toPandas().sort_values("position")
     assert len(rows) > 50 and rows.position.is_unique and rows.doc_id.tolist() == in_mix(spark, rows)
+
+
+def test_tokens_keep_the_places_that_mixing_gave(spark, tmp_path, monkeypatch):
+    """What mixing decides is what comes out; rows that are no longer as it gave them are mixed by tokens."""
+    docs = common.table(spark, DIR, "documents").select(*ORDER)
+    sources = sorted(r.source for r in docs.select("source").distinct().collect())
+    other = {"weights": {sources[0]: 9.0, sources[1]: 1.0}, "block_rows": 1}
+    want = [r.doc_id for r in mixing.interleave(docs, **other).orderBy("__position").collect()]
+    assert want != in_mix(spark, docs.toPandas())
+    names = dict(corpus_pipeline.STAGES)
+    mixing.in_order(docs, **other).write.parquet(str(tmp_path / "mixed"))
+    mixed = spark.read.parquet(str(tmp_path / "mixed"))
+    assert mixed.columns == ORDER
+    got = names["tokens"](spark, mixed, DIR)
+    plan = got._jdf.queryExecution().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+    rows = got.select("doc_id", "position").toPandas().sort_values("position")
+    assert rows.doc_id.tolist() == want and rows.position.tolist() == list(range(len(want)))
+    dealt = names["tokens"](spark, mixed.repartition(7), DIR).select("doc_id", "position").toPandas().sort_values("position")
+    assert dealt.doc_id.tolist() == want
+
+    mixed.repartition(3, "doc_id").write.parquet(str(tmp_path / "rewritten"))
+    for df in (mixed.where("doc_id % 3 <> 0"), spark.read.parquet(str(tmp_path / "rewritten")), mixed.withColumn("n_chars", F.col("n_chars") + 1), mixed.union(mixed.limit(1))):
+        again = names["tokens"](spark, df, DIR).select("doc_id", "position").toPandas().sort_values("position")
+        assert again.doc_id.tolist() == in_mix(spark, df.toPandas()) and again.position.tolist() == list(range(len(again)))
+
+    # In the whole run, too, another mix gives another result.
+    for module in (common, corpus_pipeline):
+        monkeypatch.setattr(module, "shared_dir", lambda _: str(tmp_path / "run"))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("mixing", lambda s, d, _: mixing.in_order(d, **other)), ("tokens", names["tokens"])])
+    assert [r.doc_id for r in corpus_pipeline.run(spark, DIR).orderBy("position").select("doc_id").collect()] == want
