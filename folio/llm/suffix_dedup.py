@@ -73,16 +73,29 @@ def longest_previous(position: np.ndarray, lcp: np.ndarray) -> np.ndarray:
     return out
 
 
+def common_prefixes(rows: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The number of first bytes that each row, in that order, has in common with the one before it; rows: n x width bytes."""
+    n, width = rows.shape
+    if pad := -width % 8:
+        rows = np.concatenate([rows, np.zeros((n, pad), np.uint8)], axis=1)
+    words = rows.view(np.uint64)
+    lcp = np.zeros(n, np.int64)
+    most = max(1, (1 << 18) // rows.shape[1])  # rows compared at once stay in the cache
+    for at in range(1, n, most):
+        part = words[order[at - 1 : at + most]]
+        differ = part[1:] != part[:-1]
+        word = differ.argmax(axis=1)
+        row = np.arange(len(word))
+        byte = (part[row + 1, word] ^ part[row, word]).view(np.uint8).reshape(-1, 8) != 0
+        lcp[at : at + most] = np.where(differ[row, word], 8 * word + byte.argmax(axis=1), width)
+    return lcp
+
+
 def suffix_order(data: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(order of the suffixes of data at starts by their first `width` bytes, lcp of neighbours up to width)."""
-    rows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, width)[starts])
-    order = np.argsort(rows.view(f"V{width}").ravel(), kind="stable")
-    lcp = np.zeros(len(starts), np.int64)
-    for at in range(1, len(starts), 8192):
-        part = order[at - 1 : at + 8192]
-        differ = rows[part[1:]] != rows[part[:-1]]
-        lcp[at : at + 8192] = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
-    return order, lcp
+    rows = np.ndarray(len(data) - width + 1, f"V{width}", data, strides=(1,))[starts]
+    order = np.argsort(rows, kind="stable")
+    return order, common_prefixes(rows.view(np.uint8).reshape(-1, width), order)
 
 
 def longest_matches(order: np.ndarray, lcp: np.ndarray, position: np.ndarray, keep: str) -> np.ndarray:
@@ -101,13 +114,8 @@ def context_order(texts: list[bytes], first: np.ndarray) -> tuple[np.ndarray, np
     order = np.array(sorted(first.tolist(), key=texts.__getitem__), np.int64)
     size = np.array([len(t) for t in texts])
     wide = int(size.max())
-    rows = np.array(texts, f"S{wide}").view(np.uint8).reshape(len(texts), wide)
-    lcp = np.zeros(len(texts), np.int64)
-    for at in range(1, len(texts), 8192):
-        part = order[at - 1 : at + 8192]
-        differ = rows[part[1:]] != rows[part[:-1]]
-        same = np.where(differ.any(axis=1), differ.argmax(axis=1), wide)
-        lcp[at : at + 8192] = np.minimum(same, np.minimum(size[part[1:]], size[part[:-1]]))  # rows are padded
+    lcp = common_prefixes(np.array(texts, f"S{wide}").view(np.uint8).reshape(len(texts), wide), order)
+    lcp[1:] = np.minimum(lcp[1:], np.minimum(size[order[1:]], size[order[:-1]]))  # rows are padded
     return order, lcp
 
 
@@ -131,11 +139,11 @@ def _runs(docs: DataFrame, width: int, gram: int) -> DataFrame:
                 raw, off = common.flat_bytes(b.column(2))
                 if not len(raw):
                     continue
-                lo, hi, at, anchor = winnow.runs(raw, off, width, gram)
-                ctx = common.range_hashes(raw, lo, hi + width) ^ common.mix((at - lo).astype(np.uint64))
+                lo, hi, at, anchor, ctx = winnow.contexts(raw, off, width, gram)
+                ctx ^= common.mix((at - lo).astype(np.uint64))
                 doc = np.searchsorted(off, lo, "right") - 1
-                cell = (anchor >> np.uint64(20)) % np.uint64(CELLS)
-                sketch += np.bincount(cell.astype(np.int64), minlength=CELLS).astype(np.int32)
+                cell = ((anchor >> np.uint64(20)) % np.uint64(CELLS)).astype(np.int64)
+                np.add.at(sketch, cell, 1)
                 hot = sketch[cell] >= HOT_HERE
                 key = np.where(hot, common.mix(anchor + th[doc].astype(np.uint64)), anchor)
                 marks = np.array([x for x in np.unique(anchor[hot]).tolist() if x not in marked and not marked.add(x)], np.uint64)
@@ -199,14 +207,17 @@ def _contexts(texts: DataFrame, rows: DataFrame, width: int) -> DataFrame:
         unzip = zstandard.ZstdDecompressor().decompress
         for whole in batches:
             for b in common.slices(whole, "z", 1 << 20):
-                cols: list[list] = [[] for _ in range(6)]
-                for th, z, got in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                anchor, kind, order, place = b.column(2).flatten().flatten()
+                many = np.diff(np.array(b.column(2).offsets))
+                lo = np.array(place, np.int64) >> 8
+                hi = lo + (np.array(place, np.int64) & 255) + width
+                bytes_, at, lo, hi = [], 0, lo.tolist(), hi.tolist()
+                for z, n in zip(b.column(1).to_pylist(), many.tolist()):
                     text = unzip(z)
-                    for r in got:
-                        lo = r["place"] >> 8
-                        for c, v in zip(cols, (r["anchor"], r["kind"], th, r["ord"], r["place"], text[lo : lo + (r["place"] & 255) + width])):
-                            c.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=[x.split()[0] for x in schema.split(", ")])
+                    bytes_ += [text[i:j] for i, j in zip(lo[at : at + n], hi[at : at + n])]
+                    at += n
+                th = np.repeat(np.array(b.column(0), np.int64), many)
+                yield pa.RecordBatch.from_arrays([anchor, kind, pa.array(th), order, place, pa.array(bytes_, pa.binary())], names=[x.split()[0] for x in schema.split(", ")])
 
     return joined.select("th", "z", "rows").mapInArrow(common.lean(run), schema)
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -140,3 +141,46 @@ def test_many_copies_keep_the_first(spark):
     got = suffix_dedup.removed(df, keep="first").groupBy("n_removed", "n_bytes").count().collect()
     head = len("own start 0 ")
     assert {(r.n_bytes - r.n_removed, r["count"]) for r in got} == {(len(text) + head, 1), (head - 1, 4), (0, 19_995)}
+
+
+def test_anchors_of_long_texts_by_pieces(monkeypatch):
+    """Texts shorter and longer than a piece: each window is in one run, and equal windows have equal anchors and equal runs equal hashes, wherever pieces end."""
+    monkeypatch.setattr(winnow, "PLACE", 9)
+    rng = np.random.default_rng(4)
+    raw = rng.integers(97, 100, 9000).astype(np.uint8)
+    raw[6100:7900] = raw[1000:2800]
+    raw[8300:8700] = raw[0]
+    off = np.array([0, 90, 90, 700, 900, 4000, 4001, 4250, 6000, 9000])
+    lo, hi, at, h, ctx = winnow.contexts(raw, off, 200, 64)
+    windows = [s for a, b in zip(off[:-1], off[1:]) for s in range(a, b - 199)]
+    assert [s for x, y in zip(lo, hi) for s in range(x, y + 1)] == windows
+    by_window, by_run = {}, {}
+    for x, y, a, g, c in zip(lo.tolist(), hi.tolist(), at.tolist(), h.tolist(), ctx.tolist()):
+        assert x + 136 >= a >= y and by_run.setdefault(c, raw[x : y + 200].tobytes()) == raw[x : y + 200].tobytes()
+        assert by_run.setdefault(g, raw[a : a + 64].tobytes()) == raw[a : a + 64].tobytes()
+        for s in range(x, y + 1):
+            assert by_window.setdefault(raw[s : s + 200].tobytes(), (a - s, g)) == (a - s, g)
+    assert len(by_window) < len(windows) - 1500 and len(set(ctx.tolist())) < len(ctx)
+
+
+def test_anchors_take_little_memory():
+    """The arrays of a piece fit a cache, so that 1 MB of text needs little beside its runs: whole arrays of 8 bytes for each byte made this stage the dearest."""
+    raw = np.random.default_rng(6).integers(97, 123, 1 << 20).astype(np.uint8)
+    off = np.arange(0, len(raw) + 1, 2048)
+    winnow.runs(raw, off, 200, 64)
+    tracemalloc.start()
+    try:
+        winnow.runs(raw, off, 200, 64)
+        assert tracemalloc.get_traced_memory()[1] < 6 << 20
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("width", [1, 7, 8, 20, 200])
+def test_common_prefixes(width):
+    rows = np.random.default_rng(width).integers(0, 2, (300, width)).astype(np.uint8)
+    rows[100:] = rows[:200]
+    rows[::3, -1] ^= 1
+    order = np.array(sorted(range(300), key=lambda i: rows[i].tobytes()))
+    got = suffix_dedup.common_prefixes(rows, order)
+    assert got.tolist() == [0] + [next((k for k in range(width) if rows[i, k] != rows[j, k]), width) for i, j in zip(order, order[1:])]
